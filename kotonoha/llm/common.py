@@ -32,6 +32,21 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settle_by(df: DataFrame, key: str) -> DataFrame:
+    """Like ``settle``, bucketed by ``key``: later joins on it need not move these rows again.
+
+    ``df`` should come out of a join or repartition by ``key``, so that each task has few buckets to write.
+    """
+    spark = df.sparkSession
+    name = f"kotonoha_{uuid.uuid4().hex}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (
+        df.write.option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}")
+        .bucketBy(parts, key).format("parquet").saveAsTable(name)
+    )
+    return spark.table(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

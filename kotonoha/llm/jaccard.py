@@ -10,7 +10,7 @@ if two sets reach the threshold, they share one of the first |A| - ceil(t|A|) +
 of all shingles. The order is by how common a shingle is over all texts, then by hash, so passages that many documents
 share come last and make no keys. Sets that meet under a key are compared there; nothing that could link is left out.
 
-Skew: equal texts, then equal sets are folded to their smallest id before anything else. A key that more than ``few`` sets
+Skew: equal texts are folded to their smallest id before anything else. A key that more than ``few`` sets
 share joins each to the key's three smallest ids first; when the groups found that way are known, only keys whose sets lie
 in several groups are kept, and of these trees return pairs across groups only. So a family of thousands of near copies
 costs a few comparisons each, not all pairs. Trees are made of blocks of at most ``block`` sets; a larger key is compared
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .common import arrays, settle
+from .common import arrays, settle, settle_by
 from .components import components, forest
 
 
@@ -40,8 +40,9 @@ from .components import components, forest
 class JaccardParams:
     width: int = 5
     percent: int = 75  # links: 100 * intersection >= percent * union
-    groups: int = 64  # coordinates of a count vector
-    slot_bits: int = 20  # of the table of how common shingles are
+    groups: int = 128  # coordinates of a point in a tree
+    widest: int = 16384  # most coordinates of a set's own vector, which has one for every second shingle
+    slot_bits: int = 23  # of the table of how common shingles are
     few: int = 12  # sets of a key that are paired at once
     block: int = 2000  # sets of a tree
     fan: int = 16  # children of a node
@@ -50,39 +51,50 @@ class JaccardParams:
 # ---------------------------------------------------------------- sets and their digests
 
 
-def _count_vectors(found: np.ndarray, at: np.ndarray, groups: int) -> np.ndarray:
-    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    code = owner * groups + (found & np.uint64(groups - 1)).astype(np.int64)
-    return np.minimum(np.bincount(code, minlength=(len(at) - 1) * groups), 65535).reshape(-1, groups).astype("<u2")
+def _count_vectors(found: np.ndarray, at: np.ndarray, p: JaccardParams) -> list[bytes]:
+    """Each set's counts by hash group; the number of groups is a power of two that follows the set's size."""
+    sizes = np.diff(at)
+    wide = np.clip(1 << np.ceil(np.log2(np.maximum(sizes, 2) / 2)).astype(np.int64), p.groups, p.widest)
+    begin = np.concatenate(([0], np.cumsum(wide)))
+    low = np.repeat(wide - 1, sizes).astype(np.uint64)
+    code = np.repeat(begin[:-1], sizes) + (found & low).astype(np.int64)
+    counts = np.minimum(np.bincount(code, minlength=int(begin[-1])), 65535).astype("<u2")
+    return [counts[begin[i] : begin[i + 1]].tobytes() for i in range(len(sizes))]
+
+
+def _folded(vector: bytes, groups: int) -> np.ndarray:
+    """The same set's counts over fewer groups."""
+    return np.frombuffer(vector, "<u2").astype(np.int32).reshape(-1, groups).sum(0)
+
+
+def _overlap_bound(x: bytes, y: bytes) -> int:
+    """Summed coordinate minima of two sets' counts, over as many groups as both have."""
+    groups = min(len(x), len(y)) // 2
+    return int(np.minimum(_folded(x, groups), _folded(y, groups)).sum())
 
 
 def _digests(p: JaccardParams):
-    """Per text (kind 0): size, fingerprint, count vector; per task (kind 1): how often slots of shingles occurred."""
+    """Per text (kind 0): size and count vector; per task (kind 1): how often slots of shingles occurred."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots = np.zeros(1 << p.slot_bits, np.int64)
+        slots = np.zeros(1 << p.slot_bits, np.uint32)
         seen = 0
         for batch in batches:
             keys = arrays(batch, "doc_id").to_numpy(zero_copy_only=False)
             for block in bw.blocks(arrays(batch, "text")):
                 found, at = bw.shingles(block, p.width)
                 seen += len(found)
-                slots += np.bincount((found >> np.uint64(64 - p.slot_bits)).astype(np.int64), minlength=len(slots))
+                np.add.at(slots, (found >> np.uint64(64 - p.slot_bits)).astype(np.int64), np.uint32(1))
                 n = len(at) - 1
-                totals = np.zeros((2, len(found) + 1), np.uint64)
-                np.cumsum(bw.mix(found + np.uint64(1)), out=totals[0, 1:])
-                np.cumsum(bw.mix(found ^ np.uint64(0x5851F42D4C957F2D)), out=totals[1, 1:])
-                prints = (totals[:, at[1:]] - totals[:, at[:-1]]).astype("<u8")
-                vectors = _count_vectors(found, at, p.groups)
                 yield pa.record_batch([
                     pa.array(np.zeros(n, np.int32)), pa.array(keys[block.lo : block.hi]), pa.array(np.diff(at)),
-                    pa.array([prints[:, i].tobytes() for i in range(n)], pa.binary()), pa.array([v.tobytes() for v in vectors], pa.binary()),
-                ], ["kind", "id", "n", "print", "vector"])
+                    pa.array(_count_vectors(found, at, p), pa.binary()),
+                ], ["kind", "id", "n", "vector"])
         # Slots well above this task's mean; others cannot be common over all unless spread thinly, which only costs keys.
         often = np.flatnonzero(slots >= 4 + 4 * seen / len(slots))
         if len(often):
             none = pa.array([None] * len(often), pa.binary())
-            yield pa.record_batch([pa.array(np.ones(len(often), np.int32)), pa.array(often), pa.array(slots[often]), none, none], ["kind", "id", "n", "print", "vector"])
+            yield pa.record_batch([pa.array(np.ones(len(often), np.int32)), pa.array(often), pa.array(slots[often].astype(np.int64)), none], ["kind", "id", "n", "vector"])
 
     return run
 
@@ -207,7 +219,7 @@ def _cross_pairs(p: JaccardParams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in _key_groups(batches):
             key, side, ident, n, comp = columns[:5]
-            points = np.frombuffer(b"".join(columns[5]), "<u2").reshape(len(key), p.groups).astype(np.int32)
+            points = np.stack([_folded(v, p.groups) for v in columns[5]])
             first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
             for lo, hi in zip(first, [*first[1:], len(key)], strict=True):
                 mine = np.arange(lo, hi)
@@ -220,6 +232,9 @@ def _cross_pairs(p: JaccardParams):
                 for i in other:
                     hits = base[tree.search(points[i], int(n[i]), p.percent)]
                     hits = hits[comp[hits] != comp[i]]
+                    # The sets' own, wider vectors bound more closely.
+                    near = [_overlap_bound(columns[5][i], columns[5][j]) for j in hits]
+                    hits = hits[(100 + p.percent) * np.array(near, np.int64) >= p.percent * (n[i] + n[hits])]
                     left.append(np.full(len(hits), ident[i]))
                     right.append(ident[hits])
                 a, b = np.concatenate(left), np.concatenate(right)
@@ -252,8 +267,7 @@ def _bounded(p: JaccardParams):
             if not batch.num_rows:
                 continue
             n, m = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (2, 3))
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, p.groups).astype(np.int32) for i in (4, 5))
-            bound = np.minimum(x, y).sum(1)
+            bound = np.array([_overlap_bound(x, y) for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)], np.int64)
             yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array((100 + p.percent) * bound >= p.percent * (n + m)))
 
     return run
@@ -294,32 +308,33 @@ def jaccard_groups(docs: DataFrame, params: JaccardParams = JaccardParams()) ->
     p, spark = params, docs.sparkSession
     # Equal texts first: one row for each, by a 96-bit digest and the length, nothing but digests is shuffled.
     digest = [F.xxhash64("text").alias("h"), F.crc32(F.col("text").cast("binary")).alias("c"), F.octet_length("text").alias("l")]
-    ids = settle(docs.select("doc_id", *digest).groupBy("doc_id").agg(F.min(F.struct("h", "c", "l")).alias("d")).select("doc_id", "d.*"))
+    ids = settle(docs.select("doc_id", *digest).groupBy("doc_id").agg(F.min(F.struct("h", "c", "l")).alias("d"), F.count("*").alias("rows")).select("doc_id", "d.*", "rows"))
     same = settle(ids.where("doc_id is not null").groupBy("h", "c", "l").agg(F.min("doc_id").alias("lead"), F.count("*").alias("copies")))
     leads = same.where("l > 0").select(F.col("lead").alias("doc_id"), "h", "c", "l")
-    # The lead's row again by id and digest: rows that repeat an id with another text are not taken.
-    texts = docs.select("doc_id", "text", *digest).join(leads, ["doc_id", "h", "c", "l"], "left_semi").select("doc_id", "text")
-    found = settle(texts.mapInArrow(_digests(p), "kind int, id long, n long, print binary, vector binary"))
+    # The lead's row again, by id; the digest is compared in a form that keeps the id the only key of the join, so that
+    # texts move once, to the buckets that later joins use. Rows that repeat an id with another text are not taken.
+    ours, lead = docs.select("doc_id", "text", *digest).alias("x"), leads.alias("y")
+    same_text = (F.col("x.h").bitwiseXOR(F.col("y.h")) == 0) & (F.col("x.c") - F.col("y.c") == 0) & (F.col("x.l") - F.col("y.l") == 0)
+    texts = ours.join(lead, (F.col("x.doc_id") == F.col("y.doc_id")) & same_text, "left_semi").select("doc_id", "text")
+    if not ids.where("rows > 1").isEmpty():
+        texts = texts.dropDuplicates(["doc_id"])
+    texts = settle_by(texts, "doc_id")
+    found = settle(texts.mapInArrow(_digests(p), "kind int, id long, n long, vector binary"))
     table = spark.sparkContext.broadcast(_order_table(found.where("kind = 1"), p))
-    sets = found.where("kind = 0").select("id", "n", "print", "vector").dropDuplicates(["id"])
-    prints = sets.where("n > 0").groupBy("n", "print").agg(F.min("id").alias("lead"), F.count("*").alias("copies"))
-    lead_ids = settle(prints.select(F.col("lead").alias("doc_id")))
-    singles = sets.join(lead_ids.withColumnRenamed("doc_id", "id"), "id", "left_semi")
-    distinct_texts = texts.join(lead_ids, "doc_id", "left_semi")
+    sets = found.where("kind = 0").select("id", "n", "vector")
     rows = (
-        distinct_texts.mapInArrow(_prefix_keys(p, table), "id long, n int, keys array<long>")
+        texts.mapInArrow(_prefix_keys(p, table), "id long, n int, keys array<long>")
         .select(F.explode("keys").alias("key"), "id", "n")
         .repartition("key")
         .sortWithinPartitions("key", "id")
     )
     met = settle(rows.mapInArrow(_meet(p), "kind int, a long, b long"))
     pairs = met.where("kind = 0").select("a", "b").distinct()
-    links = settle(_links(pairs, singles, distinct_texts, p))
+    links = settle(_links(pairs, sets, texts, p))
     many = met.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("id"))
-    links = links.unionByName(_late_links(many, links, singles, distinct_texts, p))
-    # Back to all documents: text -> set -> component.
-    equal_sets = sets.where("n > 0").join(prints.select("n", "print", "lead"), ["n", "print"]).select(F.col("id").alias("a"), F.col("lead").alias("b"))
-    groups = components(settle(links.unionByName(equal_sets.where("a <> b"))))
+    links = links.unionByName(_late_links(many, links, sets, texts, p))
+    # Back to all documents.
+    groups = components(links)
     sizes = sets.select(F.col("id").alias("lead"), F.col("n").alias("n_shingles"))
     per_text = (
         same.join(sizes, "lead", "left").join(groups.withColumnRenamed("id", "lead"), "lead", "left")
@@ -332,7 +347,7 @@ def jaccard_groups(docs: DataFrame, params: JaccardParams = JaccardParams()) ->
     )
 
 
-def _late_links(many: DataFrame, links: DataFrame, singles: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame:
+def _late_links(many: DataFrame, links: DataFrame, sets: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame:
     """Links across the groups known so far, from the keys that more than ``few`` sets share."""
     empty = links.where("false").select("a", "b")
     if many.isEmpty():
@@ -340,14 +355,17 @@ def _late_links(many: DataFrame, links: DataFrame, singles: DataFrame, texts: Da
     known = components(links) if not links.isEmpty() else None
     rows = many if known is None else many.join(known, "id", "left")
     rows = settle(rows.select("key", "id", F.coalesce("component", "id").alias("component") if known is not None else F.col("id").alias("component")))
-    split = settle(rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).where("x <> y").select("key", "size"))
+    members = [F.bit_xor(F.xxhash64(F.lit(i), F.col("id"))).alias(f"m{i}") for i in (1, 2)]
+    split = rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"), *members).where("x <> y")
+    # Of keys with the same sets one is enough.
+    split = settle(split.groupBy("size", "m1", "m2").agg(F.min("key").alias("key")).select("key", "size"))
     if split.isEmpty():
         return empty
     # Blocks of a large key: each set goes to its own block's tree and, as a query, to those of all lower blocks.
     blocks = F.ceil(F.col("size") / p.block).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     rows = rows.join(split, "key").withColumn("_own", own).withColumn("_to", F.explode(F.sequence(F.lit(0), F.col("_own"))))
-    rows = rows.join(singles.select("id", "n", "vector"), "id")
+    rows = rows.join(sets.select("id", "n", "vector"), "id")
     tree_key = F.xxhash64("key", F.when(F.col("_own") == F.col("_to"), F.lit(-1)).otherwise(F.col("_own")), "_to")
     inner = rows.where("_own = _to").select(F.xxhash64("key", F.lit(-1), "_to").alias("k"), F.lit(0).alias("side"), "id", "n", "component", "vector")
     # Pairs of two blocks: the lower block's sets once more for each higher block.
@@ -358,7 +376,7 @@ def _late_links(many: DataFrame, links: DataFrame, singles: DataFrame, texts: Da
     )
     all_rows = inner.unionByName(higher).unionByName(lower).repartition("k").sortWithinPartitions("k", "id")
     pairs = settle(all_rows.mapInArrow(_cross_pairs(p), "a long, b long").distinct())
-    return _links(pairs, singles, texts, p)
+    return _links(pairs, sets, texts, p)
 
 
 def one_of_each(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
