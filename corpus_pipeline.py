@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kotonoha.llm import jaccard, packing, quality_model
+from kotonoha.llm import jaccard, mixing, packing, pii, quality_model
 from kotonoha.llm.common import settle, table
 from kotonoha.llm.queries import tokenizer_files
 
@@ -22,12 +22,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return jaccard.one_of_each(docs)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data in their texts replaced by its kind."""
+    return pii.redacted(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents by the sources' budgets; at most one pass over a source, so that none is there twice."""
+    return mixing.mixed_documents(docs, mixing.MixParams(max_epochs=1))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents' tokens in sequences of at most 2048."""
     return packing.packed_documents(docs, *tokenizer_files())
 
 
-STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("pack", pack)]
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("personal_data", personal_data), ("mix", mix), ("pack", pack)]
 
 #: Trained models and tokenizers are beyond SQL; tests hold each stage against a brute-force version.
 ORACLE_SQL = None

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, packing, quality_model, quality_rules, toxicity
+from . import embedding_graph, jaccard, mixing, packing, pii, quality_model, quality_rules, sharding, toxicity, url_filter
 from .common import table
 
 
@@ -25,10 +25,30 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_embedding_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_graph.embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filtered_urls(table(spark, sf_dir, "pages"))
+
+
+def op8_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.balanced_shards(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = packing.packed_documents(table(spark, sf_dir, "documents"), *tokenizer_files())
     return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -39,6 +59,11 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_quality_rules, op5_quality_classifier, op9_best_fit_packing, op10_ngram_jaccard)
-}
-ORACLE_SQL: dict[str, str] = {}
+    f.__name__: f
+    for f in (
+        op1_toxicity, op2_quality_rules, op3_source_mixing, op4_personal_data, op5_quality_classifier,
+        op6_embedding_graph, op7_url_rules, op8_balanced_shards, op9_best_fit_packing, op10_ngram_jaccard,
+    )
+}
+#: The others train models, iterate, tokenize or hash in ways that SQL cannot express; tests hold them to brute force.
+ORACLE_SQL: dict[str, str] = {"op7_url_rules": url_filter.ORACLE_SQL}

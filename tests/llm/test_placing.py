@@ -1,0 +1,232 @@
+"""Packing, sharding, mixing, URL rules and personal data against brute force and exact round trips."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from kotonoha.llm import mixing, packing, pii, queries, sharding, url_filter
+
+ODD = ["", None, "a", "<|endoftext|> x", "ﷺ 漢字 🙂   \u0085", "x" * 5000, "word " * 9000, "it's we'll I'D", "  \n\n\t  ", "naïve Œuvre 12345"]
+
+
+def check_packing(rows, texts):
+    slow = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {i: [*slow.encode(t or "", add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    seqs, parts = defaultdict(list), defaultdict(list)
+    for r in rows:
+        seqs[r["sequence_id"]].append((r["offset"], r["length"]))
+        parts[r["doc_id"]].append(r)
+    assert set(parts) == set(ids)
+    for i, own in parts.items():
+        own.sort(key=lambda r: r["piece"])
+        at = 0
+        for k, r in enumerate(own):
+            piece = np.array(ids[i][at : at + r["length"]], "<u4")
+            assert (r["piece"], r["start"], r["ids_crc32"]) == (k, at, zlib.crc32(piece.tobytes()))
+            assert k == 0 or r["length"] == 2048
+            at += r["length"]
+        assert at == len(ids[i]) and (len(own) == 1 or at > 2048)
+    for spans in seqs.values():
+        end = 0
+        for offset, length in sorted(spans):
+            assert offset == end
+            end += length
+        assert end <= 2048
+    return len(seqs), -(-sum(map(len, ids.values())) // 2048)
+
+
+def test_packing_round_trip(spark, docs_of, documents):
+    texts = ODD + [r["text"] for r in documents.collect()]
+    docs = docs_of(texts).selectExpr("*", "1 AS length", "2 AS pos", "3 AS piece")
+    rows = packing.packed_documents(docs, *queries.tokenizer_files(), with_ids=True).collect()
+    assert all(len(r["ids"]) == r["length"] for r in rows)
+    used, least = check_packing(rows, texts)
+    assert used <= 1.02 * least + 1
+    assert packing.packed_documents(docs.limit(0), *queries.tokenizer_files()).count() == 0
+    assert packing.packed_documents(docs.union(docs), *queries.tokenizer_files()).count() == 2 * len(rows)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_places_every_item(seed):
+    rng = random.Random(seed)
+    counts = {rng.randint(1, 64): rng.randint(1, 40) for _ in range(30)}
+    bins, taken = defaultdict(list), Counter()
+    for length, rank, n, first, offset in packing.plan(counts, 64):
+        assert rank == taken[length]
+        taken[length] += n
+        for k in range(n):
+            bins[first + k].append((offset, length))
+    assert taken == Counter(counts)
+    for spans in bins.values():
+        end = 0
+        for offset, length in sorted(spans):
+            assert offset == end
+            end += length
+        assert end <= 64 and sum(n > 64 // 3 for _, n in spans) <= 2
+
+
+def test_shards(spark, docs_of):
+    rng = random.Random(3)
+    texts = [f"text {i}" for i in range(300)] + ["same"] * 200 + [f"pair {i // 3}" for i in range(150)] + [None, "", None]
+    rng.shuffle(texts)
+    docs = docs_of(texts).selectExpr("*", "1 AS label", "2 AS shard", "3 AS members")
+    rows = sharding.balanced_shards(docs).collect()
+    assert len(rows) == len(texts)
+    counts = Counter(r["shard"] for r in rows)
+    assert set(counts) == set(range(40)) and max(counts.values()) - min(counts.values()) <= 1
+    slots = defaultdict(set)
+    for r in rows:
+        raw = (texts[r["doc_id"]] or "").encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(raw) + 16, zlib.crc32(raw), "rows", None)
+        slots[r["shard"]].add(r["slot"])
+    assert all(s == set(range(counts[k])) for k, s in slots.items())
+    places = defaultdict(set)
+    for r in rows:
+        places[texts[r["doc_id"]] or ""].add(r["shard"])
+    assert len(places["same"]) <= -(-200 // min(counts.values())) + 1
+    assert sum(len(p) > 1 for t, p in places.items() if t != "same") <= 13
+    assert sharding.balanced_shards(docs.limit(0)).count() == 0
+    few = sharding.balanced_shards(docs.limit(3).union(docs.limit(3))).collect()
+    assert len(few) == 6 and max(Counter(r["shard"] for r in few).values()) == 1
+
+
+def pour(budget, nodes):
+    """Water-filling by repetition: nodes is {key: (weight, capacity)}."""
+    left, out = dict(nodes), {}
+    while left:
+        level = budget / sum(w for w, _ in left.values())
+        full = [k for k, (w, c) in left.items() if c <= level * w + 1e-12]
+        if not full:
+            return out | {k: int(level * w + 1e-9) for k, (w, _) in left.items()}
+        for k in full:
+            out[k] = left.pop(k)[1]
+            budget -= out[k]
+    return out
+
+
+def test_mixing_against_brute_force(spark, documents):
+    extra = spark.createDataFrame([(90_000, None, None, None, 0), (90_001, "", "en", "src1", 0)], documents.schema)
+    docs = documents.union(extra).selectExpr("*", "1 AS domain", "2 AS tokens", "3 AS hash")
+    p = mixing.MixParams()
+    got = defaultdict(list)
+    for r in mixing.mixed(docs, p).collect():
+        got[r["domain"], r["lang"], r["source"]].append((r["epoch"], r["doc_id"], r["tokens"]))
+    rows = docs.select("doc_id", "text", "lang", "source").collect()
+    leaves = defaultdict(list)
+    for r in rows:
+        source, lang = r["source"] or "none", r["lang"] or "none"
+        n = int((re.findall("([0-9]+)$", source) or [0])[0])
+        domain = "library" if n % 4 == 3 else "forum" if n % 7 == 5 else "web"
+        leaves[domain, lang, source].append((r["doc_id"], len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or ""))))
+    size = {k: sum(t for _, t in v) for k, v in leaves.items()}
+    weight = lambda *path: p.weights.get("/".join(path), 1.0)
+    cap = lambda *path: p.max_epochs * sum(s for k, s in size.items() if k[: len(path)] == path)
+    total = int(sum(size.values()) * p.budget)
+    budgets = {}
+    for d, given in pour(total, {d: (weight(d), cap(d)) for d in {k[0] for k in size}}).items():
+        for lang, part in pour(given, {x: (weight(d, x), cap(d, x)) for x in {k[1] for k in size if k[0] == d}}).items():
+            for s, b in pour(part, {x: (weight(d, lang, x), cap(d, lang, x)) for x in {k[2] for k in size if k[:2] == (d, lang)}}).items():
+                budgets[d, lang, s] = b
+    assert sum(budgets.values()) <= total and sum(budgets.values()) >= 0.999 * total
+    for leaf, members in leaves.items():
+        passes, rest = divmod(budgets[leaf], size[leaf]) if size[leaf] else (1, 0)
+        own = got[leaf]
+        for epoch in range(passes):
+            assert sorted((i, t) for e, i, t in own if e == epoch) == sorted(members)
+        last = [(i, t) for e, i, t in own if e == passes]
+        assert sum(t for _, t in last) <= rest
+        assert rest == 0 or rest - sum(t for _, t in last) < max(t for _, t in members)
+        assert all(e <= passes for e, *_ in own)
+
+
+def test_mixed_documents_keep_columns(spark, documents):
+    out = mixing.mixed_documents(documents, mixing.MixParams(max_epochs=1))
+    assert out.columns == documents.columns
+    rows = out.collect()
+    assert len(rows) == len({r["doc_id"] for r in rows}) and 0 < len(rows) < documents.count()
+    assert mixing.mixed_documents(documents.limit(0)).count() == 0
+
+
+def test_urls(spark):
+    urls = [
+        None, "", "no scheme", "http://example.org", "http://example.org/", "https://A.Example.ORG/es/1", "http://example.org/en/1", "http://x.example.org/en/12?q", "http://notexample.org/es/",
+        "ftp://m.example.com/fr/x#y", "http://example.com/de/", "http://example.com/DE/", "http://example.com?x=/de/", "http://www.cheap-pills.example.com/xx", "http://spam-farm.example.net", "http://my-casino.net/",
+        "http://click.a.net/redirect/1", "http://example.org/es/", "http://example.org/es/",
+    ]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").selectExpr("*", "1 AS rule", "2 AS token", "3 AS verdict")
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.filtered_urls(pages).collect()}
+    rules = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+    for i, url in enumerate(urls):
+        rest = url.split("://", 1)[1] if url and "://" in url else ""
+        host, path = re.match("([^/?#]*)([^?#]*)", rest).groups()
+        host = host.lower()
+        fit = [(len(h + p), h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        assert got[i][:3] == (host, path, max(fit)[1] if fit else None), url
+        if fit:
+            assert got[i][3] == max(fit)[2]
+    assert [got[i][3] for i in (0, 2, 13, 14, 15, 16)] == ["allow", "allow", "block", "block", "block", "block"]
+    assert url_filter.filtered_urls(pages.union(pages)).count() == 2 * len(urls)
+    assert url_filter.filtered_urls(pages.limit(0)).count() == 0
+
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    return sum(int(d) if i % 2 == 0 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(reversed(digits))) % 10 == 0
+
+
+def base(text):
+    out = []
+    for rank, (kind, pattern) in enumerate(PATTERNS.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = kind == "email" or (kind == "ip" and all(int(x) <= 255 for x in m[0].split("."))) or (kind == "card" and 12 <= len(digits) <= 19 and luhn(digits)) or (kind == "phone" and 9 <= len(digits) <= 15)
+            if good:
+                out.append((m.start(), rank, kind, m.end()))
+    return sorted(out)
+
+
+def test_personal_data(spark, docs_of, documents):
+    rng = random.Random(4)
+    pieces = ["a@b.c", "a@b.c_x@d.e.f", "1.2.3.4", "256.1.1.1", "1.2.3.4.5.6.7.8", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (555) 010-9999", "+12", "é", "漢🙂", " ", "@", ".", "-", "+", "0001.02.3.4",
+              'token = "0123456789abcdef0123456789abcdef01234567"', "call 555-123-4567", "ssn 123-45-6789", "joe at mail dot com", "5", "\n", "+1234567890123456"]
+    texts = [None, "", "1" * 30_000, "a" * 60_000, "a@" * 5000, "+" * 3000, "1.1." * 4000] + ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 25))) for _ in range(300)]
+    texts += [r["text"] for r in documents.collect()]
+    docs = docs_of(texts).selectExpr("*", "1 AS base", "2 AS candidates", "3 AS spans")
+    added = 0
+    for r in pii.personal_data(docs).collect():
+        want = base(texts[r["doc_id"]])
+        own = ",".join(f"{k}:{s}:{e}" for s, _, k, e in want)
+        assert r["base_sha256"] == hashlib.sha256(own.encode()).hexdigest(), texts[r["doc_id"]]
+        assert [r[f"n_{k}"] for k in PATTERNS] == [sum(x[2] == k for x in want) for k in PATTERNS]
+        spans = r["spans"].split(",") if r["spans"] else []
+        assert set(own.split(",")) - {""} <= set(spans)
+        added += len(spans) - len(want)
+    assert added > 20
+    assert pii.personal_data(docs.limit(0)).count() == 0
+
+
+def test_redaction_hides_all_and_only_spans(spark, docs_of):
+    texts = ["write to a.b@example.com or +1 555 010 99990, card 4111 1111 1111 1111.", "nothing here", None, "漢字 1.2.3.4 end"]
+    rows = {r["doc_id"]: r for r in pii.redacted(docs_of(texts)).collect()}
+    assert rows[0]["text"] == "write to <EMAIL> or <PHONE>, card <CARD>." and rows[0]["n_chars"] == len(rows[0]["text"])
+    assert rows[1]["text"] == texts[1] and rows[2]["text"] is None and rows[3]["text"] == "漢字 <IP> end"
+
+
+def test_em_trusts_the_better_labeler():
+    model = pii.fit({(0, (1, 1, 1, 0)): 90, (0, (1, -1, 1, 0)): 20, (0, (-1, 1, -1, 0)): 25, (0, (-1, -1, -1, 0)): 80})
+    assert model.reliability[0] > model.reliability[1]
+    assert model.scores[0, (1, -1, 1, 0)] > 0.5 > model.scores[0, (-1, 1, -1, 0)]
