@@ -284,7 +284,7 @@ def redirect_target(title: str, inner: str, *, whole_rest: bool = True) -> list[
         return []
     rest = inner[m.end() - 2 :]
     scope = rest if whole_rest else rest.partition("]]")[0]
-    if "#" in scope or title in REDIRECTS_LEFT_OUT or not admissible(title, rest):
+    if "#" in scope or title in REDIRECTS_LEFT_OUT or not admissible(title, scope):
         return []
     names = Names(title)
     names.add_link(rest)

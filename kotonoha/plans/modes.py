@@ -59,8 +59,12 @@ def one_column_udf(function: Callable, kind: str) -> Callable:
     return F.pandas_udf(run, kind)
 
 
-strip_disambiguation = one_column_udf(wikitext.strip_disambiguation, "string")
-clean = one_column_udf(wikitext.clean, "string")
+def strip_disambiguation(column: Column) -> Column:
+    return one_column_udf(wikitext.strip_disambiguation, "string")(column)
+
+
+def clean(column: Column) -> Column:
+    return one_column_udf(wikitext.clean, "string")(column)
 
 
 def _titles(options: Options) -> Column:

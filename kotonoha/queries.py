@@ -20,7 +20,7 @@ from .operators import titles
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
-_KANA = str.maketrans("abcdefghijklmnopqrstuvwxyz", "アイウエオカキクケコサシスセソタチツテトナニヌネノハ")
+_LETTERS, _KANA = "abcdefghijklmnopqrstuvwxyz", "アイウエオカキクケコサシスセソタチツテトナニヌネノハ"
 
 
 def query(sql: str | None = None):
@@ -90,7 +90,7 @@ def snip_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
        "translate(lower(p_name), 'abcdefghijklmnopqrstuvwxyz', 'あいうえおかきくけこさしすせそたちつてとなにぬねのは') AS hira FROM part")
 def kana_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Katakana made of letters, folded to hiragana and back."""
-    kata = F.translate(F.lower("p_name"), "".join(map(chr, _KANA)), "".join(_KANA.values()) if isinstance(next(iter(_KANA.values())), str) else "".join(map(chr, _KANA.values())))
+    kata = F.translate(F.lower("p_name"), _LETTERS, _KANA)
     hira = kana_functions.convert_column(kata, "c")
     return _table(spark, sf_dir, "part").select("p_partkey", kana_functions.convert_column(hira, "C").alias("kata"), hira.alias("hira"))
 
@@ -145,8 +145,7 @@ def url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT page_id, url_encode(url) AS encoded, url_decode(url_encode(url)) AS decoded FROM pages")
 def url_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = st.url_encode(F.col("url"))
-    upper = F.regexp_replace(code, "%", "%")
-    upper = F.array_join(F.transform(F.split(upper, "%", -1), lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.lit("%"), F.upper(F.substring(p, 1, 2)), F.substring(p, 3, 2**30)))), "")
+    upper = F.array_join(F.transform(F.split(code, "%", -1), lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.lit("%"), F.upper(F.substring(p, 1, 2)), F.substring(p, 3, 2**30)))), "")
     return _table(spark, sf_dir, "pages").select("page_id", upper.alias("encoded"), st.url_decode(code).alias("decoded"))
 
 
@@ -231,7 +230,7 @@ def section_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lexicon_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wikitext pages (ordinal, title, inner) made of the table ``pages``: a bold title with a kana reading, links, categories."""
     word = F.regexp_replace(F.substring(_title(), 1, 12), "[^A-Za-z ]", "")
-    kata = F.translate(F.lower(F.regexp_replace(word, " ", "")), "".join(map(chr, _KANA)), "".join(chr(x) if isinstance(x, int) else x for x in _KANA.values()))
+    kata = F.translate(F.lower(F.regexp_replace(word, " ", "")), _LETTERS, _KANA)
     page, lang = F.col("page_id"), F.regexp_extract("html", 'lang="(..)"', 1)
     title = F.when(page % 5 == 0, kata).when(page % 5 == 1, F.concat(kata, F.lit("派"))).when(page % 5 == 2, F.concat(kata, F.lit("（"), lang, F.lit("）"))).otherwise(F.trim(word))
     lead = F.concat(
