@@ -75,9 +75,11 @@ def _share(nodes: DataFrame, parent: list[str], key: str) -> DataFrame:
 def leaf_budgets(leaves: DataFrame, p: MixParams) -> DataFrame:
     """From (domain, lang, source, tokens): adds the leaf's budget in tokens."""
     leaves = leaves.withColumn("capacity", F.col("tokens") * p.max_epochs)
-    total = leaves.agg((F.floor(F.sum("tokens") * p.budget)).cast("long").alias("given"))
-    domains = leaves.groupBy("domain").agg(F.sum("capacity").alias("capacity")).withColumn("weight", _weight(p.weights, F.col("domain")))
-    domains = _share(domains.join(F.broadcast(total)).withColumn("_root", F.lit(0)), ["_root"], "domain").select("domain", F.col("budget").alias("given"))
+    # One row for each domain: the root's budget is a sum over them.
+    domains = leaves.groupBy("domain").agg(F.sum("capacity").alias("capacity"), F.sum("tokens").alias("held")).withColumn("_root", F.lit(0))
+    given = F.floor(F.sum("held").over(Window.partitionBy("_root")) * p.budget).cast("long")
+    domains = domains.withColumn("weight", _weight(p.weights, F.col("domain"))).withColumn("given", given)
+    domains = _share(domains, ["_root"], "domain").select("domain", F.col("budget").alias("given"))
     langs = leaves.groupBy("domain", "lang").agg(F.sum("capacity").alias("capacity")).withColumn("weight", _weight(p.weights, F.concat_ws("/", "domain", "lang")))
     langs = _share(langs.join(domains, "domain"), ["domain"], "lang").select("domain", "lang", F.col("budget").alias("given"))
     leaves = leaves.withColumn("weight", _weight(p.weights, F.concat_ws("/", *LEAF)))
