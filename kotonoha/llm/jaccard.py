@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
@@ -145,13 +145,13 @@ def _key_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]
 
 
 def _meet(p: JaccardParams):
-    """From (key, id, n, place) sorted by key and id: pairs (kind 0) and (key, id, place) of keys with more than ``few`` sets (kind 1)."""
+    """From (key, id, n) sorted by key and id: pairs (kind 0) and the rows of keys with more than ``few`` sets (kind 1)."""
 
     def fits(n: np.ndarray, m: np.ndarray) -> np.ndarray:
         return 100 * np.minimum(n, m) >= p.percent * np.maximum(n, m)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, ident, n, rank in _key_groups(batches):
+        for key, ident, n in _key_groups(batches):
             first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
             size = np.diff(np.concatenate((first, [len(key)])))
             place = np.arange(len(key)) - np.repeat(first, size)
@@ -172,10 +172,10 @@ def _meet(p: JaccardParams):
             if len(a):
                 pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
                 pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-                yield pa.record_batch([pa.array(np.zeros(len(pairs), np.int32)), pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), pa.nulls(len(pairs), pa.int32())], ["kind", "a", "b", "place"])
+                yield pa.record_batch([pa.array(np.zeros(len(pairs), np.int32)), pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["kind", "a", "b"])
             many = np.flatnonzero(crowd > p.few)
             if len(many):
-                yield pa.record_batch([pa.array(np.ones(len(many), np.int32)), pa.array(key[many]), pa.array(ident[many]), pa.array(rank[many].astype(np.int32))], ["kind", "a", "b", "place"])
+                yield pa.record_batch([pa.array(np.ones(len(many), np.int32)), pa.array(key[many]), pa.array(ident[many])], ["kind", "a", "b"])
 
     return run
 
@@ -211,15 +211,16 @@ class CountTree:
 
 
 def _cross_pairs(p: JaccardParams):
-    """From (key, side, id, n, component, vector) sorted by key: pairs across components that the trees cannot exclude.
+    """From (tree, side, id, n, component, key, keys, vector) sorted by tree: pairs across components that it cannot exclude.
 
-    ``side`` is 0 for a block's own sets and 1 for those of a later block that are compared with them.
+    ``side`` is 0 for a block's own sets and 1 for those of a later block that are compared with them. ``keys`` are all
+    keys of a set, where it occurs under several: of two sets' common keys only the lowest gives the pair.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in _key_groups(batches):
-            key, side, ident, n, comp = columns[:5]
-            points = np.stack([_folded(v, p.groups) for v in columns[5]])
+            key, side, ident, n, comp, own_key, keys, vectors = columns
+            points = np.stack([_folded(v, p.groups) for v in vectors])
             first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
             for lo, hi in zip(first, [*first[1:], len(key)], strict=True):
                 mine = np.arange(lo, hi)
@@ -233,8 +234,10 @@ def _cross_pairs(p: JaccardParams):
                     hits = base[tree.search(points[i], int(n[i]), p.percent)]
                     hits = hits[comp[hits] != comp[i]]
                     # The sets' own, wider vectors bound more closely.
-                    near = [_overlap_bound(columns[5][i], columns[5][j]) for j in hits]
+                    near = [_overlap_bound(vectors[i], vectors[j]) for j in hits]
                     hits = hits[(100 + p.percent) * np.array(near, np.int64) >= p.percent * (n[i] + n[hits])]
+                    if keys[i] is not None:
+                        hits = hits[[np.intersect1d(keys[i], keys[j]).min() == own_key[i] for j in hits]] if len(hits) else hits
                     left.append(np.full(len(hits), ident[i]))
                     right.append(ident[hits])
                 a, b = np.concatenate(left), np.concatenate(right)
@@ -321,18 +324,19 @@ def jaccard_groups(docs: DataFrame, params: JaccardParams = JaccardParams()) ->
     texts = settle_by(texts, "doc_id")
     found = settle(texts.mapInArrow(_digests(p), "kind int, id long, n long, vector binary"))
     table = spark.sparkContext.broadcast(_order_table(found.where("kind = 1"), p))
-    sets = found.where("kind = 0").select("id", "n", "vector")
+    # Vectors move once as well, to the buckets of their ids.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sets = settle_by(found.where("kind = 0").select("id", "n", "vector").repartition(parts, "id"), "id")
     rows = (
         texts.mapInArrow(_prefix_keys(p, table), "id long, n int, keys array<long>")
-        .select("id", "n", F.posexplode("keys").alias("place", "key"))
-        .select("key", "id", "n", "place")
+        .select(F.explode("keys").alias("key"), "id", "n")
         .repartition("key")
         .sortWithinPartitions("key", "id")
     )
-    met = settle(rows.mapInArrow(_meet(p), "kind int, a long, b long, place int"))
+    met = settle(rows.mapInArrow(_meet(p), "kind int, a long, b long"))
     pairs = met.where("kind = 0").select("a", "b").distinct()
     links = settle(_links(pairs, sets, texts, p))
-    many = met.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("id"), "place")
+    many = met.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("id"))
     links = links.unionByName(_late_links(many, links, sets, texts, p))
     # Back to all documents.
     groups = components(links)
@@ -354,21 +358,15 @@ def _late_links(many: DataFrame, links: DataFrame, sets: DataFrame, texts: DataF
     if many.isEmpty():
         return empty
     known = components(links) if not links.isEmpty() else None
-    rows = many.withColumn("before", F.lag("key").over(Window.partitionBy("id").orderBy("place")))
-    rows = rows if known is None else rows.join(known, "id", "left")
-    rows = settle(rows.select("key", "id", "before", F.coalesce("component", "id").alias("component") if known is not None else F.col("id").alias("component")))
+    rows = many if known is None else many.join(known, "id", "left")
+    rows = settle(rows.select("key", "id", F.coalesce("component", "id").alias("component") if known is not None else F.col("id").alias("component")))
     members = [F.bit_xor(F.xxhash64(F.lit(i), F.col("id"))).alias(f"m{i}") for i in (1, 2)]
-    split = rows.groupBy("key").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"), *members,
-        F.min("before").alias("b0"), F.max("before").alias("b1"), F.count("before").alias("known"),
-    )
-    # Where all sets of a key come from one and the same key before it in their order, that key pairs them already.
-    split = split.where("x <> y and not (known = size and b0 = b1)")
+    split = rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"), *members).where("x <> y")
     # Of keys with the same sets one is enough.
     split = settle(split.groupBy("size", "m1", "m2").agg(F.min("key").alias("key")).select("key", "size"))
     if split.isEmpty():
         return empty
-    rows = settle(rows.drop("before").join(split, "key"))
+    rows = settle(rows.join(split, "key"))
     # Sets that keys tie together form clusters. One of at most a block makes a single tree, each set in it once. A larger
     # one is compared key by key, and a key of more than a block block by block: within each and between each two.
     hubs = rows.join(rows.groupBy("key").agg(F.min("id").alias("hub")), "key").select(F.col("hub").alias("a"), F.col("id").alias("b"))
@@ -376,18 +374,21 @@ def _late_links(many: DataFrame, links: DataFrame, sets: DataFrame, texts: DataF
     large = clusters.groupBy("component").agg(F.count("*").alias("in_cluster")).where(F.col("in_cluster") > p.block)
     clusters = clusters.withColumnRenamed("component", "cluster").join(large.withColumnRenamed("component", "cluster"), "cluster", "left")
     rows = rows.join(clusters, "id")
-    single = rows.where("in_cluster is null").select(F.col("cluster").alias("key"), "id", "component").distinct().select("*", F.lit(1).alias("size"))
-    rows = rows.where("in_cluster is not null").select("key", "id", "component", "size").unionByName(single)
+    single = rows.where("in_cluster is null").select(F.col("cluster").alias("key"), "id", "component").distinct()
+    single = single.select("*", F.lit(1).alias("size"), F.lit(None).cast("array<long>").alias("keys"))
+    many_keys = rows.where("in_cluster is not null")
+    lists = many_keys.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys"))  # at most a prefix long
+    rows = many_keys.select("key", "id", "component", "size").join(lists, "id").select("key", "id", "component", "size", "keys").unionByName(single)
     blocks = F.ceil(F.col("size") / p.block).cast("int")
     rows = settle(rows.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("blocks", blocks))
     near = F.lit(-1)
-    inner = rows.select(F.xxhash64("key", near, "own").alias("k"), F.lit(0).alias("side"), "id", "component")
+    inner = rows.select(F.xxhash64("key", near, "own").alias("k"), F.lit(0).alias("side"), "id", "component", "key", "keys")
     # Two blocks: the lower one's sets once more for each higher one, which asks.
     lower = rows.where("own + 1 < blocks").withColumn("high", F.explode(F.sequence(F.col("own") + 1, F.col("blocks") - 1)))
-    lower = lower.select(F.xxhash64("key", "high", "own").alias("k"), F.lit(0).alias("side"), "id", "component")
+    lower = lower.select(F.xxhash64("key", "high", "own").alias("k"), F.lit(0).alias("side"), "id", "component", "key", "keys")
     higher = rows.where("own > 0").withColumn("low", F.explode(F.sequence(F.lit(0), F.col("own") - 1)))
-    higher = higher.select(F.xxhash64("key", "own", "low").alias("k"), F.lit(1).alias("side"), "id", "component")
-    all_rows = inner.unionByName(higher).unionByName(lower).join(sets.select("id", "n", "vector"), "id").select("k", "side", "id", "n", "component", "vector")
+    higher = higher.select(F.xxhash64("key", "own", "low").alias("k"), F.lit(1).alias("side"), "id", "component", "key", "keys")
+    all_rows = inner.unionByName(higher).unionByName(lower).join(sets.select("id", "n", "vector"), "id").select("k", "side", "id", "n", "component", "key", "keys", "vector")
     all_rows = all_rows.repartition("k").sortWithinPartitions("k", "id")
     pairs = settle(all_rows.mapInArrow(_cross_pairs(p), "a long, b long").distinct())
     return _links(pairs, sets, texts, p)
