@@ -377,3 +377,95 @@ def human_size(n: Column) -> Column:
 
 def clamp(n: Column, low: int, high: int) -> Column:
     return F.least(F.greatest(n, F.lit(low)), F.lit(high))
+
+
+# ---- lists and maps
+def unique(values: Column) -> Column:
+    """First occurrences, in order."""
+    return F.array_distinct(values)
+
+
+def merge_lists(a: Column, b: Column) -> Column:
+    return F.concat(a, b)
+
+
+def merge_maps(a: Column, b: Column) -> Column:
+    """Entries of both; of equal keys the first map's."""
+    return F.map_concat(a, F.map_filter(b, lambda k, v: ~F.array_contains(F.map_keys(a), k)))
+
+
+def maps_differ(a: Column, b: Column) -> Column:
+    def entries(m: Column) -> Column:
+        return F.array_sort(F.map_entries(m))
+
+    return entries(a) != entries(b)
+
+
+def keep_characters(s: Column, test) -> Column:
+    """The characters for which ``test`` (a function of a column) holds."""
+    return F.array_join(F.filter(F.split(s, ""), test), "")
+
+
+def map_characters(s: Column, change) -> Column:
+    return F.array_join(F.transform(F.split(s, ""), change), "")
+
+
+def is_one_of(s: Column, values: list[str]) -> Column:
+    return s.isin(values)
+
+
+# ---- digests and codes
+def md5(s: Column) -> Column:
+    return F.md5(F.encode(s, "UTF-8"))
+
+
+def sha1(s: Column) -> Column:
+    return F.sha1(F.encode(s, "UTF-8"))
+
+
+def base64_encode(s: Column) -> Column:
+    """In one line."""
+    return F.regexp_replace(F.base64(F.encode(s, "UTF-8")), "[\r\n]", "")
+
+
+def base64_decode(s: Column) -> Column:
+    return F.decode(F.unbase64(s), "UTF-8")
+
+
+def hex_bytes(s: Column) -> Column:
+    return F.unhex(s)
+
+
+def to_bytes(s: Column) -> Column:
+    return F.encode(s, "UTF-8")
+
+
+def re_decode(raw: Column, charset: str) -> Column:
+    """Text of bytes in a character set."""
+    return F.decode(raw, charset)
+
+
+def random_text(length: int, alphabet: str = _UPPER + _LOWER + "0123456789", seed: int | None = None) -> Column:
+    """A random string for each row."""
+    letters = [F.substring(F.lit(alphabet), (F.floor(F.rand(None if seed is None else seed + i) * len(alphabet)) + 1).cast("int"), F.lit(1)) for i in range(length)]
+    return F.concat(*letters)
+
+
+def identifier() -> Column:
+    return F.uuid()
+
+
+# ---- commands
+def arguments(s: Column) -> Column:
+    """Arguments of a command line: words, or text in single or double quotes, where a backslash keeps a quote."""
+    found = F.regexp_extract_all(s, F.lit(r"""("(?:\\.|[^"\\])*"|'(?:\\.|[^'\\])*'|[^ \t]+)"""), F.lit(1))
+    return F.transform(found, lambda x: F.when(x.rlike(r"""(?s)^(["']).*\1\z"""), F.regexp_replace(F.substring(x, F.lit(2), F.char_length(x) - 2), r"""\\(["'])""", "$1")).otherwise(x))
+
+
+# ---- time zones
+def to_utc(t: Column, zone: str) -> Column:
+    return F.to_utc_timestamp(t, zone)
+
+
+def from_utc(t: Column, zone: str) -> Column:
+    return F.from_utc_timestamp(t, zone)

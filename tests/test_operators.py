@@ -188,3 +188,11 @@ def test_phonemes():
 
 def test_patterns_compile():
     assert re.compile(synonyms.t.DATE.replace("\\z", "\\Z"))
+
+
+def test_keyboard():
+    from kotonoha.functions import keyboard
+
+    assert keyboard.convert("nihongo", "r") == "にほんご" and keyboard.convert("gakkou", "r") == "がっこう" and keyboard.convert("kyouto", "r") == "きょうと" and keyboard.convert("nyaa", "r") == "にゃあ"
+    assert keyboard.convert("にほんご", "R") == "nihongo" and keyboard.convert("がっこう", "R") == "gakkou" and keyboard.convert("かー", "R") == "kaa"
+    assert keyboard.convert("t@", "K") == "が" and keyboard.convert("がぱ", "k") == "t@f["

@@ -182,3 +182,16 @@ def test_query_equals_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(n for n in queries.QUERIES if n not in queries.ORACLE_SQL))
 def test_other_queries_give_rows(spark, name):
     assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_more_string_functions(spark):
+    one = spark.range(1)
+
+    def value(column):
+        return one.select(column.alias("v")).first()["v"]
+
+    s = F.lit
+    assert value(st.arguments(s("a 'b c' \"d \\\" e\" f"))) == ["a", "b c", 'd " e', "f"] and value(st.keep_characters(s("a1b2"), lambda c: c.rlike("[0-9]"))) == "12"
+    assert value(st.merge_maps(F.create_map(s("a"), s(1)), F.create_map(s("a"), s(2), s("b"), s(3)))) == {"a": 1, "b": 3} and value(st.maps_differ(F.create_map(s("a"), s(1)), F.create_map(s("a"), s(2))))
+    assert value(st.md5(s("a"))) == "0cc175b9c0f1b6a831c399e269772661" and value(st.base64_decode(st.base64_encode(s("é")))) == "é" and len(value(st.random_text(7))) == 7
+    assert value(st.unique(F.array(s(2), s(1), s(2)))) == [2, 1] and value(st.map_characters(s("ab"), lambda c: F.upper(c))) == "AB" and value(st.re_decode(F.unhex(s("E9")), "ISO-8859-1")) == "é"
