@@ -332,10 +332,8 @@ def _only_link(part: str, next_line: str) -> str:
         more = w.any_bracket(part, rest, anywhere=False) if part[rest] in w.OPENERS and part[rest] != "[" else None
         if not more or more[3] + 1 < len(part):
             return ""
-        stars = re.match(f"[{SPACE}\n*]*", next_line)[0].count("*")
-        if stars > 1 + m[0].count("*"):
-            return ""
-    return part[m.end() : span[3]]
+    stars = re.match(f"[{SPACE}\n*]*", next_line)[0].count("*")
+    return "" if stars > 1 + m[0].count("*") else part[m.end() : span[3]]
 
 
 def disambiguation_targets(title: str, inner: str, *, raw_tags: bool = False) -> list[str]:

@@ -171,7 +171,7 @@ def test_layouts():
     assert [c.name for c in characters.parse_cast("劇", "\n== 登場人物 ==\n" + heading)] == ["山田太郎", "川花子"]
     bullets = "== 登場人物 ==\n* 山田太郎（やまだたろう）：[[林 二]]\n* 川花子（かわはなこ）：[[森 三]]\n* 海次郎（うみじろう）\n"
     assert [(c.name, c.reading, c.actors) for c in characters.parse_cast("劇", bullets)][:2] == [("山田太郎", "やまだたろう", ("林 二",)), ("川花子", "かわはなこ", ("森 三",))]
-    table = "== 登場人物 ==\n{|\n|-\n|山田太郎||やまだたろう||[[林 二]]\n|-\n|川花子||かわはなこ||[[森 三]]\n|}\n"
+    table = "== 登場人物 ==\n{| class=wikitable\n|-\n|山田太郎||やまだたろう||[[林 二]]\n|-\n|川花子||かわはなこ||[[森 三]]\n|}\n"
     assert len(characters.parse_cast("劇", table)) == 2
 
 
