@@ -337,8 +337,10 @@ def _only_link(part: str, next_line: str) -> str:
 
 
 def disambiguation_targets(title: str, inner: str, *, raw_tags: bool = False) -> list[str]:
-    """Targets that the bullets of a disambiguation page name, in order."""
+    """Targets that the bullets of a disambiguation page name, in order; nothing for other pages."""
     names = Names(title)
+    if not re.search(r"\{\{(?:aimai|Aimai|AIMAI)\}\}", inner):
+        return []
     text = w.clean(inner, raw_tags=raw_tags).replace("'''", "")
     related = text.find("\n== 関連項目")
     if related >= 0:

@@ -130,7 +130,7 @@ def redirect_sources(pages: DataFrame, options: Options = Options(), *, whole_re
 
     def targets(name: str, text: str, redirect: bool) -> list[str]:
         found = syn.redirect_target(name, text, whole_rest=whole_rest) if redirect else []
-        return found or (syn.disambiguation_targets(name, text, raw_tags=options.raw_tags) if "{{" in text and any(f"{{{{{x}}}}}" in text for x in ("aimai", "Aimai", "AIMAI")) else [])
+        return found or syn.disambiguation_targets(name, text, raw_tags=options.raw_tags)
 
     found = text_udf(targets, "array<string>")
     return body.select(F.explode(found("title", "inner", "redirect")).alias("target"), F.col("title").alias("source"), "ordinal")
