@@ -195,3 +195,15 @@ def test_more_string_functions(spark):
     assert value(st.merge_maps(F.create_map(s("a"), s(1)), F.create_map(s("a"), s(2), s("b"), s(3)))) == {"a": 1, "b": 3} and value(st.maps_differ(F.create_map(s("a"), s(1)), F.create_map(s("a"), s(2))))
     assert value(st.md5(s("a"))) == "0cc175b9c0f1b6a831c399e269772661" and value(st.base64_decode(st.base64_encode(s("é")))) == "é" and len(value(st.random_text(7))) == 7
     assert value(st.unique(F.array(s(2), s(1), s(2)))) == [2, 1] and value(st.map_characters(s("ab"), lambda c: F.upper(c))) == "AB" and value(st.re_decode(F.unhex(s("E9")), "ISO-8859-1")) == "é"
+
+
+def test_sql_names(spark, pages):
+    from kotonoha.plans import sql
+
+    assert "reading" in sql.register(spark)
+    pages.createOrReplaceTempView("lexicon")
+    row = spark.sql("SELECT reading(strip_disambiguation(title), inner) AS r, kana_convert('かな', 'C') AS k, snip('a(b)c', '(', ')') AS s, reading(NULL, inner) AS n FROM lexicon WHERE title LIKE '山川町%'").first()
+    assert (row["r"], row["k"], row["s"], row["n"]) == ("やまかわちょう", "カナ", "ac", None)
+    rows = spark.sql("SELECT c.name FROM lexicon, LATERAL character_rows(title, inner) AS c WHERE title = '劇'").collect()
+    assert {r["name"] for r in rows} == {"山田太郎", "花子"}
+    assert spark.sql("SELECT size(synonyms_of(title, inner)) AS n FROM lexicon WHERE title LIKE '山川町%'").first()["n"] == 1
