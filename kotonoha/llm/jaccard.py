@@ -23,10 +23,12 @@ keep a null component); an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +42,7 @@ from .components import components, forest
 class JaccardParams:
     width: int = 5
     percent: int = 75  # links: 100 * intersection >= percent * union
+    blocks: int = 128  # parts in which the table of counts is summed
     groups: int = 128  # coordinates of a point in a tree
     widest: int = 16384  # most coordinates of a set's own vector, which has one for every second shingle
     slot_bits: int = 23  # of the table of how common shingles are
@@ -74,7 +77,7 @@ def _overlap_bound(x: bytes, y: bytes) -> int:
 
 
 def _digests(p: JaccardParams):
-    """Per text (kind 0): size and count vector; per task (kind 1): how often slots of shingles occurred."""
+    """Per text (kind 0): size and count vector; per task (kind 1): blocks of a table of how often slots of shingles occurred."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = np.zeros(1 << p.slot_bits, np.uint32)
@@ -90,21 +93,33 @@ def _digests(p: JaccardParams):
                     pa.array(np.zeros(n, np.int32)), pa.array(keys[block.lo : block.hi]), pa.array(np.diff(at)),
                     pa.array(_count_vectors(found, at, p), pa.binary()),
                 ], ["kind", "id", "n", "vector"])
-        # Slots well above this task's mean; others cannot be common over all unless spread thinly, which only costs keys.
-        often = np.flatnonzero(slots >= 4 + 4 * seen / len(slots))
-        if len(often):
-            none = pa.array([None] * len(often), pa.binary())
-            yield pa.record_batch([pa.array(np.ones(len(often), np.int32)), pa.array(often), pa.array(slots[often].astype(np.int64)), none], ["kind", "id", "n", "vector"])
+        if seen:
+            table = np.minimum(slots, 255).astype(np.uint8).reshape(p.blocks, -1)
+            yield pa.record_batch([pa.array(np.ones(p.blocks, np.int32)), pa.array(np.arange(p.blocks)), pa.array(np.zeros(p.blocks, np.int64)), pa.array([zlib.compress(x.tobytes(), 1) for x in table], pa.binary())], ["kind", "id", "n", "vector"])
 
     return run
 
 
-def _order_table(rows: DataFrame, p: JaccardParams) -> np.ndarray:
-    """Class of each slot: the power of two of its count over all texts; at most 2**slot_bits bytes, whatever the corpus."""
-    got = rows.groupBy("id").agg(F.sum("n").alias("n")).where("n >= 16").select("id", F.floor(F.log2("n")).cast("int").alias("c")).toArrow()
-    table = np.zeros(1 << p.slot_bits, np.uint8)
-    table[got.column("id").to_numpy()] = got.column("c").to_numpy()
-    return table
+def _order_table(rows: DataFrame, total: int, p: JaccardParams) -> np.ndarray:
+    """Class of each slot: the power of two of its count over all texts, 0 unless it stands out; 2**slot_bits bytes.
+
+    Tasks' tables are summed block by block, in two steps so that no task adds up those of all tasks.
+    """
+
+    def added(frame: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros((1 << p.slot_bits) // p.blocks, np.uint32)
+        for x in frame["vector"]:
+            out += np.frombuffer(x, np.uint32) if len(x) == 4 * len(out) else np.frombuffer(zlib.decompress(x), np.uint8)
+        return pd.DataFrame({"id": frame["id"].iloc[:1], "vector": [out.tobytes()]})
+
+    salts = 1 + rows.count() // p.blocks // 64
+    partial = rows.select("id", "vector", F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt")).groupBy("id", "salt").applyInPandas(added, "id long, vector binary")
+    got = (partial.groupBy("id").applyInPandas(added, "id long, vector binary") if salts > 1 else partial).toArrow()
+    counts = np.zeros((p.blocks, (1 << p.slot_bits) // p.blocks), np.uint32)
+    for block, x in zip(got.column("id").to_pylist(), got.column("vector").to_pylist(), strict=True):
+        counts[block] = np.frombuffer(x, np.uint32)
+    counts, mean = counts.ravel(), total / (1 << p.slot_bits)
+    return np.where(counts >= 12 + mean + 6 * mean**0.5, np.log2(np.maximum(counts, 1)), 0).astype(np.uint8)
 
 
 def _prefix_keys(p: JaccardParams, table):
@@ -308,7 +323,12 @@ def _links(pairs: DataFrame, sets: DataFrame, texts: DataFrame, p: JaccardParams
 
 def jaccard_groups(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id), one for each distinct id of ``docs``."""
-    p, spark = params, docs.sparkSession
+    return _grouped(docs.select("doc_id", "text"), params)[0]
+
+
+def _grouped(docs: DataFrame, p: JaccardParams) -> tuple[DataFrame, DataFrame]:
+    """The groups, and the rows of one document for each distinct text that is not empty, bucketed by id."""
+    spark = docs.sparkSession
     # Equal texts first: one row for each, by a 96-bit digest and the length, nothing but digests is shuffled.
     digest = [F.xxhash64("text").alias("h"), F.crc32(F.col("text").cast("binary")).alias("c"), F.octet_length("text").alias("l")]
     ids = settle(docs.select("doc_id", *digest).groupBy("doc_id").agg(F.min(F.struct("h", "c", "l")).alias("d"), F.count("*").alias("rows")).select("doc_id", "d.*", "rows"))
@@ -316,24 +336,27 @@ def jaccard_groups(docs: DataFrame, params: JaccardParams = JaccardParams()) ->
     leads = same.where("l > 0").select(F.col("lead").alias("doc_id"), "h", "c", "l")
     # The lead's row again, by id; the digest is compared in a form that keeps the id the only key of the join, so that
     # texts move once, to the buckets that later joins use. Rows that repeat an id with another text are not taken.
-    ours, lead = docs.select("doc_id", "text", *digest).alias("x"), leads.alias("y")
-    same_text = (F.col("x.h").bitwiseXOR(F.col("y.h")) == 0) & (F.col("x.c") - F.col("y.c") == 0) & (F.col("x.l") - F.col("y.l") == 0)
-    texts = ours.join(lead, (F.col("x.doc_id") == F.col("y.doc_id")) & same_text, "left_semi").select("doc_id", "text")
+    text = F.col("x.text")
+    ours = (F.xxhash64(text), F.crc32(text.cast("binary")), F.octet_length(text))
+    same_text = (ours[0].bitwiseXOR(F.col("y.h")) == 0) & (ours[1] - F.col("y.c") == 0) & (ours[2] - F.col("y.l") == 0)
+    rows = docs.alias("x").join(leads.alias("y"), (F.col("x.doc_id") == F.col("y.doc_id")) & same_text, "left_semi")
     if not ids.where("rows > 1").isEmpty():
-        texts = texts.dropDuplicates(["doc_id"])
-    texts = settle_by(texts, "doc_id")
+        rows = rows.dropDuplicates(["doc_id"])
+    rows = settle_by(rows, "doc_id")
+    texts = rows.select("doc_id", "text")
     found = settle(texts.mapInArrow(_digests(p), "kind int, id long, n long, vector binary"))
-    table = spark.sparkContext.broadcast(_order_table(found.where("kind = 1"), p))
+    total = found.agg(F.sum("n")).first()[0] or 0
+    table = spark.sparkContext.broadcast(_order_table(found.where("kind = 1"), total, p))
     # Vectors move once as well, to the buckets of their ids.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sets = settle_by(found.where("kind = 0").select("id", "n", "vector").repartition(parts, "id"), "id")
-    rows = (
+    keyed = (
         texts.mapInArrow(_prefix_keys(p, table), "id long, n int, keys array<long>")
         .select(F.explode("keys").alias("key"), "id", "n")
         .repartition("key")
         .sortWithinPartitions("key", "id")
     )
-    met = settle(rows.mapInArrow(_meet(p), "kind int, a long, b long"))
+    met = settle(keyed.mapInArrow(_meet(p), "kind int, a long, b long"))
     pairs = met.where("kind = 0").select("a", "b").distinct()
     links = settle(_links(pairs, sets, texts, p))
     many = met.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("id"))
@@ -347,9 +370,10 @@ def jaccard_groups(docs: DataFrame, params: JaccardParams = JaccardParams()) ->
                 F.when(F.col("n_shingles") > 0, F.coalesce("component", "lead")).alias("component_id"))
     )
     match = [ids[k].eqNullSafe(per_text[k]) for k in ("h", "c", "l")]
-    return ids.join(per_text, match, "left").select(
+    groups = ids.join(per_text, match, "left").select(
         "doc_id", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
+    return groups, rows
 
 
 def _late_links(many: DataFrame, links: DataFrame, sets: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame:
@@ -367,16 +391,19 @@ def _late_links(many: DataFrame, links: DataFrame, sets: DataFrame, texts: DataF
     if split.isEmpty():
         return empty
     rows = settle(rows.join(split, "key"))
-    # Sets that keys tie together form clusters. One of at most a block makes a single tree, each set in it once. A larger
-    # one is compared key by key, and a key of more than a block block by block: within each and between each two.
-    hubs = rows.join(rows.groupBy("key").agg(F.min("id").alias("hub")), "key").select(F.col("hub").alias("a"), F.col("id").alias("b"))
-    clusters = settle(components(hubs))
-    large = clusters.groupBy("component").agg(F.count("*").alias("in_cluster")).where(F.col("in_cluster") > p.block)
-    clusters = clusters.withColumnRenamed("component", "cluster").join(large.withColumnRenamed("component", "cluster"), "cluster", "left")
-    rows = rows.join(clusters, "id")
-    single = rows.where("in_cluster is null").select(F.col("cluster").alias("key"), "id", "component").distinct()
-    single = single.select("*", F.lit(1).alias("size"), F.lit(None).cast("array<long>").alias("keys"))
-    many_keys = rows.where("in_cluster is not null")
+    # Sets that keys tie together form clusters (keys are nodes as well). A cluster is compared as a whole, each set in it
+    # once, or key by key, whichever costs less in comparisons and rows; more than a block of sets go block by block:
+    # within each and between each two.
+    ties = settle(components(rows.select(F.col("key").alias("a"), F.col("id").alias("b"))))
+    members = rows.select("id", "component").distinct().join(ties.withColumnRenamed("component", "cluster"), "id")
+    work = split.join(ties.select(F.col("id").alias("key"), F.col("component").alias("cluster")), "key")
+    m, each = F.col("m").cast("double"), 1000.0  # a row costs about as much as so many comparisons
+    sizes = members.groupBy("cluster").agg(F.count("*").alias("m"))
+    costs = work.groupBy("cluster").agg(F.sum(F.col("size").cast("double") * F.col("size") + each * F.col("size")).alias("by_key"))
+    whole = settle(sizes.join(costs, "cluster").select("cluster", "m", (m * m + each * m * F.ceil(m / p.block) <= F.col("by_key")).alias("whole")))
+    single = members.join(whole.where("whole or m <= %d" % p.block), "cluster").select(F.col("cluster").alias("key"), "id", "component", F.col("m").alias("size"), F.lit(None).cast("array<long>").alias("keys"))
+    by_key = work.join(whole.where("not whole and m > %d" % p.block), "cluster").select("key")
+    many_keys = rows.join(by_key, "key", "left_semi")
     lists = many_keys.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys"))  # at most a prefix long
     rows = many_keys.select("key", "id", "component", "size").join(lists, "id").select("key", "id", "component", "size", "keys").unionByName(single)
     blocks = F.ceil(F.col("size") / p.block).cast("int")
@@ -395,9 +422,16 @@ def _late_links(many: DataFrame, links: DataFrame, sets: DataFrame, texts: DataF
 
 
 def one_of_each(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
-    """The documents that are the smallest id of their group, all columns as they were; rows with a null id stay."""
-    drop = jaccard_groups(docs, params).where("doc_id <> component_id").select("doc_id")
-    return docs.join(drop, "doc_id", "left_anti").select(docs.columns)
+    """The documents that are the smallest id of their group, all columns as they were; rows with a null id stay.
+
+    Rows without words belong to no group and stay as they are. All others are taken from the bucketed rows that the
+    groups were found on, so texts are not moved again; of several rows of one id one is kept.
+    """
+    groups, rows = _grouped(docs, params)
+    drop = groups.where("doc_id <> component_id").select("doc_id")
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = rows.where(worded).join(drop, "doc_id", "left_anti").select(docs.columns)
+    return kept.unionByName(docs.where(~worded | F.col("doc_id").isNull()))
 
 
 __all__ = ["CountTree", "JaccardParams", "forest", "jaccard_groups", "one_of_each"]
