@@ -44,7 +44,9 @@ def settle_by(df: DataFrame, key: str) -> DataFrame:
         df.write.option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}")
         .bucketBy(parts, key).format("parquet").saveAsTable(name)
     )
-    return spark.table(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # of an external table only the name goes
+    return table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
