@@ -7,7 +7,7 @@ that the threshold demands is never opened. Surviving pairs are verified on the
 
 One tree over the corpus would be one task and, in many dimensions, a full scan. So trees are built per *prefix key*:
 if two sets reach the threshold, they share one of the first |A| - ceil(t|A|) + 1 shingles of each in any one fixed order
-of all shingles. The order is by how common a shingle is over all texts, then by hash, so passages that many documents
+of all shingles; and a prefix longer by e makes them share e + 1 of them. The order is by how common a shingle is over all texts, then by hash, so passages that many documents
 share come last and make no keys. Sets that meet under a key are compared there; nothing that could link is left out.
 
 Skew: equal texts are folded to their smallest id before anything else. A key that more than ``few`` sets
@@ -46,6 +46,7 @@ class JaccardParams:
     groups: int = 128  # coordinates of a point in a tree
     widest: int = 16384  # most coordinates of a set's own vector, which has one for every second shingle
     slot_bits: int = 23  # of the table of how common shingles are
+    more: int = 40  # a set has a further key for so many shingles
     few: int = 12  # sets of a key that are paired at once
     block: int = 2000  # sets of a tree
     fan: int = 16  # children of a node
@@ -133,7 +134,7 @@ def _prefix_keys(p: JaccardParams, table):
                 owner = np.repeat(np.arange(len(sizes)), sizes)
                 rank = classes[(found >> np.uint64(64 - p.slot_bits)).astype(np.int64)]
                 order = np.lexsort((bw.mix(found), rank, owner))
-                take = np.where(sizes > 0, sizes - -(-sizes * p.percent // 100) + 1, 0)
+                take = np.where(sizes > 0, sizes - -(-sizes * p.percent // 100) + 1 + sizes // p.more, 0)
                 chosen = found[order][bw.ranges(at[:-1], at[:-1] + take)].view(np.int64)
                 bounds = np.concatenate(([0], np.cumsum(take))).astype(np.int32)
                 yield pa.record_batch([pa.array(keys[block.lo : block.hi]), pa.array(sizes.astype(np.int32)), pa.ListArray.from_arrays(pa.array(bounds), pa.array(chosen))], ["id", "n", "keys"])
@@ -187,10 +188,10 @@ def _meet(p: JaccardParams):
             if len(a):
                 pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
                 pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-                yield pa.record_batch([pa.array(np.zeros(len(pairs), np.int32)), pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["kind", "a", "b"])
+                yield pa.record_batch([pa.array(np.zeros(len(pairs), np.int32)), pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), pa.nulls(len(pairs), pa.int32())], ["kind", "a", "b", "n"])
             many = np.flatnonzero(crowd > p.few)
             if len(many):
-                yield pa.record_batch([pa.array(np.ones(len(many), np.int32)), pa.array(key[many]), pa.array(ident[many])], ["kind", "a", "b"])
+                yield pa.record_batch([pa.array(np.ones(len(many), np.int32)), pa.array(key[many]), pa.array(ident[many]), pa.array(n[many].astype(np.int32))], ["kind", "a", "b", "n"])
 
     return run
 
@@ -356,10 +357,10 @@ def _grouped(docs: DataFrame, p: JaccardParams) -> tuple[DataFrame, DataFrame]:
         .repartition("key")
         .sortWithinPartitions("key", "id")
     )
-    met = settle(keyed.mapInArrow(_meet(p), "kind int, a long, b long"))
+    met = settle(keyed.mapInArrow(_meet(p), "kind int, a long, b long, n int"))
     pairs = met.where("kind = 0").select("a", "b").distinct()
     links = settle(_links(pairs, sets, texts, p))
-    many = met.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("id"))
+    many = met.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("id"), "n")
     links = links.unionByName(_late_links(many, links, sets, texts, p))
     # Back to all documents.
     groups = components(links)
@@ -382,15 +383,23 @@ def _late_links(many: DataFrame, links: DataFrame, sets: DataFrame, texts: DataF
     if many.isEmpty():
         return empty
     known = components(links) if not links.isEmpty() else None
+    # Two sets that no smaller key has paired share more than `e` keys, all of them large, where `e` is the lesser number
+    # of their further keys. Sets with too few large keys drop out, then keys that hold one component only; twice.
     rows = many if known is None else many.join(known, "id", "left")
-    rows = settle(rows.select("key", "id", F.coalesce("component", "id").alias("component") if known is not None else F.col("id").alias("component")))
+    rows = settle(rows.select("key", "id", "n", F.coalesce("component", "id").alias("component") if known is not None else F.col("id").alias("component")))
+    needed = F.floor(F.ceil(F.col("n") * p.percent / 100) / p.more) + 1
     members = [F.bit_xor(F.xxhash64(F.lit(i), F.col("id"))).alias(f"m{i}") for i in (1, 2)]
-    split = rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"), *members).where("x <> y")
+    for _ in range(2):
+        busy = rows.groupBy("id", "n").agg(F.count("*").alias("keys")).where(F.col("keys") >= needed).select("id")
+        rows = rows.join(busy, "id", "left_semi")
+        split = settle(rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"), *members).where("x <> y"))
+        rows = settle(rows.join(split, "key", "left_semi"))
+    split = split.select("key", "size", "m1", "m2")
     # Of keys with the same sets one is enough.
     split = settle(split.groupBy("size", "m1", "m2").agg(F.min("key").alias("key")).select("key", "size"))
     if split.isEmpty():
         return empty
-    rows = settle(rows.join(split, "key"))
+    rows = settle(rows.select("key", "id", "component").join(split, "key"))
     # Sets that keys tie together form clusters (keys are nodes as well). A cluster is compared as a whole, each set in it
     # once, or key by key, whichever costs less in comparisons and rows; more than a block of sets go block by block:
     # within each and between each two.
