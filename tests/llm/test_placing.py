@@ -230,3 +230,19 @@ def test_em_trusts_the_better_labeler():
     model = pii.fit({(0, (1, 1, 1, 0)): 90, (0, (1, -1, 1, 0)): 20, (0, (-1, 1, -1, 0)): 25, (0, (-1, -1, -1, 0)): 80})
     assert model.reliability[0] > model.reliability[1]
     assert model.scores[0, (1, -1, 1, 0)] > 0.5 > model.scores[0, (-1, 1, -1, 0)]
+
+
+def test_url_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql("CREATE VIEW pages AS SELECT * FROM '/root/testdata/sf0.01/pages.parquet'")
+    want = con.sql(queries.ORACLE_SQL["op7_url_rules"]).df()
+    got = queries.QUERIES["op7_url_rules"](spark, "/root/testdata/sf0.01").toPandas()
+    columns = ["page_id", "host", "path", "rule", "verdict"]
+
+    def rows(df):
+        return sorted(tuple(None if x != x else x for x in r) for r in df[columns].itertuples(index=False))
+
+    assert sorted(want.columns) == sorted(columns) and [tuple(map(str, r)) for r in rows(got)] == [tuple(map(str, r)) for r in rows(want)]
+    assert {r[4] for r in rows(got)} == {"allow", "block"} and sum(r[3] is None for r in rows(got)) > 0
