@@ -122,8 +122,13 @@ def english_words(pages: DataFrame, options: Options = Options()) -> DataFrame:
     return table.select(reading_case(F.col("reading"), options.case).alias("reading"), "english")
 
 
-def redirect_sources(pages: DataFrame, options: Options = Options(), *, whole_rest: bool = True) -> DataFrame:
-    """(target, source, ordinal): which pages lead to a title, by redirect or disambiguation."""
+def redirect_sources(pages: DataFrame, options: Options = Options(), *, whole_rest: bool = True, full_targets: bool = False) -> DataFrame:
+    """(target, source, ordinal): which pages lead to a title, by redirect or disambiguation.
+
+    By default a target is a link's label without parentheses, and a ``#`` anywhere behind it drops the redirect. With
+    ``whole_rest=False`` only the link itself is looked at; with ``full_targets`` redirects lead to the linked page's full
+    title, found natively.
+    """
     title, inner = F.col("title"), F.col("inner")
     body = pages.where(~t.is_noise(title) & ~t.is_list_page(title))
     body = body.where(t.is_redirect(inner) | t.is_disambiguation(inner)).select("ordinal", "title", "inner", t.is_redirect(inner).alias("redirect"))
@@ -133,10 +138,15 @@ def redirect_sources(pages: DataFrame, options: Options = Options(), *, whole_re
         return found or syn.disambiguation_targets(name, text, raw_tags=options.raw_tags)
 
     found = text_udf(targets, "array<string>")
-    return body.select(F.explode(found("title", "inner", "redirect")).alias("target"), F.col("title").alias("source"), "ordinal")
+    if not full_targets:
+        return body.select(F.explode(found("title", "inner", "redirect")).alias("target"), F.col("title").alias("source"), "ordinal")
+    link = F.regexp_extract("inner", r"(?s)>#(?:転送|REDIRECT|redirect|Redirect).*?\[\[([^|\]]*)", 1)
+    direct = body.where("redirect").select(F.trim(link).alias("target"), F.col("title").alias("source"), "ordinal")
+    others = body.where(~F.col("redirect")).select(F.explode(found("title", "inner", "redirect")).alias("target"), F.col("title").alias("source"), "ordinal")
+    return direct.where((F.col("target") != "") & ~F.contains("target", F.lit("#")) & (F.col("target") != F.col("source"))).unionByName(others)
 
 
-def synonyms(pages: DataFrame, options: Options = Options()) -> DataFrame:
+def synonyms(pages: DataFrame, options: Options = Options(), *, whole_rest: bool = True, full_targets: bool = False) -> DataFrame:
     """(title, synonyms): names stated by the article, then titles of pages that lead to it, in order of the export.
 
     ``pages`` needs ``ordinal``. Sources are grouped by target and joined to articles by title; the plan broadcasts the
@@ -147,7 +157,7 @@ def synonyms(pages: DataFrame, options: Options = Options()) -> DataFrame:
     body = body.where(~t.is_redirect(inner) & ~t.is_disambiguation(inner) & ~t.is_same_name(inner))
     found = text_udf(lambda a, b, raw=options.raw_tags: syn.synonyms(a, b, raw_tags=raw), "array<string>")
     own = _stripped(body.select("title", found("title", "inner").alias("own")))
-    sources = redirect_sources(pages, options).groupBy(F.col("target").alias("title")).agg(F.sort_array(F.collect_list(F.struct("ordinal", "source"))).alias("led"))
+    sources = redirect_sources(pages, options, whole_rest=whole_rest, full_targets=full_targets).groupBy(F.col("target").alias("title")).agg(F.sort_array(F.collect_list(F.struct("ordinal", "source"))).alias("led"))
     joined = own.join(sources, "title", "left")
     led = F.coalesce(F.transform("led", lambda x: x["source"]), F.array().cast("array<string>"))
     names = F.array_distinct(F.concat("own", led))

@@ -1,6 +1,7 @@
 """Plans end to end: a small export, every table and option, native forms against Python, streaming, SQL of the queries."""
 
 import itertools
+import random
 
 import duckdb
 import pandas as pd
@@ -69,6 +70,8 @@ def test_english(pages):
 def test_synonyms(pages):
     got = {r["title"]: list(r["synonyms"]) for r in plans.synonyms(pages).collect()}
     assert got["バス"] == ["乗合", "あいまい"] and got["山川町"] == ["山町"]
+    full = {r["title"]: list(r["synonyms"]) for r in plans.synonyms(pages, full_targets=True, whole_rest=False).collect()}
+    assert full["山川町"] == ["山町", "旧町"] and full["バス"] == ["乗合", "あいまい"]
     plan = plans.synonyms(pages)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
@@ -120,6 +123,8 @@ def test_streaming_equals_batch(spark, export, pages):
 
 def test_native_equals_python(spark):
     words = ["", "1月", "11月1", "1年11月", "1年1月", "昭和5年", "国道1号", "県道2号", "日本の山", "系電車", "あ行", "正月", "一月三日", "旧暦1日", "ABC", "File:x", "2011年11月11日x", "12345", "猫 ", "カタ・カナ", "Ωω", "?", "ж", "かなカナ漢字Ａ１ｱｶﾞ"]
+    rng = random.Random(5)
+    words += ["".join(rng.choice("漢字山かなのカナヴーｱｶﾞﾊﾟＡ１a1Z _・-年月日123一覧の昭和旧暦県道号File:…‐～Ωж") for _ in range(rng.randint(1, 9))) for _ in range(400)]
     df = spark.createDataFrame([(i, x) for i, x in enumerate(words)], "i int, s string")
     rows = df.select(
         "i", titles.is_noise(F.col("s")).alias("noise"), charclass.unreadable_column(F.col("s")).alias("tofu"), *[charclass.only_column(F.col("s"), n).alias(n) for n in charclass.ONLY],
