@@ -107,20 +107,28 @@ def _order_table(rows: DataFrame, total: int, p: JaccardParams) -> np.ndarray:
     Tasks' tables are summed block by block, in two steps so that no task adds up those of all tasks.
     """
 
-    def added(frame: pd.DataFrame) -> pd.DataFrame:
-        out = np.zeros((1 << p.slot_bits) // p.blocks, np.uint32)
-        for x in frame["vector"]:
-            out += np.frombuffer(x, np.uint32) if len(x) == 4 * len(out) else np.frombuffer(zlib.decompress(x), np.uint8)
-        return pd.DataFrame({"id": frame["id"].iloc[:1], "vector": [out.tobytes()]})
+    size, mean = (1 << p.slot_bits) // p.blocks, total / (1 << p.slot_bits)
+
+    def added(last: bool):
+        def run(frame: pd.DataFrame) -> pd.DataFrame:
+            counts = np.zeros(size, np.uint32)
+            for x in frame["vector"]:
+                counts += np.frombuffer(x, np.uint32) if len(x) == 4 * size else np.frombuffer(zlib.decompress(x), np.uint8)
+            if last:
+                counts = np.where(counts >= 12 + mean + 6 * mean**0.5, np.log2(np.maximum(counts, 1)), 0).astype(np.uint8)
+            return pd.DataFrame({"id": frame["id"].iloc[:1], "vector": [counts.tobytes()]})
+
+        return run
 
     salts = 1 + rows.count() // p.blocks // 64
-    partial = rows.select("id", "vector", F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt")).groupBy("id", "salt").applyInPandas(added, "id long, vector binary")
-    got = (partial.groupBy("id").applyInPandas(added, "id long, vector binary") if salts > 1 else partial).toArrow()
-    counts = np.zeros((p.blocks, (1 << p.slot_bits) // p.blocks), np.uint32)
-    for block, x in zip(got.column("id").to_pylist(), got.column("vector").to_pylist(), strict=True):
-        counts[block] = np.frombuffer(x, np.uint32)
-    counts, mean = counts.ravel(), total / (1 << p.slot_bits)
-    return np.where(counts >= 12 + mean + 6 * mean**0.5, np.log2(np.maximum(counts, 1)), 0).astype(np.uint8)
+    rows = rows.select("id", "vector", F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt"))
+    if salts > 1:
+        rows = rows.groupBy("id", "salt").applyInPandas(added(False), "id long, vector binary")
+    got = rows.groupBy("id").applyInPandas(added(True), "id long, vector binary").toArrow()
+    table = np.zeros((p.blocks, size), np.uint8)
+    for block, x in zip(got.column("id").to_pylist(), got.column("vector"), strict=True):
+        table[block] = np.frombuffer(x.as_buffer(), np.uint8)
+    return table.ravel()
 
 
 def _prefix_keys(p: JaccardParams, table):

@@ -12,7 +12,7 @@ and the text are ignored, repeated rows give repeated results, and labels repeat
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -79,13 +79,6 @@ class FtrlModel:
         return out
 
 
-@dataclass
-class _State:
-    z: np.ndarray
-    n: np.ndarray
-    bias: list = field(default_factory=lambda: [0.0, 0.0])
-
-
 def fit(texts: list[str], labels: np.ndarray, params: FtrlParams = FtrlParams()) -> FtrlModel:
     size = 1 << params.bits
     z, n = np.zeros(size), np.zeros(size)
@@ -98,7 +91,7 @@ def fit(texts: list[str], labels: np.ndarray, params: FtrlParams = FtrlParams())
         slots, at = features(block, params.bits)
         for i in range(len(at) - 1):
             own, counts = np.unique(slots[at[i] : at[i + 1]], return_counts=True)
-            rows.append((own, params.scale * counts / max(1, counts.sum())))
+            rows.append((own.astype(np.int32), (params.scale * counts / max(1, counts.sum())).astype(np.float32)))
     rng = np.random.default_rng(7)
 
     def weight(zi, ni):
