@@ -1,7 +1,7 @@
 """Quality classifier: hashed word n-grams, logistic regression with follow-the-regularised-leader updates.
 
-A text's features are its single words, pairs of neighbouring words, runs of symbols, and for a word wholly in capitals
-a marker, all hashed into ``2**bits`` weights; each counts by its share of the text. Training (driver, numpy) walks over
+A text's features are its single words, pairs of neighbouring words, runs of symbols, a marker for a word wholly in capitals
+and one for a word said twice in a row, all hashed into ``2**bits`` weights; each counts by its share of the text. Training (driver, numpy) walks over
 a bounded sample of labelled texts with per-coordinate FTRL-Proximal steps. Scoring is one sparse dot product per text.
 
 Defined cases: a null text is an empty one; an empty text has only the bias; labels other than 0 and 1 and texts over
@@ -37,7 +37,7 @@ class FtrlParams:
     threshold: float = 0.3
 
 
-_CAPS, _PAIR = np.uint64(0xA5A5A5A5A5A5A5A5), np.uint64(0xD6E8FEB86659FD93)
+_CAPS, _TWICE, _PAIR = np.uint64(0xA5A5A5A5A5A5A5A5), np.uint64(0x3C3C3C3C3C3C3C3C), np.uint64(0xD6E8FEB86659FD93)
 
 
 def features(block: bw.Block, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -54,8 +54,9 @@ def features(block: bw.Block, bits: int) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
     pair = bw.mix(hashes[:-1] * _PAIR + hashes[1:])
     same = owner[1:] == owner[:-1]
-    texts = np.concatenate([owner, owner[:-1][same], owner[caps]])
-    slots = np.concatenate([hashes, pair[same], np.full(int(caps.sum()), _CAPS)]) >> np.uint64(64 - bits)
+    twice = same & (hashes[1:] == hashes[:-1])
+    texts = np.concatenate([owner, owner[:-1][same], owner[caps], owner[:-1][twice]])
+    slots = np.concatenate([hashes, pair[same], np.full(int(caps.sum()), _CAPS), np.full(int(twice.sum()), _TWICE)]) >> np.uint64(64 - bits)
     order = np.argsort(texts, kind="stable")
     return slots[order].astype(np.int64), np.searchsorted(texts[order], np.arange(len(first)))
 
