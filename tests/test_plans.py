@@ -212,3 +212,10 @@ def test_sql_names(spark, pages):
     rows = spark.sql("SELECT c.name FROM lexicon, LATERAL character_rows(title, inner) AS c WHERE title = '劇'").collect()
     assert {r["name"] for r in rows} == {"山田太郎", "花子"}
     assert spark.sql("SELECT size(synonyms_of(title, inner)) AS n FROM lexicon WHERE title LIKE '山川町%'").first()["n"] == 1
+
+
+def test_longest_piece_reads_whole_texts(spark, tmp_path):
+    texts = ["a bb\nccc dddd\ne", "aa bb", "one\n\nlongest-of-all x", "", " ", None, "a " * 20_000 + "\n" + "last-and-longest"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["longest"] for r in queries.QUERIES["longest_piece"](spark, str(tmp_path)).collect()}
+    assert got == {i: max(t.split(" "), key=len) if t is not None else None for i, t in enumerate(texts)}
