@@ -2,7 +2,8 @@
 
 Rules are regular expressions with literal tokens (runs of letters and digits that the expression demands whole). Each
 rule is indexed by the one of its tokens that the fewest URLs hold, as counted over all URLs. A URL's distinct tokens
-fetch candidate rules by an equi-join, and only candidates run their expressions. Everything is DataFrame functions.
+fetch candidate rules by an equi-join, and only candidates run their expressions. A rule that demands no whole token has
+no place in the index and runs on every URL. Everything is DataFrame functions.
 
 Base rules (host, path) hold on a host and its subdomains for paths that start with theirs; of those that fit the longest
 decides. Without one the pattern rules decide: blocked if any blocking pattern fits, else allowed.
@@ -28,7 +29,7 @@ TOKEN = "[a-z0-9]+"
 
 @dataclass(frozen=True)
 class Rule:
-    """``regex`` runs on ``host path`` (host lower-cased, a space between) and demands each of ``tokens`` whole."""
+    """``regex`` runs on ``host path`` (host lower-cased, a space between) and demands each of ``tokens`` whole, if any."""
 
     name: str
     regex: str
@@ -63,7 +64,8 @@ PATTERN_RULES = (
     pattern_rule("pills", r"^(?:[^ ]*\.)?cheap-pills\.", "cheap", "pills"),
     pattern_rule("spam-farm", r"^(?:[^ ]*\.)?spam-farm\.", "spam", "farm"),
     pattern_rule("casino", r"^(?:[^ ]*[.-])?casino[.-]", "casino"),
-    pattern_rule("free-download", r"^[^ ]*free-downloads?[.-]", "free"),
+    # Letters may stand right before "free", and "downloads" may stand for "download": no token is whole.
+    pattern_rule("free-download", r"^[^ ]*free-downloads?[.-]"),
     pattern_rule("click-tracker", r"^(?:[^ ]*\.)?(?:click|track)\.[^ ]+ /(?:redirect|out)(?:/|$)", "redirect"),
     pattern_rule("click-out", r"^(?:[^ ]*\.)?(?:click|track)\.[^ ]+ /out(?:/|$)", "out"),
 )
@@ -96,8 +98,13 @@ def filtered_urls(pages: DataFrame, base: tuple[Rule, ...] = BASE_RULES, pattern
     # Base rules before patterns, longest first; among patterns the first by name.
     fits = F.rlike(F.concat_ws(" ", "host", "path"), F.col("regex"))
     best = F.max(F.when(fits, F.struct("length", F.col("verdict").alias("v"), F.col("name").alias("r"))))
+    judged = tried.groupBy("page_id", "url", "copies", "host", "path").agg(best.alias("best"))
+    # Rules without a token are in no index: every URL meets them.
+    loose = [F.when(F.concat_ws(" ", "host", "path").rlike(r.regex), F.struct(F.lit(r.length).alias("length"), F.lit(r.verdict).alias("v"), F.lit(r.name).alias("r"))) for r in rules if not r.tokens]
+    if loose:
+        judged = judged.withColumn("best", F.greatest("best", F.array_max(F.array(*loose))))
     return (
-        tried.groupBy("page_id", "url", "copies", "host", "path").agg(best.alias("best"))
+        judged
         .withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
         .select(
             "page_id", "host", "path",

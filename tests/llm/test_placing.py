@@ -246,3 +246,27 @@ def test_url_sql(spark):
 
     assert sorted(want.columns) == sorted(columns) and [tuple(map(str, r)) for r in rows(got)] == [tuple(map(str, r)) for r in rows(want)]
     assert {r[4] for r in rows(got)} == {"allow", "block"} and sum(r[3] is None for r in rows(got)) > 0
+
+
+def test_url_index_finds_what_all_rules_find(spark, tmp_path):
+    import duckdb
+
+    hosts = ["getfree-downloads.com", "get1free-download.example.net", "free-download.net", "x.free-downloads-now.org", "freedownload.com", "free-downloadz.com", "mycasino.net", "my-casino.net", "xcheap-pills.com",
+             "a.cheap-pills.com", "track.a.com", "click.b.org", "xtrack.a.com", "getfree-downloads.example.org"]
+    urls = [f"http://{h}{p}" for h in hosts for p in ("", "/", "/es/1", "/redirect/1", "/out", "/outer", "/free/x")] + [None, "none"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.filtered_urls(pages).collect()}
+    for i, url in enumerate(urls):
+        rest = url.split("://", 1)[1] if url and "://" in url else ""
+        host, path = re.match("([^/?#]*)([^?#]*)", rest).groups()
+        fit = [(r.length, r.verdict, r.name) for r in (*url_filter.BASE_RULES, *url_filter.PATTERN_RULES) if re.search(re.sub(r"\\Q(.*?)\\E", lambda m: re.escape(m[1]), r.regex), f"{host} {path}")]
+        best = max(fit, default=(-1, "allow", None))
+        assert got[i] == (best[2] if best[0] >= 0 else None, best[1]), url
+    pages.write.parquet(str(tmp_path / "pages"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages/*.parquet'")
+    want = {i: (rule or None, verdict) for i, rule, verdict in con.sql(f"SELECT page_id, rule, verdict FROM ({queries.ORACLE_SQL['op7_url_rules'].strip()})").fetchall()}
+    assert got == want
+    # A base rule whose host has no letter or digit of the index.
+    odd = spark.createDataFrame([(1, "http://例え/a"), (2, "http://x.例え/b"), (3, "http://例/a")], "page_id long, url string")
+    assert {r["page_id"]: r["verdict"] for r in url_filter.filtered_urls(odd, (url_filter.base_rule("block", "例え/"),)).collect()} == {1: "block", 2: "block", 3: "allow"}
