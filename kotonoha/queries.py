@@ -227,18 +227,31 @@ def section_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- whole tables of the lexicon, on pages made of the driver's
 
 
+# What no wiki title may hold, and what stands for it; letters with accents and digits beside the plain letters.
+_UNFIT, _FIT = "|#[]{}<>\n", "｜＃［］｛｝＜＞ "
+_ACCENTED, _PLAIN = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿß", "aaaaaaceeeeiiiinooooouuuuyys"
+_DIGITS, _DIGIT_KANA = "0123456789", "ヒフヘホマミムメモヤ"
+
+
 def lexicon_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wikitext pages (ordinal, title, inner) made of the table ``pages``: a bold title with a kana reading, links, categories."""
-    word = F.regexp_replace(F.substring(_title(), 1, 12), "[^A-Za-z ]", "")
-    kata = F.translate(F.lower(F.regexp_replace(word, " ", "")), _LETTERS, _KANA)
-    page, lang = F.col("page_id"), F.regexp_extract("html", 'lang="(..)"', 1)
-    title = F.when(page % 5 == 0, kata).when(page % 5 == 1, F.concat(kata, F.lit("派"))).when(page % 5 == 2, F.concat(kata, F.lit("（"), lang, F.lit("）"))).otherwise(F.trim(word))
+    """Wikitext pages (ordinal, title, inner) made of the table ``pages``: a bold title with a kana reading, links, categories.
+
+    Titles are whole HTML titles, or kana for each of their characters (a middle dot for what is no letter or digit). The
+    whole HTML, escaped as exports have it, is text of the lead, or what follows a redirect's link.
+    """
+    made = _table(spark, sf_dir, "pages").select("page_id", "html", F.regexp_extract("html", 'lang="(..)"', 1).alias("lang"), F.trim(F.translate(_title(), _UNFIT, _FIT)).alias("word"))
+    plain = F.translate(F.lower(F.regexp_replace("word", "&[A-Za-z]+;", "&")), _ACCENTED, _PLAIN)
+    made = made.withColumn("kata", F.translate(F.regexp_replace(plain, "[^a-z0-9]", "・"), _LETTERS + _DIGITS, _KANA + _DIGIT_KANA))
+    page, lang, word, kata = (F.col(x) for x in ("page_id", "lang", "word", "kata"))
+    html = F.replace(F.replace(F.replace("html", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    title = F.when(page % 5 == 0, kata).when(page % 5 == 1, F.concat(kata, F.lit("派"))).when(page % 5 == 2, F.concat(kata, F.lit("（"), lang, F.lit("）"))).otherwise(word)
     lead = F.concat(
-        F.lit("<text>'''"), title, F.lit("'''（"), F.translate(kata, "アイウエオカキクケコ", "あいうえおかきくけこ"), F.when(page % 5 == 1, "は").otherwise(""), F.lit("、{{lang-en-short|"), F.trim(word),
-        F.lit("}}）は、略称は「"), F.substring(kata, 1, 4), F.lit("」。\n== 登場人物 ==\n; "), kata, F.lit("\n: 声 - [["), word, F.lit("]]\n== 外部 ==\n[[Category:"), lang, F.lit("]]\n[[Category:"), word, F.lit("|x]]"),
+        F.lit("<text>'''"), title, F.lit("'''（"), F.translate(kata, "アイウエオカキクケコ", "あいうえおかきくけこ"), F.when(page % 5 == 1, "は").otherwise(""), F.lit("、{{lang-en-short|"), word,
+        F.lit("}}）は、略称は「"), kana_functions.convert_column(kata, "c"), F.lit("」。\n"), html, F.lit("\n== 登場人物 ==\n; "), kata, F.lit("\n: 声 - [["), word, F.lit("]]\n== 外部 ==\n[[Category:"), lang,
+        F.lit("]]\n[[Category:"), word, F.lit("|x]]"),
     )
-    inner = F.when(page % 11 == 3, F.concat(F.lit("<text>#REDIRECT [["), kata, F.lit("]]"))).otherwise(lead)
-    return _table(spark, sf_dir, "pages").select(page.alias("ordinal"), title.alias("title"), inner.alias("inner"))
+    inner = F.when(page % 11 == 3, F.concat(F.lit("<text>#REDIRECT [["), kata, F.lit("]]\n"), html)).otherwise(lead)
+    return made.select(page.alias("ordinal"), title.alias("title"), inner.alias("inner"))
 
 
 @query()

@@ -219,3 +219,18 @@ def test_longest_piece_reads_whole_texts(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r["doc_id"]: r["longest"] for r in queries.QUERIES["longest_piece"](spark, str(tmp_path)).collect()}
     assert got == {i: max(t.split(" "), key=len) if t is not None else None for i, t in enumerate(texts)}
+
+
+def test_lexicon_pages_hold_whole_titles_and_texts(spark, tmp_path):
+    titles_ = ["A title of more than twelve letters, é & 7!", "And more than a dozen letters", "a|b [c] #1", "Longer than a dozen letters at its very end"]
+    html = [f'<html lang="en"><title>{t}</title><p>first of {i}</p>\n<p>{"word " * 4000}</p><b>last of {i}</b></html>' for i, t in enumerate(titles_)]
+    spark.createDataFrame([(i + 3, f"http://a/{i}", h) for i, h in enumerate(html)], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    made = {r["ordinal"]: r for r in queries.lexicon_pages(spark, str(tmp_path)).collect()}
+    assert made[4]["title"] == titles_[1] and made[3]["title"] == titles_[0]
+    assert [len(made[i + 3]["title"]) - more for i, more in ((2, 0), (3, 1))] == [len(titles_[2]), len(titles_[3])]
+    for i, h in enumerate(html):
+        assert h.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;") in made[i + 3]["inner"]
+    got = {r["title"]: r["categories"] for r in queries.QUERIES["lexicon_categories"](spark, str(tmp_path)).collect()}
+    assert got[titles_[1]] == ["en", titles_[1]] and ["en", titles_[3]] in got.values()
+    assert {r["english"] for r in queries.QUERIES["lexicon_english"](spark, str(tmp_path)).collect()} >= {titles_[1]}
+    assert titles_[3] in {r["actor1"] for r in queries.QUERIES["lexicon_characters"](spark, str(tmp_path)).collect()}
