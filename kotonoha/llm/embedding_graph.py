@@ -6,7 +6,8 @@ cluster shard builds a graph of its own: candidate neighbours of every vector pl
 pieces are tied together. The shards' adjacency lists of a vector are united. Each vector is then searched in its home
 cluster: greedy search starts at the nearest medoids, and its range expands from every vector found near the threshold
 until nothing new turns up. Found pairs are verified by cosine in double precision. At last recall is audited on a
-bounded sample of queries against all vectors; below ``recall`` everything is repeated with twice the overlap and width.
+bounded sample of queries against all vectors; below ``recall`` everything is repeated with twice the overlap and width, and
+below 0.9 after the last try the run fails. A vector's links are those that its own search found.
 
 Skew: equal vectors are folded to their smallest id and counted with their number. A cluster with more than ``part``
 vectors is dealt into parts, each with a graph of its own, and a vector's search goes to all parts of its home. Tasks give
@@ -31,6 +32,8 @@ from .bytewords import ranges
 from .common import settle
 from .components import components, forest
 
+LEAST_RECALL = 0.9  # below this after the last try there is no result
+
 
 @dataclass(frozen=True)
 class GraphParams:
@@ -260,7 +263,10 @@ def _nearest(centres: np.ndarray, overlap: int):
 
 
 def audit(vectors: DataFrame, found: DataFrame, p: GraphParams) -> float:
-    """Share of true links of ``audit`` queries (lowest hashes of ids) that ``found`` (id, n) counts; brute force in blocks."""
+    """Share of true links of ``audit`` queries (lowest hashes of ids) that ``found`` (id, n) counts; brute force in blocks.
+
+    The lesser of the share of all links and the queries' average share, so that one large group does not hide small ones.
+    """
     asks = vectors.orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(p.audit).toPandas()
     if not len(asks):
         return 1.0
@@ -277,8 +283,9 @@ def audit(vectors: DataFrame, found: DataFrame, p: GraphParams) -> float:
             yield pd.DataFrame({"id": ids, "true": total})
 
     true = vectors.select("id", "v", "copies").mapInPandas(run, "id long, true long").groupBy("id").agg(F.sum("true").alias("true"))
-    both = true.join(found, "id", "left").agg(F.sum("true").alias("t"), F.sum(F.coalesce("n", F.lit(0))).alias("f")).first()
-    return 1.0 if not both["t"] else both["f"] / both["t"]
+    n = F.coalesce("n", F.lit(0))
+    both = true.join(found, "id", "left").where(F.col("true") > 0).agg(F.sum("true").alias("t"), F.sum(n).alias("f"), F.avg(n / F.col("true")).alias("mean")).first()
+    return 1.0 if not both["t"] else min(both["f"] / both["t"], both["mean"])
 
 
 def _search_all(vectors: DataFrame, p: GraphParams) -> tuple[DataFrame, DataFrame]:
@@ -321,9 +328,13 @@ def embedding_groups(table: DataFrame, params: GraphParams = GraphParams()) -> D
     counts = edges = None
     for _ in range(p.tries):
         counts, edges = _search_all(vectors, p)
-        if audit(vectors, counts, p) >= p.recall:
+        reached = audit(vectors, counts, p)
+        if reached >= p.recall:
             break
         p = replace(p, overlap=p.overlap * 2, beam=p.beam * 2, starts=p.starts * 2)
+    else:
+        if reached < LEAST_RECALL:
+            raise RuntimeError(f"recall of embedding links is {reached:.3f} after {p.tries} tries, below {LEAST_RECALL}")
     groups = components(edges)
     per_vector = folded.join(counts, "id", "left").join(groups.withColumnRenamed("component", "comp"), "id", "left").select(
         "h1", "h2", F.col("id").alias("lead"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("comp", "id").alias("comp")

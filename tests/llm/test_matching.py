@@ -117,3 +117,17 @@ def test_embedding_groups_against_brute_force(spark):
         assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (0, i, True)
     assert len(got) == len(sound) + len(odd) - 1
     assert embedding_graph.embedding_groups(df.limit(0)).count() == 0
+
+
+def test_embedding_audit_sees_small_groups_and_stops_a_poor_result(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    big = [(i, (np.eye(16)[0] + rng.normal(0, 0.01, 16)).tolist()) for i in range(60)]
+    pairs = [(100 + 2 * k + j, (np.eye(16)[k + 1] + rng.normal(0, 0.01, 16)).tolist()) for k in range(14) for j in (0, 1)]
+    vectors = spark.createDataFrame([(i, 1, v) for i, v in big + pairs], "id long, copies long, v array<double>")
+    counts = spark.createDataFrame([(i, 59) for i, _ in big], "id long, n long")
+    # All pairs are missing: 28 of 3,568 links, but 28 of 88 queries.
+    assert abs(embedding_graph.audit(vectors, counts, embedding_graph.GraphParams()) - 60 / 88) < 1e-9
+    table = spark.createDataFrame(big + pairs, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(embedding_graph, "audit", lambda *_: 0.89)
+    with pytest.raises(RuntimeError, match="recall"):
+        embedding_graph.embedding_groups(table, embedding_graph.GraphParams(tries=1))
