@@ -14,7 +14,7 @@ vectors is dealt into parts, each with a graph of its own, and a vector's search
 counts and star-shaped edges, not all pairs, so a dense group costs comparisons but no rows.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing; vectors of
-unequal length do not link (the commonest length is compared); repeated rows of one id count once; null ids are dropped;
+unequal length do not link, those of equal length do (lengths with few vectors are compared whole); repeated rows of one id count once; null ids are dropped;
 other columns are ignored; an empty table gives no rows.
 """
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -249,6 +250,29 @@ def _search_task(p: GraphParams):
     return run
 
 
+def _exact_task(p: GraphParams):
+    """Every vector of one length against every other."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("id")
+        ids, copies, vectors = rows["id"].to_numpy(), rows["copies"].to_numpy(), _stack(rows["v"])
+        unit, out = _unit(vectors), []
+        for lo in range(0, len(ids), 500):
+            q, n = np.nonzero(unit[lo : lo + 500] @ unit.T >= p.threshold - 1e-4)
+            q, n = q[q + lo != n] + lo, n[q + lo != n]
+            good = np.concatenate([verified(vectors[q[i : i + 20_000]], vectors[n[i : i + 20_000]], p.threshold) for i in range(0, len(q), 20_000)] or [np.zeros(0, bool)])
+            q, n = q[good], n[good]
+            if len(q):
+                counts = np.bincount(q, weights=copies[n], minlength=len(ids)).astype(np.int64)
+                some = counts > 0
+                out.append(pd.DataFrame({"kind": np.int32(0), "a": ids[some], "b": counts[some]}))
+                nodes, roots = forest(ids[q], ids[n])
+                out.append(pd.DataFrame({"kind": np.int32(1), "a": nodes, "b": roots}))
+        return pd.concat(out or [pd.DataFrame({"kind": [], "a": [], "b": []}).astype({"kind": "int32", "a": "int64", "b": "int64"})])
+
+    return run
+
+
 def _nearest(centres: np.ndarray, overlap: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in frames:
@@ -307,10 +331,28 @@ def _search_all(vectors: DataFrame, p: GraphParams) -> tuple[DataFrame, DataFram
     )
     nodes = index.join(union, "id").select("id", "copies", "v", "c", "part", F.lit(False).alias("asks"), "near")
     found = settle(nodes.unionByName(asks).groupBy("c", "part").applyInPandas(_search_task(p), "kind int, a long, b long"))
+    return _counts_and_edges(found)
+
+
+def _counts_and_edges(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     counts = found.where("kind = 0").groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("n"))
     return settle(counts), found.where("kind = 1 and a <> b").select("a", "b")
 
 
+def _audited(vectors: DataFrame, p: GraphParams) -> tuple[DataFrame, DataFrame]:
+    """Counts and edges of vectors of one length, searched ever wider until the audit is content."""
+    for _ in range(p.tries):
+        counts, edges = _search_all(vectors, p)
+        reached = audit(vectors, counts, p)
+        if reached >= p.recall:
+            break
+        p = replace(p, overlap=p.overlap * 2, beam=p.beam * 2, starts=p.starts * 2)
+    else:
+        if reached < LEAST_RECALL:
+            raise RuntimeError(f"recall of embedding links is {reached:.3f} after {p.tries} tries, below {LEAST_RECALL}")
+    return counts, edges
+
+
 def embedding_groups(table: DataFrame, params: GraphParams = GraphParams()) -> DataFrame:
     """Rows (vec_id, n_links, component_id, kept), one for each id."""
     p = params
@@ -319,27 +361,24 @@ def embedding_groups(table: DataFrame, params: GraphParams = GraphParams()) -> D
     sound = F.coalesce((F.size(values) > 0) & ~odd & F.exists(values, lambda x: x != 0), F.lit(False))
     rows = table.where("vec_id is not null").select("vec_id", F.when(sound, values).alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
     rows = settle(rows.select("vec_id", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(9), "v").alias("h2"), "v"))
-    lengths = rows.where("v is not null").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    usable = rows.where(F.size("v") == (lengths["d"] if lengths else 0))
+    lengths = {r["d"]: r["count"] for r in rows.where("v is not null").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").collect()}
+    usable = rows.where("v is not null")
     folded = settle(usable.groupBy("h1", "h2").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")))
     vectors = settle(usable.select(F.col("vec_id").alias("id"), "v").join(folded.select("id", "copies"), "id").select("id", "copies", "v"))
-    if lengths is None:
+    if not lengths:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    counts = edges = None
-    for _ in range(p.tries):
-        counts, edges = _search_all(vectors, p)
-        reached = audit(vectors, counts, p)
-        if reached >= p.recall:
-            break
-        p = replace(p, overlap=p.overlap * 2, beam=p.beam * 2, starts=p.starts * 2)
-    else:
-        if reached < LEAST_RECALL:
-            raise RuntimeError(f"recall of embedding links is {reached:.3f} after {p.tries} tries, below {LEAST_RECALL}")
+    # A graph for the commonest length and for every other with many vectors; the rest is compared whole.
+    large = [d for i, (d, n) in enumerate(lengths.items()) if i == 0 or n > p.part]
+    found = [_audited(vectors if len(lengths) == 1 else settle(vectors.where(F.size("v") == d)), p) for d in large]
+    if len(large) < len(lengths):
+        rest = vectors.where(~F.size("v").isin(large)).groupBy(F.size("v")).applyInPandas(_exact_task(p), "kind int, a long, b long")
+        found.append(_counts_and_edges(settle(rest)))
+    counts, edges = (reduce(DataFrame.unionByName, x) for x in zip(*found, strict=True))
     groups = components(edges)
     per_vector = folded.join(counts, "id", "left").join(groups.withColumnRenamed("component", "comp"), "id", "left").select(
         "h1", "h2", F.col("id").alias("lead"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("comp", "id").alias("comp")
     )
-    out = rows.select("vec_id", "h1", "h2", F.coalesce(F.size("v") == lengths["d"], F.lit(False)).alias("ok")).join(per_vector, ["h1", "h2"], "left")
+    out = rows.select("vec_id", "h1", "h2", F.col("v").isNotNull().alias("ok")).join(per_vector, ["h1", "h2"], "left")
     component = F.when(F.col("ok"), F.coalesce("comp", "vec_id")).otherwise(F.col("vec_id"))
     return out.select(
         "vec_id", F.when(F.col("ok"), F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"),

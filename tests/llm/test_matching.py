@@ -131,3 +131,23 @@ def test_embedding_audit_sees_small_groups_and_stops_a_poor_result(spark, monkey
     monkeypatch.setattr(embedding_graph, "audit", lambda *_: 0.89)
     with pytest.raises(RuntimeError, match="recall"):
         embedding_graph.embedding_groups(table, embedding_graph.GraphParams(tries=1))
+
+
+def test_embedding_groups_of_every_length(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for d, n in ((8, 40), (5, 30), (3, 12), (2, 1)):
+        base = rng.normal(size=(4, d))
+        rows += [(len(rows) + k, (base[k % 4] + rng.normal(0, 0.05, d)).tolist()) for k in range(n)]
+    rows += [(1000, rows[45][1]), (1001, rows[75][1])]
+    true, links = dict.fromkeys((i for i, _ in rows), 0), []
+    for a, x in rows:
+        for b, y in rows:
+            if a != b and len(x) == len(y) and np.dot(x, y) / np.sqrt(np.dot(x, x) * np.dot(y, y)) >= 0.9:
+                true[a] += 1
+                links.append((a, b))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = roots(true, links)
+    for params in (embedding_graph.GraphParams(), embedding_graph.GraphParams(part=20)):
+        got = {r["vec_id"]: r for r in embedding_graph.embedding_groups(df, params).collect()}
+        assert {i: r["component_id"] for i, r in got.items()} == want and {i: r["n_links"] for i, r in got.items()} == true
