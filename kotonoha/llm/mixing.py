@@ -127,8 +127,18 @@ def mixed(docs: DataFrame, params: MixParams = MixParams(), domain: Column | Non
 
 def mixed_documents(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     """The selected documents with all their columns, repeated for each pass that takes them."""
-    taken = mixed(docs.select("doc_id", "text", "lang", "source"), params).groupBy("doc_id", "lang", "source", "tokens").agg(F.count("*").alias("_times"))
-    keyed = docs.withColumns({"_l": F.coalesce("lang", F.lit("none")), "_s": F.coalesce("source", F.lit("none")), "_t": tokens_of(F.col("text"))})
-    match = keyed["doc_id"].eqNullSafe(taken["doc_id"]) & (keyed["_l"] == taken["lang"]) & (keyed["_s"] == taken["source"]) & (keyed["_t"] == taken["tokens"])
-    joined = keyed.join(taken, match).select(*[keyed[c] for c in docs.columns], "_times")
-    return joined.withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.col("_times").cast("int")))).select(docs.columns)
+    key = ["_id", "_none", "_l", "_s", "_t"]
+    filler = F.lit(0).cast(docs.schema["doc_id"].dataType)
+
+    def keys(tokens: Column) -> dict[str, Column]:
+        # Plain keys, null ids marked: numbering and join then share one shuffle.
+        return {"_id": F.coalesce("doc_id", filler), "_none": F.col("doc_id").isNull(), "_l": F.coalesce("lang", F.lit("none")), "_s": F.coalesce("source", F.lit("none")), "_t": tokens}
+
+    taken = mixed(docs.select("doc_id", "text", "lang", "source"), params).withColumns(keys(F.col("tokens")))
+    taken = taken.groupBy(*key, "epoch").agg(F.count("*").alias("n")).groupBy(*key).agg(F.collect_list("n").alias("_taken"))
+    # Rows that share a key are numbered, and a pass that takes m of them takes the first m.
+    keyed = docs.withColumns(keys(tokens_of(F.col("text"))))
+    keyed = keyed.withColumn("_row", F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("text"))))
+    times = F.size(F.filter("_taken", lambda n: n >= F.col("_row")))
+    joined = keyed.join(taken, key).select(*docs.columns, times.alias("_times"))
+    return joined.withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.col("_times")))).select(docs.columns)

@@ -270,3 +270,23 @@ def test_url_index_finds_what_all_rules_find(spark, tmp_path):
     # A base rule whose host has no letter or digit of the index.
     odd = spark.createDataFrame([(1, "http://例え/a"), (2, "http://x.例え/b"), (3, "http://例/a")], "page_id long, url string")
     assert {r["page_id"]: r["verdict"] for r in url_filter.filtered_urls(odd, (url_filter.base_rule("block", "例え/"),)).collect()} == {1: "block", 2: "block", 3: "allow"}
+
+
+def test_mixed_documents_of_repeated_rows_and_null_ids(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(i, f"text {i} " + "w " * (i % 7), "en", f"s{i % 2}", i) for i in range(60)]
+    rows += [(None, f"null {i} w", "en", "s0", i) for i in range(12)] + [(7, rows[7][1], "en", "s1", 7)] * 3 + [(90, "many w w", None, None, 90)] * 8
+    docs = spark.createDataFrame(rows, schema)
+    for params in (mixing.MixParams(max_epochs=1), mixing.MixParams()):
+        passes = Counter(r["epoch"] for r in mixing.mixed(docs, params).collect())
+        want = Counter(r["doc_id"] for r in mixing.mixed(docs, params).collect())
+        got = Counter(tuple(r) for r in mixing.mixed_documents(docs, params).collect())
+        by_id = Counter()
+        for r, n in got.items():
+            by_id[r[0]] += n
+        assert by_id == want
+        given = Counter(rows)
+        assert all(n <= given[r] * len(passes) for r, n in got.items())
+    # A prefix that takes some of the rows with one key.
+    equal, half = spark.createDataFrame([(5, "a b c", "en", "s0", 5)] * 30, schema), mixing.MixParams(max_epochs=1, budget=0.5)
+    assert 0 < mixing.mixed(equal, half).count() == mixing.mixed_documents(equal, half).count() < 30
