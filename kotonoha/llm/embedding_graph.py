@@ -501,10 +501,14 @@ def _tasks(rows: DataFrame, parts: DataFrame, *columns: str) -> DataFrame:
 _FOUND = "kind int, a long, b long"
 
 
-def _small(v: Column) -> Column:
-    """One byte a component, the largest being 127."""
-    most = F.aggregate(v, F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x.cast("double"))))
-    return F.transform(v, lambda x: F.rint(x / most * 127).cast("tinyint"))
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (id, cells, v): (id, cells, small) with one byte a component, the largest being 127."""
+    for batch in batches:
+        if batch.num_rows:
+            v = _matrix(batch.column("v"))
+            small = np.rint(v / np.abs(v).max(1, keepdims=True) * 127).astype(np.int8)
+            bounds = pa.array(np.arange(len(small) + 1, dtype=np.int32) * small.shape[1])
+            yield pa.record_batch([batch.column("id"), batch.column("cells"), pa.ListArray.from_arrays(bounds, pa.array(small.ravel()))], ["id", "cells", "small"])
 
 
 def _search_all(vectors: DataFrame, p: GraphParams) -> tuple[DataFrame, DataFrame]:
@@ -512,7 +516,8 @@ def _search_all(vectors: DataFrame, p: GraphParams) -> tuple[DataFrame, DataFram
     dealt = dealt_to_cells(vectors, p)
     parts = _parts(dealt, p)
     own = F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))).cast("int")
-    shards = dealt.select("id", "cells", _small(F.col("v")).alias("small"), F.explode("cells").alias("cell")).join(parts, "cell", "left").select("cell", own.alias("own"), "id", "cells", "small")
+    small = dealt.select("id", "cells", "v").mapInArrow(_small, "id long, cells array<long>, small array<tinyint>")
+    shards = small.withColumn("cell", F.explode("cells")).join(parts, "cell", "left").select("cell", own.alias("own"), "id", "cells", "small")
     lists = shards.groupBy("cell", "own").applyInArrow(_graph_task(p), "id long, cells array<long>, near array<long>")
     union = lists.groupBy("id").agg(F.first("cells").alias("cells"), F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     nodes = _tasks(union, parts, "id", "near").where("side = 0").groupBy("cell", "x", "y")
