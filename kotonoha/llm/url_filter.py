@@ -1,7 +1,7 @@
 """URL filter: pattern rules found by their rarest token, so that a URL meets only the few expressions that may fit.
 
-Rules are regular expressions with literal tokens (runs of letters and digits that the expression demands whole). Each
-rule is indexed by the one of its tokens that the fewest URLs hold, as counted over all URLs. A URL's distinct tokens
+Rules are regular expressions. A rule's tokens are derived from the parsed expression: literal runs of letters and digits
+that every match holds, with something else, or an end of the text, on both sides. Each rule is indexed by the one of its tokens that the fewest URLs hold, as counted over all URLs. A URL's distinct tokens
 fetch candidate rules by an equi-join, and only candidates run their expressions. A rule that demands no whole token has
 no place in the index and runs on every URL. Everything is DataFrame functions.
 
@@ -19,37 +19,89 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from re import _constants as op
+from re import _parser as parser
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_RULES = 50_000
+INLINE_RULES = 200  # up to so many, expressions are literals of the plan and compiled once; beyond, a column
 TOKEN = "[a-z0-9]+"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_PLAIN = frozenset(map(ord, _UPPER + _LOWER + "0123456789"))
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``regex`` runs on ``host path`` (host lower-cased, a space between) and demands each of ``tokens`` whole, if any."""
+    """``regex`` runs on ``host path`` (host lower-cased, a space between)."""
 
     name: str
     regex: str
-    tokens: tuple[str, ...]
     verdict: str
     length: int = -1  # of a base rule; -1 marks a pattern
 
+    @property
+    def tokens(self) -> tuple[str, ...]:
+        return whole_tokens(self.regex)
+
+
+def _in_set(items) -> bool:
+    """Whether a set of characters holds a letter or digit."""
+    if items[0][0] is op.NEGATE:
+        taken = {c for kind, x in items[1:] for c in (range(x[0], x[1] + 1) if kind is op.RANGE else [x] if kind is op.LITERAL else [])}
+        return not _PLAIN <= taken
+    return any((kind is op.LITERAL and x in _PLAIN) or (kind is op.RANGE and any(x[0] <= c <= x[1] for c in _PLAIN)) or kind is op.CATEGORY for kind, x in items)
+
+
+def _edge(items: list, last: bool, beyond: bool) -> bool:
+    """Whether a letter or digit may stand at the end (``last``) or the beginning of what the items match; ``beyond`` is the
+    answer for what lies further on, which counts where the items match nothing."""
+    for kind, x in items[-1:] if last else items[:1]:
+        if kind is op.LITERAL:
+            return x in _PLAIN
+        if kind is op.IN:
+            return _in_set(x)
+        if kind is op.AT:
+            return x not in (op.AT_BEGINNING, op.AT_BEGINNING_STRING, op.AT_END, op.AT_END_STRING, op.AT_BOUNDARY)
+        if kind is op.SUBPATTERN:
+            return _spliced(items, list(x[3]), last, beyond)
+        if kind is op.BRANCH:
+            return any(_spliced(items, list(way), last, beyond) for way in x[1])
+        if kind in (op.MAX_REPEAT, op.MIN_REPEAT, op.POSSESSIVE_REPEAT):
+            least, _, inner = x
+            return _spliced(items, list(inner), last, beyond) or (least == 0 and _spliced(items, [], last, beyond))
+        return True  # any character, classes, look-arounds: nothing is known
+    return beyond
+
+
+def _spliced(items: list, by: list, last: bool, beyond: bool) -> bool:
+    """``_edge`` with an item at the asked end replaced by others."""
+    rest = items[:-1] if last else items[1:]
+    return _edge([*rest, *by] if last else [*by, *rest], last, beyond)
+
+
+def whole_tokens(regex: str) -> tuple[str, ...]:
+    """Tokens that whatever the expression matches holds whole, lower-cased; none if that is not certain."""
+    items, found, i = list(parser.parse(regex)), [], 0
+    while i < len(items):
+        j = i
+        while j < len(items) and items[j][0] is op.LITERAL and items[j][1] in _PLAIN:
+            j += 1
+        if j > i and not _edge(items[:i], True, True) and not _edge(items[j:], False, True):
+            found.append("".join(chr(x) for _, x in items[i:j]).lower())
+        i = max(j, i + 1)
+    return tuple(dict.fromkeys(found))
+
 
 def base_rule(verdict: str, text: str) -> Rule:
     """A rule like ``example.org/es/``: host, then path."""
     host, slash, path = text.partition("/")
-    path = slash + path
-    tokens = [*re.findall(TOKEN, host.lower())]
-    # A path's last token is whole only if a delimiter follows it.
-    tokens += [t for t in re.findall(r"[A-Za-z0-9]+(?=[^A-Za-z0-9])", path) if t == t.lower()]
-    return Rule(text, rf"^(?:[^ ]*\.)?\Q{host.lower()}\E \Q{path}\E", tuple(tokens), verdict, len(text))
+    return Rule(text, rf"^(?:[^ ]*\.)?{re.escape(host.translate(str.maketrans(_UPPER, _LOWER)))}\ {re.escape(slash + path)}", verdict, len(text))
 
 
-def pattern_rule(name: str, regex: str, *tokens: str) -> Rule:
-    return Rule(name, regex, tokens, "block")
+def pattern_rule(name: str, regex: str) -> Rule:
+    return Rule(name, regex, "block")
 
 
 # Fixed values of the query.
@@ -61,20 +113,20 @@ BASE_RULES = (
     base_rule("block", "com/de/"),
 )
 PATTERN_RULES = (
-    pattern_rule("pills", r"^(?:[^ ]*\.)?cheap-pills\.", "cheap", "pills"),
-    pattern_rule("spam-farm", r"^(?:[^ ]*\.)?spam-farm\.", "spam", "farm"),
-    pattern_rule("casino", r"^(?:[^ ]*[.-])?casino[.-]", "casino"),
+    pattern_rule("pills", r"^(?:[^ ]*\.)?cheap-pills\."),
+    pattern_rule("spam-farm", r"^(?:[^ ]*\.)?spam-farm\."),
+    pattern_rule("casino", r"^(?:[^ ]*[.-])?casino[.-]"),
     # Letters may stand right before "free", and "downloads" may stand for "download": no token is whole.
     pattern_rule("free-download", r"^[^ ]*free-downloads?[.-]"),
-    pattern_rule("click-tracker", r"^(?:[^ ]*\.)?(?:click|track)\.[^ ]+ /(?:redirect|out)(?:/|$)", "redirect"),
-    pattern_rule("click-out", r"^(?:[^ ]*\.)?(?:click|track)\.[^ ]+ /out(?:/|$)", "out"),
+    pattern_rule("click-tracker", r"^(?:[^ ]*\.)?(?:click|track)\.[^ ]+ /redirect(?:/|$)"),
+    pattern_rule("click-out", r"^(?:[^ ]*\.)?(?:click|track)\.[^ ]+ /out(?:/|$)"),
 )
 
 
 def host_and_path(url):
     """Columns host and path of a URL column."""
     rest = F.when(F.instr(url, "://") > 0, F.expr("substring(url, instr(url, '://') + 3)")).otherwise(F.lit(""))
-    host = F.translate(F.regexp_extract(rest, "^([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    host = F.translate(F.regexp_extract(rest, "^([^/?#]*)", 1), _UPPER, _LOWER)
     path = F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
     return host, path
 
@@ -84,9 +136,9 @@ def filtered_urls(pages: DataFrame, base: tuple[Rule, ...] = BASE_RULES, pattern
     spark = pages.sparkSession
     host, path = host_and_path(F.col("url"))
     urls = pages.select("page_id", "url").groupBy("page_id", "url").agg(F.count("*").alias("copies")).select("page_id", "url", "copies", host.alias("host"), path.alias("path"))
-    tokens = F.array_distinct(F.regexp_extract_all(F.lower(F.concat_ws(" ", "host", "path")), F.lit(f"({TOKEN})"), F.lit(1)))
+    tokens = F.array_distinct(F.regexp_extract_all(F.translate(F.concat_ws(" ", "host", "path"), _UPPER, _LOWER), F.lit(f"({TOKEN})"), F.lit(1)))
     rules = [*base, *patterns]
-    wanted = spark.createDataFrame([(i, t) for i, r in enumerate(rules) for t in dict.fromkeys(r.tokens)], "rule_id int, token string")
+    wanted = spark.createDataFrame([(i, t) for i, r in enumerate(rules) for t in r.tokens], "rule_id int, token string")
     small = wanted.count() <= BROADCAST_RULES
     hint = F.broadcast if small else (lambda df: df)
     # How many URLs hold each token that some rule demands; then each rule's rarest.
@@ -96,7 +148,10 @@ def filtered_urls(pages: DataFrame, base: tuple[Rule, ...] = BASE_RULES, pattern
     index = facts.join(hint(index), "rule_id")
     tried = urls.withColumn("token", F.explode_outer(tokens)).join(hint(index), "token", "left")
     # Base rules before patterns, longest first; among patterns the first by name.
-    fits = F.rlike(F.concat_ws(" ", "host", "path"), F.col("regex"))
+    place = F.concat_ws(" ", "host", "path")
+    fits = F.rlike(place, F.col("regex"))
+    if len(rules) <= INLINE_RULES:
+        fits = F.coalesce(*[F.when(F.col("rule_id") == i, place.rlike(r.regex)) for i, r in enumerate(rules)], F.lit(False))
     best = F.max(F.when(fits, F.struct("length", F.col("verdict").alias("v"), F.col("name").alias("r"))))
     judged = tried.groupBy("page_id", "url", "copies", "host", "path").agg(best.alias("best"))
     # Rules without a token are in no index: every URL meets them.
