@@ -317,9 +317,10 @@ def http_date(t: Column) -> Column:
 
 
 def parse_http_date(s: Column) -> Column:
-    """Seconds since 1970 of the three date forms of HTTP."""
+    """Seconds since 1970 of the three date forms of HTTP; years of two digits are those from 1970 to 2069."""
     bare = F.regexp_replace(s, "^[A-Za-z]+,? +", "")
-    forms = [F.try_to_timestamp(bare, F.lit(f)) for f in ("dd MMM yyyy HH:mm:ss 'GMT'", "dd-MMM-yy HH:mm:ss 'GMT'", "MMM d HH:mm:ss yyyy")]
+    bare = F.regexp_replace(F.regexp_replace(bare, "^([0-9]{2}-[A-Za-z]{3}-)([7-9][0-9] )", "$119$2"), "^([0-9]{2}-[A-Za-z]{3}-)([0-6][0-9] )", "$120$2")
+    forms = [F.try_to_timestamp(bare, F.lit(f)) for f in ("dd MMM yyyy HH:mm:ss 'GMT'", "dd-MMM-yyyy HH:mm:ss 'GMT'", "MMM d HH:mm:ss yyyy")]
     return F.unix_timestamp(F.coalesce(*forms))
 
 

@@ -45,19 +45,24 @@ SECTIONS_LEFT_OUT = (
 )
 PAGES_LEFT_OUT = ("BB戦士三国伝", "少林サッカー")
 DEFINITION_PAGES = ("風来のシレンのキャラクター一覧",)
-# Tokens that are no names: as a whole, by their beginning, by a part.
+# Tokens that are no names: as a whole, by their beginning, by a part, by their end. Editions (``…版``), restrictions
+# (``…のみ``), times of life (``…時代``) and star signs (``…座``) are known by their end alone.
 NO_NAMES = frozenset((
-    "lang", "en", "本名", "なし", "無し", "夫", "妻", "父", "母", "現", "ー", "歌", "では", "匠", "新", "反", "奪", "黄", "我", "千", "朝", "汚", "白", "蝶", "女", "男", "連続", "単発",
-    "以降不定期", "不明", "概要", "概歴", "劇中", "解決編", "変装時", "少年", "少女", "幼馴染", "幼少", "老年", "登場時のみ", "ファンディスク", "実写", "※", "出版社", "回想", "？", "?",
-    "仮の姿", "真の姿", "同左", "VOMIC", "Age", "成長後", "♂", "♀", "の娘で", "過去", "サンデーCM劇場", "次回予告", "誕生日", "血液型", "子供の", "ジョジョの奇妙な冒険", "堪能で",
-    "若い頃", "・", "じじい", "変身前", "通常時", "電撃文庫", "クリーム", "ショコラ", "特番", "スーパー", "総集編", "2人", "カメオ出演", "友情出演", "ゲスト", "ゲスト出演",
-    "クレジットタイトル", "明記なし", "イメージアルバム", "身長", "体重", "スリーサイズ", "初代", "後述", "無印", "放送開始", "がいるほか", "モノローグ", "幼い",
-    "ヒーローズファンタジア", "本編", "が出現", "騒動となった", "初期の", "両者とも", "子供", "子役", "大人", "現代", "アーカイブ", "スペシャルアニメ", "プロサッカー選手", "パチスロ",
-    "アダルト", "ナレーションも", "スペシャル", "兄役", "コロちゃん役", "世界大会編", "息子", "土曜ワイド劇場", "クレジットなし", "女 不明", "男 不明", "シーズン", "効果音",
-    "子犬", "原作漫画", "原作第", "原作と", "原作系", "知り合い", "ノベル", "コミック", "原作版設定", "美女", "多数の声優が担当", "全国編", "ディレクターズカット", "外伝", "全作品",
-    "妖精", "貴族", "職人", "パチンコ", "先生", "主人公", "前作主人公", "王子", "謎の男", "黄色", "イメージカラー", "所属クラス", "Aクラス", "趣味", "正式名", "総督", "調査官",
-    "地方検事", "刑事", "地方検事補", "警部補", "名称不明", "通称", "上司", "部下", "元彼女", "blackops", "暴力",
+    "lang", "en", "本名", "なし", "無し", "夫", "妻", "父", "母", "現", "DS", "PSP", "ー", "歌", "PC", "では", "匠", "新", "反", "奪", "黄", "我", "千", "朝", "汚", "白", "蝶", "女", "男",
+    "連続", "単発", "アニメ", "テレビ", "以降不定期", "不明", "概要", "概歴", "劇中", "解決編", "幼少期", "幼年期", "少年期", "少女期", "少年時", "少女時", "青年期", "青年時",
+    "若年期", "壮年期", "変装時", "少年", "少女", "幼馴染", "幼少", "老年", "TVアニメ", "テレビアニメ", "ラジオドラマ", "CDドラマ", "ドラマCD", "OVA", "ファンディスク",
+    "まんがDVD", "ゲーム", "実写", "Webアニメ", "※", "出版社", "回想", "？", "?", "仮の姿", "真の姿", "同左", "VOMIC", "Age", "成長後", "♂", "♀", "TVSP", "小学", "中学", "高校", "大学",
+    "の娘で", "過去", "OAD", "サンデーCM劇場", "次回予告", "誕生日", "血液型", "O型", "A型", "B型", "AB型", "子供の", "ジョジョの奇妙な冒険", "堪能で", "若い頃", "・", "じじい", "変身前",
+    "通常時", "電撃文庫", "クリーム", "ショコラ", "特番", "スーパー", "総集編", "2人", "CD", "カメオ出演", "友情出演", "ゲスト", "ゲスト出演", "クレジットタイトル", "明記なし",
+    "イメージアルバム", "身長", "体重", "スリーサイズ", "初代", "後述", "無印", "放送開始", "がいるほか", "モノローグ", "幼年時", "幼い", "ヒーローズファンタジア", "本編", "が出現",
+    "騒動となった", "初期の", "両者とも", "子供", "子役", "大人", "現代", "アーカイブ", "スペシャルアニメ", "プロサッカー選手", "パチスロ", "アダルト", "ナレーションも", "スペシャル",
+    "兄役", "コロちゃん役", "世界大会編", "息子", "土曜ワイド劇場", "クレジットなし", "ラジオ", "女 不明", "男 不明", "シーズン", "効果音", "DC PS", "PS DC", "子犬", "PCゲーム", "原作漫画",
+    "原作第", "原作と", "原作系", "知り合い", "ノベル", "コミック", "原作版設定", "美女", "多数の声優が担当", "ドラマCDのみボイスあり", "全国編", "アニメ第一作", "アニメ第ニ作",
+    "アニメ第三作", "アニメ第四作", "ディレクターズカット", "外伝", "全作品", "FC", "SFC", "GB", "GB1", "GB2", "GBA", "N64", "Wii", "妖精", "貴族", "職人", "パチンコ", "先生", "主人公",
+    "前作主人公", "王子", "謎の男", "黄色", "イメージカラー", "所属クラス", "Aクラス", "趣味", "正式名", "総督", "調査官", "地方検事", "刑事", "地方検事補", "警部補", "名称不明", "通称",
+    "上司", "部下", "元彼女", "blackops", "暴力", "IRQ", "KOR", "AUS", "USA", "GBR", "NGB", "TMS",
 ))
+NO_NAME_ENDS = ("版", "のみ", "時代", "座")
 NO_NAME_STARTS = (
     "原作では", "原作と", "現・", "過去の", "Ver.", "と同棲", "大尉の", "が好き", "が怒り", "声優さん", "予見されて", "漫画版のみ", "DVD EDITION", "に置き換えられた", "原作第五期",
     "原作第四期", "原作第三期", "原作第ニ期", "登場するが", "テレビアニメ第", "無印", "一部ルートのみ", "NEW VISIONの", "戦闘中のみ", "外伝以外",
@@ -71,14 +76,8 @@ NO_NAME_PARTS = (
 # ---- End of fixed values.
 
 _SEPARATOR = re.compile("[()（），,；;、\\-：:/／⇒→\\[{]")
-#: Tokens that are no names by rule: episodes, volumes and years; stages of life; media and machines; star signs, blood types, countries.
-_NOISE = re.compile(
-    "第?(?:TV|SP|DS|PS|MGS|S\\.)?[0-9.０-９．]+(?:話|巻|回|章|期|部|年|月|日|歳|才|人|号|作|代目|cm|kg|m|px)?(?:目|生|まで|から|以降)?"
-    "|(?:赤子|幼少|幼年|子供|少年|少女|青年|若年|壮年|小学|中学|中校|高校|高学|大学|学)生?(?:期|時|時代)?(?:のみ)?"
-    "|(?:(?:TV|テレビ|Web)?(?:アニメ|ドラマ)(?:CD)?(?:第.作)?|テレビ|TV|TVSP|OVA|OAD|CD|DVD|まんがDVD|ドラマCD|CDドラマ|ラジオ|ラジオドラマ|映画|実写映画|パイロット|ゲーム|PCゲーム|PSPゲーム|原作|オリジナル|コンシューマ"
-    "|ミュージカル|リマスター|イベント|エピローグ|BOX|BeeTV|パチンコ|SHINY|ラブラブおもちゃ箱|とらハ2OVA|DC PS|PS DC|DS|PSP|PC|SS|PS|DC|FC|SFC|GB[12A]?|N64|Wii)(?:版)?(?:のみ)?(?:ボイスあり)?"
-    "|(?:牡羊|牡牛|双子|蟹|獅子|乙女|天秤|蠍|射手|山羊|水瓶|魚)座|(?:O|A|B|AB)型|声優版|IRQ|KOR|AUS|USA|GBR|NGB|TMS|center"
-)
+#: Numbered episodes, volumes, years and the like: a number at the start, perhaps behind a counter or a medium.
+_NUMBERED = re.compile("第?(?:TV)?(?:SP)?(?:DS)?(?:PS)?(?:MGS)?(?:S\\.)?[0-9.０-９．]")
 _MARKS = re.compile(r"\[|\]|'''?|\{\{|\}\}|==")
 
 
@@ -101,7 +100,8 @@ def no_word(word: str, noise: frozenset[str] = frozenset()) -> bool:
     """Whether a token is left out: noise by rule or by the given list, or a stop word."""
     return bool(word) and (
         "#" in word or stops(word) or (len(word) == 1 and not has(word, "kanji")) or word in NO_NAMES or word in noise
-        or word.startswith(NO_NAME_STARTS) or any(p in word for p in NO_NAME_PARTS) or _NOISE.fullmatch(word) is not None
+        or word.startswith(NO_NAME_STARTS) or any(p in word for p in NO_NAME_PARTS) or _NUMBERED.match(word) is not None
+        or (word.endswith(NO_NAME_ENDS) and word not in ACTOR_MARKS)
     )
 
 

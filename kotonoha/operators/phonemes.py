@@ -2,8 +2,8 @@
 
 Stress digits go first. Then rules rewrite the phoneme string stage by stage; within a stage the first listed rule that
 fits a place wins. Built in are the word-initial rules, the single-phoneme rules and a two-phoneme stage that is computed
-from the kana grid: a consonant and a vowel give one syllable. Longer, irregular rules are a parameter: a table of
-(stage, pattern, kana) rows, as read by ``sources.pages.read_rules``; its rows come before the computed ones.
+from the kana grid: a consonant and a vowel give one syllable, unless the pair is listed as irregular. Longer rules are a
+parameter: a table of (stage, pattern, kana) rows, as read by ``sources.pages.read_rules``; its rows come before all others.
 """
 
 from __future__ import annotations
@@ -19,6 +19,24 @@ SINGLE = (
     ("B", "ぶ"), ("D", "ど"), ("F", "ふ"), ("G", "ぐ"), ("K", "く"), ("L", "る"), ("M", "む"), ("N", "ん"), ("P", "ぷ"), ("R", "あ"),
     ("S", "す"), ("T", "と"), ("V", "ぶ"), ("W", "う"), ("Y", "い"), ("Z", "ず"),
 )
+# Pairs (and a few triples) whose kana are not those of the grid, or that are no syllable of it.
+IRREGULAR = (
+    ("G AA", "ごっ"), ("HH EH", "へっ"), ("NG K", "んく"), ("ER TH", "あーす"), ("HH AO", "ふぉ"), ("CH IH", "ちっ"), ("IY T", "いーと"), ("F ER", "ふぁ"), ("JH UW", "じゅ"), ("IH M", "えん"),
+    ("IH NG", "ん"), ("F AO", "ふぁ"), ("L IH", "りっ"), ("AW T", "あうと"), ("EH G", "えっぐ"), ("CH IY", "っち"), ("V AH", "ぶ"), ("S EH", "せっ"), ("AO R", "あー"), ("HH IH", "ひー"),
+    ("F EY", "ふぇ"), ("T AH", "とぅ"), ("T UW", "とぅ"), ("W AH", "うぉ"), ("W OW", "うぉ"), ("HH AE F", "はーふ"), ("HH AE K", "はっく"), ("CH AO", "ちょ"), ("D AA", "ど"), ("D AO", "ど"),
+    ("D UW", "どぅ"), ("L EY", "れ"), ("S AO", "そ"), ("L AH", "れ"), ("F AH", "ふぃ"), ("HH AH", "へ"), ("P AW", "ぷぁ"), ("P ER", "ぺー"), ("HH OW", "ほ"), ("AH P", "あっぷ"),
+    ("IH K", "えく"), ("AH L", "うる"), ("T OY", "とーい"), ("T AE", "たっ"), ("AW ER", "わー"), ("K AE", "きゃ"), ("L UW", "りゅー"), ("AO F", "おふ"), ("OY L", "おいる"), ("K IH", "きっ"),
+    ("D AW", "どっ"), ("N UW", "にゅー"), ("T AY", "てぃ"), ("D IY", "でぃ"), ("B IH", "びっ"), ("B AH", "ばっ"), ("AE L", "あー"), ("T IY", "てぃ"), ("V IY", "びぃ"), ("AE M", "あん"),
+    ("AH N", "あん"), ("AA N", "あん"), ("B UH", "ぶっ"), ("R UH", "ろっ"), ("Y UH", "ろぉ"), ("P UH", "ぷっ"), ("CH UH", "ちっ"), ("N UH", "ぬっ"), ("M UH", "むっ"), ("HH UH", "はっ"),
+    ("S UH", "しっ"), ("K UH", "くっ"), ("F UH", "ふっ"), ("SH UH", "しっ"), ("Z UH", "ずっ"), ("L UH", "ろっ"), ("G UH", "ぐっ"), ("SH AA", "しゃー"), ("T AA", "と"), ("V AA", "ぶぁ"),
+    ("HH AA", "はぁ"), ("K AA", "こー"), ("S AA", "すっ"), ("L AA", "ろっ"), ("M AA", "まー"), ("ER OW", "えあろ"), ("D AE", "だっ"), ("AH D", "あど"), ("M IH", "みい"), ("AE D", "あーど"),
+    ("AE N", "あん"), ("R ER", "やー"), ("Z IH", "じー"), ("SH AH", "しょ"), ("S AH", "すっ"), ("R AH", "ろー"), ("R AA", "ろ"), ("EY P", "あぷっ"), ("AE P", "あぷっ"), ("P OW", "ぽーす"),
+    ("F AA", "ふぉっ"), ("N D", "んど"), ("L Z", "るず"), ("AA R", "あー"), ("ER IH", "あり"), ("M Z", "むず"), ("ER EY", "あれい"), ("AE S", "あす"), ("AA S", "あす"), ("K S", "くす"),
+    ("SH OW", "しょう"), ("K R AE", "くら"), ("K R AO", "くろ"), ("G R AE", "ぐら"), ("EH R", "えあー"), ("P AO R", "ぽー"), ("SH IH", "しっ"), ("W IH", "うい"), ("DH IY", "でぃ"), ("F AO R", "ふぉー"),
+    ("IH L", "える"), ("EH L", "える"), ("ER AA", "らー"), ("D AH", "だー"), ("K T", "くと"), ("F IH", "ふぃー"), ("T W", "とぅ"), ("M IY", "みぃ"), ("NG ER", "んがー"), ("IH CH", "ぴっち"),
+    ("P AH", "ぷ"), ("OW L", "おーる"), ("AO N", "おん"), ("IH N", "いん"), ("N EH", "ねっ"), ("CH EY", "ちぇ"), ("V EY", "べ"), ("AY S", "あいす"), ("B AA", "ぼっ"), ("B OY", "ぼーい"),
+    ("AE F", "あふ"),
+)
 #: Consonants with their kana before a, i, u, e, o.
 GRID = {
     "B": "ば び ぶ べ ぼ", "CH": "ちゃ ち ちゅ ちぇ ちょ", "D": "だ でぃ どぅ で ど", "DH": "ざ じ ず ぜ ぞ", "F": "ふぁ ふぃ ふ ふぇ ふぉ", "G": "が ぎ ぐ げ ご",
@@ -40,7 +58,7 @@ def syllables() -> list[tuple[str, str]]:
 
 @lru_cache(maxsize=16)
 def _stages(extra: tuple[tuple[int, str, str], ...]) -> list[tuple[re.Pattern, dict[str, str]]]:
-    built = {0: [("  " + p, k) for p, k in INITIAL], 1: [], 2: syllables(), 3: list(SINGLE)}
+    built = {0: [("  " + p, k) for p, k in INITIAL], 1: [], 2: [*IRREGULAR, *syllables()], 3: list(SINGLE)}
     out = []
     for stage in sorted(set(built) | {s for s, *_ in extra}):
         rows: dict[str, str] = {}

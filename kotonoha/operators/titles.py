@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,8 +28,22 @@ DATE = r"^[0-9](?:[0-9]?月?[0-9]{0,2}日?(?:年(?:[0-9]{0,2}|[0-9]{2}月[0-9]{0
 REDIRECT = r"(?s)>#(?:転送|REDIRECT|redirect|Redirect).*\[\["
 
 
-def _any(tests) -> Column:
-    return reduce(lambda a, b: a | b, tests)
+def _either(words: Iterable[str]) -> str:
+    return "(?:" + "|".join(map(re.escape, words)) + ")"
+
+
+def _noise_pattern() -> str:
+    """All tests of a title in one expression, so that a title that is itself computed is computed once."""
+
+    def both(a: str, b: str) -> list[str]:
+        return [f"{a}.*{b}", f"{b}.*{a}"]
+
+    starts = [rf"{_either(NOISE_EXACT)}\z", _either(NOISE_PREFIX), r"[0-9].*[年日]\z", DATE.removeprefix("^"), r"旧暦.*日\z", rf"{_either(LUNAR_MONTHS)}.*日\z"]
+    inside = [_either(NOISE_INSIDE), rf"{_either(NOISE_SUFFIX)}\z", *both("年", _either(NOISE_ERAS)), *both("号", _either(NOISE_ROADS))]
+    return f"(?s)^(?:{'|'.join(starts)})|{'|'.join(inside)}"
+
+
+NOISE = _noise_pattern()
 
 
 def is_list_page(title: Column) -> Column:
@@ -41,21 +56,7 @@ def is_ascii(title: Column) -> Column:
 
 def is_noise(title: Column) -> Column:
     """A namespace, date, era, road, row of the syllabary or other page that is no entry."""
-    digit_first = title.rlike("^[0-9]")
-    return _any(
-        [title.isin(*NOISE_EXACT)]
-        + [title.startswith(p) for p in NOISE_PREFIX]
-        + [title.contains(s) for s in NOISE_INSIDE]
-        + [title.endswith(s) for s in NOISE_SUFFIX]
-        + [
-            digit_first & (title.endswith("年") | title.endswith("日")),
-            title.rlike(DATE),
-            title.startswith("旧暦") & title.endswith("日"),
-            title.contains("年") & _any(title.contains(e) for e in NOISE_ERAS),
-            title.contains("号") & _any(title.contains(r) for r in NOISE_ROADS),
-            title.endswith("日") & _any(title.startswith(m) for m in LUNAR_MONTHS),
-        ]
-    )
+    return title.rlike(NOISE)
 
 
 def is_disambiguation(inner: Column) -> Column:

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from . import plans
 from .functions import kana as kana_functions
 from .functions import strings as st
+from .functions import wikitext
 from .functions.charclass import only_column
-from .operators import titles
+from .operators import readings, titles
+from .plans.modes import text_udf
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,7 +56,7 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT page_id, {_TITLE} AS title FROM pages WHERE {_TITLE} <> ''")
 def title_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "pages").select("page_id", _title().alias("title")).where("title <> ''")
+    return _table(spark, sf_dir, "pages").select("page_id", titles.parsed_title(F.col("html")).alias("title")).where("title <> ''")
 
 
 @query("SELECT doc_id, regexp_matches(text, '^[\\x20-\\x7E\\n]*$') AS is_ascii, regexp_matches(text, '^[A-Za-z _.\\n]*$') AS is_letters FROM documents")
@@ -81,8 +83,8 @@ def noise_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT page_id, length(regexp_replace(html, '<!--.*?-->', '', 'gs')) AS n_chars, md5(regexp_replace(html, '<!--.*?-->', '', 'gs')) AS digest FROM pages")
 def snip_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Non-nested spans removed in the JVM."""
-    out = F.regexp_replace("html", "(?s)<!--.*?-->", "")
+    """Spans between marks removed, by the cleaner's own scan."""
+    out = text_udf(lambda x: wikitext.snip(x, "<!--", "-->"), "string")("html")
     return _table(spark, sf_dir, "pages").select("page_id", F.char_length(out).cast("long").alias("n_chars"), F.md5(F.encode(out, "UTF-8")).alias("digest"))
 
 
@@ -124,9 +126,8 @@ def bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, md5(text) AS md5, sha1(text) AS sha1, to_base64(encode(text)) AS base64 FROM documents")
 def digests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = F.encode("text", "UTF-8")
-    # Line feeds of the MIME form are no part of the plain one.
-    return _table(spark, sf_dir, "documents").select("doc_id", F.md5(raw).alias("md5"), F.sha1(raw).alias("sha1"), F.regexp_replace(F.base64(raw), "[\r\n]", "").alias("base64"))
+    text = F.col("text")
+    return _table(spark, sf_dir, "documents").select("doc_id", st.md5(text).alias("md5"), st.sha1(text).alias("sha1"), st.base64_encode(text).alias("base64"))
 
 
 @query("""
@@ -201,8 +202,7 @@ FROM (SELECT doc_id, split_part(text, chr(10), 1) AS first_line FROM documents)
 """)
 def longest_piece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first of the longest pieces between spaces, over the whole text."""
-    pieces = F.split("text", " ", -1)
-    best = F.reduce(pieces, F.lit(""), lambda a, b: F.when(F.char_length(b) > F.char_length(a), b).otherwise(a))
+    best = text_udf(lambda x: readings.longest_piece(x, " ") if x is not None else None, "string")("text")
     return _table(spark, sf_dir, "documents").select("doc_id", best.alias("longest"))
 
 
@@ -212,8 +212,12 @@ FROM documents
 """)
 def first_of_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of whichever mark comes first."""
-    hits = [F.coalesce(F.nullif(F.instr("text", m).cast("long"), F.lit(0)), F.lit(1_000_000_000)) for m in (" the ", " der ", " le ")]
-    return _table(spark, sf_dir, "documents").select("doc_id", F.least(*hits).alias("first_hit"))
+
+    def first(text: str | None) -> int:
+        hit = wikitext.first_of(text, (" the ", " der ", " le ")) if text is not None else None
+        return hit[0] + 1 if hit else 1_000_000_000
+
+    return _table(spark, sf_dir, "documents").select("doc_id", text_udf(first, "long")("text").alias("first_hit"))
 
 
 @query("""
@@ -251,7 +255,8 @@ def lexicon_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("]]\n[[Category:"), word, F.lit("|x]]"),
     )
     inner = F.when(page % 11 == 3, F.concat(F.lit("<text>#REDIRECT [["), kata, F.lit("]]\n"), html)).otherwise(lead)
-    return made.select(page.alias("ordinal"), title.alias("title"), inner.alias("inner"))
+    # A generator keeps the made texts from being made anew by every filter on them.
+    return made.select(page.alias("ordinal"), F.inline(F.array(F.struct(title.alias("title"), inner.alias("inner")))))
 
 
 @query()

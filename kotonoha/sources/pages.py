@@ -17,7 +17,9 @@ def page_columns(chunk: Column) -> tuple[Column, Column]:
 
 def _pages(lines: DataFrame, *more: str) -> DataFrame:
     title, inner = page_columns(F.col("value"))
-    return lines.where(F.contains("value", F.lit("<page>"))).select(*more, title.alias("title"), inner.alias("inner"))
+    # Filters on a page do not pass a generator, so no test on a title extracts it anew.
+    page = F.inline(F.array(F.struct(title.alias("title"), inner.alias("inner"))))
+    return lines.where(F.contains("value", F.lit("<page>"))).select(*more, page)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -182,7 +182,7 @@ def test_character_tokens():
 
 # ---- phonemes
 def test_phonemes():
-    assert phonemes.to_kana("K AE1 T") == "かと" and phonemes.to_kana("B IY0") == "びー" and phonemes.to_kana("") == "" and phonemes.to_kana("M AH0") == "ま"
+    assert phonemes.to_kana("K AE1 T") == "きゃと" and phonemes.to_kana("B IY0") == "びー" and phonemes.to_kana("") == "" and phonemes.to_kana("M AH0") == "ま"
     assert phonemes.to_kana("S T ER", ((1, "S T ER", "すたー"),)) == "すたー" and len(phonemes.syllables()) == len(phonemes.GRID) * len(phonemes.VOWELS)
 
 
