@@ -235,6 +235,7 @@ def section_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 _UNFIT, _FIT = "|#[]{}<>\n", "｜＃［］｛｝＜＞ "
 _ACCENTED, _PLAIN = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿß", "aaaaaaceeeeiiiinooooouuuuyys"
 _DIGITS, _DIGIT_KANA = "0123456789", "ヒフヘホマミムメモヤ"
+_HIRAGANA = "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめもや"
 
 
 def lexicon_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,12 +260,35 @@ def lexicon_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select(page.alias("ordinal"), F.inline(F.array(F.struct(title.alias("title"), inner.alias("inner")))))
 
 
-@query()
+def _made_pages() -> str:
+    """SQL of the made pages: title, what is left of it without parentheses, kana, and whether the page redirects."""
+    return f"""
+WITH p AS (
+  SELECT page_id, regexp_extract(html, 'lang="(..)"', 1) AS lang, trim(translate({_TITLE}, '{_UNFIT}', '{_FIT}'), ' ') AS word, contains(html, '#') AS sectioned FROM pages
+), k AS (
+  SELECT *, translate(regexp_replace(translate(lower(regexp_replace(word, '&[A-Za-z]+;', '&', 'g')), '{_ACCENTED}', '{_PLAIN}'), '[^a-z0-9]', '・', 'g'),
+    '{_LETTERS}{_DIGITS}', '{_KANA}{_DIGIT_KANA}') AS kata FROM p
+), t AS (
+  SELECT *, page_id % 11 = 3 AS redirects, replace(kata, '・', '') AS sound, translate(kata, '{_KANA}{_DIGIT_KANA}', '{_HIRAGANA}') AS hira,
+    trim(CASE page_id % 5 WHEN 0 THEN kata WHEN 1 THEN kata || '派' WHEN 2 THEN kata
+      ELSE replace(replace(replace(regexp_replace(word, '[(][^()]*[)]', '', 'g'), '&quot;', ''), '&amp;', '&'), '  ', ' ') END, ' 　''') AS title,
+    page_id % 5 > 2 AS latin, replace(replace(replace(word, '&quot;', ''), '&amp;', '&'), '  ', ' ') AS cleaned FROM k
+)
+"""
+
+
+@query(_made_pages() + r"""
+SELECT title, list_filter([lang, split_part(regexp_replace(word || '|x', '^([^ ]*) .[^A-Za-z0-9].*$', '\1'), '|', 1)], lambda c: c <> '') AS categories
+FROM t WHERE NOT redirects AND title <> '' AND len(categories) > 0
+""")
 def lexicon_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.categories(lexicon_pages(spark, sf_dir))
 
 
-@query()
+@query(_made_pages() + """
+SELECT sound || CASE WHEN page_id % 5 = 1 THEN 'ハ' ELSE '' END AS reading, title FROM t
+WHERE NOT redirects AND title <> '' AND reading <> '' AND NOT (latin AND regexp_matches(word, '^[ -~]*$'))
+""")
 def lexicon_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.readings(lexicon_pages(spark, sf_dir))
 
@@ -274,17 +298,32 @@ def lexicon_english(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.english_words(lexicon_pages(spark, sf_dir))
 
 
-@query()
+@query(_made_pages() + """
+SELECT title, list_concat([hira], CASE WHEN page_id % 5 = 0 THEN coalesce(names, []) ELSE [] END) AS synonyms
+FROM t LEFT JOIN (
+  SELECT kata, list(title ORDER BY page_id) AS names FROM (SELECT kata, title, min(page_id) AS page_id FROM t WHERE redirects AND NOT sectioned AND page_id % 5 IN (1, 3, 4) AND title <> '' GROUP BY kata, title) GROUP BY kata
+) AS led USING (kata)
+WHERE NOT redirects AND title <> '' AND hira <> ''
+""")
 def lexicon_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.synonyms(lexicon_pages(spark, sf_dir))
 
 
-@query()
+@query(_made_pages() + """
+SELECT sound AS reading, kata AS name, title, CASE WHEN regexp_matches(cleaned, '^[0-9.]') THEN '' ELSE trim(split_part(split_part(cleaned, ':', -1), '(', 1), ' ') END AS actor1, '' AS actor2, '' AS actor3
+FROM t WHERE NOT redirects AND title <> '' AND sound <> ''
+""")
 def lexicon_characters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.characters(lexicon_pages(spark, sf_dir))
 
 
-@query()
+@query("""
+SELECT replace(p_name, ' ', '') AS word, list_aggregate(list_transform(regexp_extract_all(upper(p_name), '[BDFGKLMNPRSTVWZ]'), lambda c: c || ' IY1'), 'string_agg', ' ') AS phonemes,
+  list_aggregate(list_transform(regexp_extract_all(upper(p_name), '[BDFGKLMNPRSTVWZ]'), lambda c: CASE c WHEN 'B' THEN 'ビー' WHEN 'D' THEN 'ディ' WHEN 'F' THEN 'フィー' WHEN 'G' THEN 'ギー'
+    WHEN 'K' THEN 'キー' WHEN 'L' THEN 'リー' WHEN 'M' THEN 'ミィ' WHEN 'N' THEN 'ニー' WHEN 'P' THEN 'ピー' WHEN 'R' THEN 'リー' WHEN 'S' THEN 'シー' WHEN 'T' THEN 'ティ' WHEN 'V' THEN 'ビィ'
+    WHEN 'W' THEN 'ウィー' ELSE 'ジー' END), 'string_agg', '') AS kana
+FROM part WHERE regexp_matches(upper(p_name), '[BDFGKLMNPRSTVWZ]')
+""")
 def lexicon_phonemes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part names spelled as phonemes, a consonant and a vowel in turn."""
     pairs = F.regexp_extract_all(F.upper("p_name"), F.lit("([BDFGKLMNPRSTVWZ])"), F.lit(1))
