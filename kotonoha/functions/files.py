@@ -15,6 +15,20 @@ def _fs(spark: SparkSession, path: str):
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
+def working_folder(spark: SparkSession) -> str:
+    """The folder that relative paths start from, on the default file system."""
+    fs, _ = _fs(spark, ".")
+    return fs.getWorkingDirectory().toString()
+
+
+def temporary_folder(spark: SparkSession, project: str) -> str:
+    """A project's folder for temporary files, made if it is missing: in ``hadoop.tmp.dir``, so that all machines name the same."""
+    base = spark.sparkContext._jsc.hadoopConfiguration().get("hadoop.tmp.dir") or "/tmp"
+    path = f"{base.rstrip('/')}/{project}"
+    make_folders(spark, path)
+    return path
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p)

@@ -130,6 +130,8 @@ READINGS: list[Case] = [
     ("script switch", readings.script_switch, ("山本",), [-1, 0]),
     ("cleaners by word", readings.cut_at, ("あ、い、う", "、"), "あ"),
     ("getKatahiraKatamari", readings.longest_piece, ("a・bb・cc", "・"), "bb"),
+    ("NihongoCount", readings.japanese_length, ("漢かカa1-",), 3),
+    ("NihongoCount", readings.japanese_length, ("",), 0),
     ("spoken part", readings.spoken_part, (" ふぇるみめん Fermi",), "ふぇるみめん"),
     ("clean reading", readings.clean_reading, ("山川", "やま かわ、別"), "やまかわ"),
     ("clean reading", readings.clean_reading, ("普", "ふ/ぷぷ"), "ぷぷ"),

@@ -166,3 +166,8 @@ def reading(title: str, inner: str, *, raw_tags: bool = False) -> str:
 
 def has_kana(text: str) -> bool:
     return has(text, "hiragana") or has(text, "katakana")
+
+
+def japanese_length(text: str) -> int:
+    """How many characters are kanji or kana."""
+    return len(re.findall(f"[{KANJI}{HIRAGANA}{KATAKANA}]", text))

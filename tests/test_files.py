@@ -50,3 +50,15 @@ def test_streaming_tables(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("led").first()["source"] == "乗合"
+
+
+def test_working_and_temporary_folders(spark, tmp_path):
+    assert files.working_folder(spark)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("hadoop.tmp.dir")
+    try:
+        conf.set("hadoop.tmp.dir", str(tmp_path))
+        path = files.temporary_folder(spark, "project")
+        assert path == f"{tmp_path}/project" and files.is_directory(spark, path) and files.temporary_folder(spark, "project") == path
+    finally:
+        conf.set("hadoop.tmp.dir", before)
