@@ -2,7 +2,8 @@
 
 A block is a run of whole texts laid end to end in one ``uint8`` array. Words, n-grams and shingles of all texts of a
 block come from a few numpy passes, so no Python code runs per word. Hashes are 64-bit polynomial prefix hashes
-followed by a bit mixer; memory is about 40 bytes per byte of a block, and a block holds one text at least.
+followed by a bit mixer. A block holds one text at least; hashes of texts beyond ``PIECE`` bytes are made piece by piece, so
+that memory is about 10 bytes per byte of such a text and 40 per byte of a piece.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20
+PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
@@ -104,6 +106,33 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each byte span; spans come in order of their starts and of their ends."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    if len(data) <= PIECE:
+        return span_hash(prefix_hash(data), starts, ends)
+    out, i = np.empty(len(starts), np.uint64), 0
+    while i < len(starts):
+        low = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, low + PIECE, "right")))
+        high = int(ends[j - 1])
+        if high - low > PIECE:
+            out[i] = _long_hash(data[low:high])
+        else:
+            out[i:j] = span_hash(prefix_hash(data[low:high]), starts[i:j] - low, ends[i:j] - low)
+        i = j
+    return out
+
+
+def _long_hash(data: np.ndarray) -> np.uint64:
+    """Hash of one span beyond a piece, the same as ``span_hash`` would give."""
+    total = 0
+    for at in range(0, len(data), PIECE):
+        total += int(prefix_hash(data[at : at + PIECE])[-1]) * pow(_BASE, at, 1 << 64)
+    return mix(np.array([(total + len(data)) & _MASK], np.uint64))[0]
+
+
 def window_hash(hashes: np.ndarray, width: int) -> np.ndarray:
     """Hash of each run of ``width`` neighbouring hashes (also across texts: the caller drops those)."""
     n = len(hashes) - width + 1
@@ -133,7 +162,7 @@ def shingles(block: Block, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """
     low = Block(block.lo, block.hi, LOWER[block.data], block.at)
     starts, ends, first = words(low, SPACES)
-    hashes = span_hash(prefix_hash(low.data), starts, ends) if len(starts) else np.zeros(0, np.uint64)
+    hashes = hash_spans(low.data, starts, ends)
     n_texts, counts = len(block.at) - 1, np.diff(first)
     long = counts >= width
     at = ranges(first[:-1], np.where(long, first[1:] - width + 1, first[:-1]))

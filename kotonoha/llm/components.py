@@ -1,9 +1,10 @@
-"""Connected components by merging small forests, level by level.
+"""Connected components: forests within tasks first, then rounds of stars over what is left.
 
-Each level reduces every partition's edges to a forest of stars with an in-memory pass, groups the stars by node, and
-hands on only the pairs of centres that one node joins. The number of partitions of the next level shrinks, so few
-levels are needed and no task sees the whole graph unless what is left of it is small. A hot centre is no hot key: stars
-are grouped by their leaves, and pointers back to centres are joined with plain shuffles that adaptive execution splits.
+Every task reduces its edges to a forest of stars with an in-memory pass. Stars are grouped by node; where a node has
+several centres, the pairs of centres are what is left. Up to ``few`` such pairs go to one task. More of them are worked on
+by alternating star rounds (every node's larger neighbours are tied to its smallest one, then its smaller ones), each a few
+joins and aggregations over all tasks, until nothing changes or ``few`` pairs are left: no task ever sees more than that. A
+hot centre is no hot key: minima are combined before they move, and adaptive execution splits the joins.
 """
 
 from __future__ import annotations
@@ -55,25 +56,38 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(nodes[at : at + 100_000]), pa.array(roots[at : at + 100_000])], ["v", "root"])
 
 
-def components(edges: DataFrame, parts: int | None = None) -> DataFrame:
+def _least(edges: DataFrame) -> DataFrame:
+    return edges.groupBy("u").agg(F.min("v").alias("m"))
+
+
+def _star_rounds(edges: DataFrame, few: int) -> DataFrame:
+    """(v, root) of the edges (a, b): alternating star rounds, the last few edges in one task."""
+    now = settle(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    state = None
+    while True:
+        both = now.union(now.select("v", "u"))
+        large = both.where("v > u").join(_least(both), "u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).where("u <> v").distinct()
+        large = settle(large)
+        tied = large.join(_least(large), "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        now = settle(tied.where("u <> v").distinct())
+        found = now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.bit_xor(F.xxhash64("v", "u")).alias("y")).first()
+        if found["n"] <= few:
+            return now.coalesce(1).mapInArrow(_stars, "v long, root long")
+        if found == state:
+            return now.select(F.col("u").alias("v"), F.col("v").alias("root"))
+        state = found
+
+
+def components(edges: DataFrame, few: int = FEW_EDGES) -> DataFrame:
     """Rows (id, component): for each node of the edges (a, b) the smallest node it reaches. Self-edges and repeats are allowed."""
-    stars = edges.select("a", "b").mapInArrow(_stars, "v long, root long")
-    level = settle(
-        stars.groupBy("v").agg(F.min("root").alias("up"), F.collect_set("root").alias("roots"))
-    )
-    left = settle(
-        level.where(F.size("roots") > 1)
-        .select(F.explode("roots").alias("a"), F.col("up").alias("b"))
-        .where("a <> b")
-        .distinct()
-    )
+    stars = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).mapInArrow(_stars, "v long, root long")
+    # A node has at most one centre from each task.
+    level = settle(stars.groupBy("v").agg(F.min("root").alias("up"), F.collect_set("root").alias("roots")))
+    left = settle(level.where(F.size("roots") > 1).select(F.explode("roots").alias("a"), F.col("up").alias("b")).where("a <> b").distinct())
     flat = level.select(F.col("v").alias("id"), F.col("up").alias("component"))
     n = left.count()
     if not n:
         return flat
-    parts = parts or left.sparkSession.sparkContext.defaultParallelism
-    parts = 1 if n <= FEW_EDGES else max(1, parts // 4)
-    above = components(left.repartition(parts, F.least("a", "b")) if parts > 1 else left.coalesce(1), parts)
-    return flat.join(above.select(F.col("id").alias("component"), F.col("component").alias("_c")), "component", "left").select(
-        "id", F.coalesce("_c", "component").alias("component")
-    )
+    above = left.coalesce(1).mapInArrow(_stars, "v long, root long") if n <= few else _star_rounds(left, few)
+    above = settle(above).select(F.col("v").alias("component"), F.col("root").alias("_c"))
+    return flat.join(above, "component", "left").select("id", F.coalesce("_c", "component").alias("component"))

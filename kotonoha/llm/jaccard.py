@@ -10,11 +10,15 @@ if two sets reach the threshold, they share one of the first |A| - ceil(t|A|) +
 of all shingles; and a prefix longer by e makes them share e + 1 of them. The order is by how common a shingle is over all texts, then by hash, so passages that many documents
 share come last and make no keys. Sets that meet under a key are compared there; nothing that could link is left out.
 
-Skew: equal texts are folded to their smallest id before anything else. A key that more than ``few`` sets
-share joins each to the key's three smallest ids first; when the groups found that way are known, only keys whose sets lie
-in several groups are kept, and of these trees return pairs across groups only. So a family of thousands of near copies
-costs a few comparisons each, not all pairs. Trees are made of blocks of at most ``block`` sets; a larger key is compared
-block by block, in separate tasks. Links are complete between groups: every pair of linked texts ends in one component.
+Skew: equal texts are folded to their smallest id before anything else. A key that more than ``few`` sets share joins each
+to the key's three smallest ids first; when the groups found that way are known, only keys whose sets lie in several groups
+are kept, and of these trees return pairs across groups only. So a family of thousands of near copies costs a few
+comparisons each, not all pairs. How common a key is, is known before it moves: very common ones are salted into pieces of
+about ``piece`` sets, whose first sets meet afterwards. A set with more than ``hub`` pairs is repeated for pieces of them, so
+that no task compares all of a large family with one set. Trees are made of blocks of at most ``block`` sets; a larger key is compared block by block, in
+separate tasks. Links are complete between groups: every pair of linked texts ends in one component.
+
+Words and shingles are compared as 64-bit hashes (polynomials modulo 2**64, scrambled), not as strings.
 
 Defined cases: null text, empty text and text without words: an empty set, linked with nothing; fewer words than the
 shingle: the whole sequence is the one shingle; repeated rows of one id are one document; ids must not be null (such rows
@@ -48,6 +52,8 @@ class JaccardParams:
     slot_bits: int = 23  # of the table of how common shingles are
     more: int = 40  # a set has a further key for so many shingles
     few: int = 12  # sets of a key that are paired at once
+    piece: int = 2048  # sets of a salted key's piece, about
+    hub: int = 5000  # pairs of one set that a task compares
     block: int = 2000  # sets of a tree
     fan: int = 16  # children of a node
 
@@ -143,9 +149,15 @@ def _prefix_keys(p: JaccardParams, table):
                 rank = classes[(found >> np.uint64(64 - p.slot_bits)).astype(np.int64)]
                 order = np.lexsort((bw.mix(found), rank, owner))
                 take = np.where(sizes > 0, sizes - -(-sizes * p.percent // 100) + 1 + sizes // p.more, 0)
-                chosen = found[order][bw.ranges(at[:-1], at[:-1] + take)].view(np.int64)
+                first = bw.ranges(at[:-1], at[:-1] + take)
+                chosen, common = found[order][first].view(np.int64), rank[order][first].astype(np.int64)
+                # Classes are powers of two of how often a slot occurred, so they say how many pieces a key needs.
+                pieces = np.maximum((np.int64(1) << common) // p.piece, 1)
+                own = np.repeat(bw.mix(keys[block.lo : block.hi].astype(np.int64).view(np.uint64)), take)
+                salt = np.where(pieces > 1, 1 + (own % pieces.astype(np.uint64)).astype(np.int64), 0).astype(np.int32)
                 bounds = np.concatenate(([0], np.cumsum(take))).astype(np.int32)
-                yield pa.record_batch([pa.array(keys[block.lo : block.hi]), pa.array(sizes.astype(np.int32)), pa.ListArray.from_arrays(pa.array(bounds), pa.array(chosen))], ["id", "n", "keys"])
+                pairs = pa.StructArray.from_arrays([pa.array(chosen), pa.array(salt)], ["key", "salt"])
+                yield pa.record_batch([pa.array(keys[block.lo : block.hi]), pa.array(sizes.astype(np.int32)), pa.ListArray.from_arrays(pa.array(bounds), pairs)], ["id", "n", "keys"])
 
     return run
 
@@ -153,53 +165,68 @@ def _prefix_keys(p: JaccardParams, table):
 # ---------------------------------------------------------------- meeting under keys
 
 
-def _key_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Columns of whole key groups, from batches sorted by their first column; a group may span batches."""
-    rest: list[np.ndarray] | None = None
+def _key_groups(batches: Iterator[pa.RecordBatch], width: int = 1) -> Iterator[list[np.ndarray]]:
+    """Columns of whole key groups, from batches sorted by their first ``width`` columns; a group may span batches."""
+    held: list[list[np.ndarray]] = []
     for batch in batches:
+        if not batch.num_rows:
+            continue
         columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        if rest is not None:
-            columns = [np.concatenate(x) for x in zip(rest, columns, strict=True)]
-        cut = int(np.searchsorted(columns[0], columns[0][-1], "left")) if len(columns[0]) else 0
-        rest = [c[cut:] for c in columns]
-        if cut:
+        last = np.ones(batch.num_rows, bool)
+        for c in columns[:width]:
+            last &= c == c[-1]
+        cut = int(last.argmax())  # where the last group of the batch begins, rows being sorted
+        if held and (cut or any(c[0] != h[-1] for c, h in zip(columns[:width], held[-1][:width], strict=True))):
+            # The group held so far ends in this batch or before it.
+            yield [np.concatenate(x) for x in zip(*held, [c[:cut] for c in columns], strict=True)]
+            held = []
+        elif cut:
             yield [c[:cut] for c in columns]
-    if rest is not None and len(rest[0]):
-        yield rest
+        held.append([c[cut:] for c in columns])
+    if held:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
 
 
-def _meet(p: JaccardParams):
-    """From (key, id, n) sorted by key and id: pairs (kind 0) and the rows of keys with more than ``few`` sets (kind 1)."""
+def _meet(p: JaccardParams, again: bool = False):
+    """From (key, salt, id, n) sorted by key and salt: pairs (kind 0), the rows of keys with more than ``few`` sets (kind 1),
+    and some sets of each piece of a salted key (kind 2). ``again`` is the meeting of these last: pairs only."""
 
     def fits(n: np.ndarray, m: np.ndarray) -> np.ndarray:
         return 100 * np.minimum(n, m) >= p.percent * np.maximum(n, m)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, ident, n in _key_groups(batches):
-            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        for key, salt, ident, n in _key_groups(batches, 2):
+            first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (salt[1:] != salt[:-1]))))
             size = np.diff(np.concatenate((first, [len(key)])))
             place = np.arange(len(key)) - np.repeat(first, size)
             crowd = np.repeat(size, size)
             left, right = [], []
-            for gap in range(1, min(int(size.max()), p.few)):
-                at = np.flatnonzero((place >= gap) & (crowd <= p.few))
-                at = at[fits(n[at], n[at - gap])]
-                left.append(ident[at - gap])
-                right.append(ident[at])
-            for lead in range(3):
-                at = np.flatnonzero((place > lead) & (crowd > p.few))
-                to = np.repeat(first, size)[at] + lead
+
+            def pair(at: np.ndarray, to: np.ndarray) -> None:
                 good = fits(n[at], n[to])
                 left.append(ident[to[good]])
                 right.append(ident[at[good]])
+
+            small = (crowd <= p.few) & (salt == 0)
+            for gap in range(1, min(int(size.max()), p.few)):
+                at = np.flatnonzero((place >= gap) & small)
+                pair(at, at - gap)
+            # Larger keys: a star on the three smallest ids, which are the same ones under most of a family's keys.
+            for lead in range(3):
+                at = np.flatnonzero(~small & (place > lead))
+                pair(at, np.repeat(first, size)[at] + lead)
+            many = np.flatnonzero(~small)
+            if len(many):
+                if not again:
+                    ahead = np.flatnonzero((salt > 0) & (place < 3))
+                    kind = np.repeat(np.array([1, 2], np.int32), [len(many), len(ahead)])
+                    rows = np.concatenate([many, ahead])
+                    yield pa.record_batch([pa.array(kind), pa.array(key[rows]), pa.array(ident[rows]), pa.array(n[rows].astype(np.int32))], ["kind", "a", "b", "n"])
             a, b = np.concatenate(left or [ident[:0]]), np.concatenate(right or [ident[:0]])
             if len(a):
                 pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
                 pairs = pairs[pairs[:, 0] != pairs[:, 1]]
                 yield pa.record_batch([pa.array(np.zeros(len(pairs), np.int32)), pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), pa.nulls(len(pairs), pa.int32())], ["kind", "a", "b", "n"])
-            many = np.flatnonzero(crowd > p.few)
-            if len(many):
-                yield pa.record_batch([pa.array(np.ones(len(many), np.int32)), pa.array(key[many]), pa.array(ident[many]), pa.array(n[many].astype(np.int32))], ["kind", "a", "b", "n"])
 
     return run
 
@@ -315,16 +342,35 @@ def _verified(p: JaccardParams):
     return run
 
 
+def _with_both(pairs: DataFrame, sets: DataFrame, columns: dict[str, tuple[str, str]], hubs: DataFrame | None, p: JaccardParams) -> DataFrame:
+    """Pairs (a, b) with columns of both sets. Pairs of a hub join copies of its row, one for each piece of the pairs."""
+    x = sets.select(F.col("id").alias("a"), *[F.col(c).alias(n) for c, (n, _) in columns.items()])
+    y = sets.select(F.col("id").alias("b"), *[F.col(c).alias(n) for c, (_, n) in columns.items()])
+    if hubs is None:
+        return pairs.join(x, "a").join(y, "b")
+    plain = pairs.join(hubs, "a", "left_anti").join(x, "a")
+    copies = x.join(hubs, "a").withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces")
+    salted = pairs.join(hubs, "a").withColumn("piece", F.pmod(F.xxhash64("b"), F.col("pieces")).cast("int")).drop("pieces")
+    return plain.unionByName(salted.join(copies, ["a", "piece"]).drop("piece")).join(y, "b")
+
+
+def _hubs(pairs: DataFrame, p: JaccardParams) -> DataFrame | None:
+    """(a, pieces) of the sets with very many pairs, if there are any."""
+    counts = pairs.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > p.hub)
+    hubs = settle(counts.select("a", F.ceil(F.col("n") / p.hub).cast("int").alias("pieces")))
+    return None if hubs.isEmpty() else hubs
+
+
 def _links(pairs: DataFrame, sets: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame:
     """The pairs that reach the threshold: first by count vectors, then by the sets of the texts that are left."""
-    x = sets.select(F.col("id").alias("a"), F.col("n").alias("n"), F.col("vector").alias("va"))
-    y = sets.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("vector").alias("vb"))
-    near = settle(pairs.join(x, "a").join(y, "b").select("a", "b", "n", "m", "va", "vb").mapInArrow(_bounded(p), "a long, b long"))
+    pairs = settle(pairs)
+    hubs = _hubs(pairs, p)
+    both = _with_both(pairs, sets, {"n": ("n", "m"), "vector": ("va", "vb")}, hubs, p)
+    near = settle(both.select("a", "b", "n", "m", "va", "vb").mapInArrow(_bounded(p), "a long, b long"))
     wanted = near.select(F.col("a").alias("doc_id")).union(near.select(F.col("b").alias("doc_id"))).distinct()
     rows = settle(texts.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_set_rows(p), "id long, shingles binary"))
-    x = rows.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    y = rows.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    return near.join(x, "a").join(y, "b").select("a", "b", "sa", "sb").mapInArrow(_verified(p), "a long, b long")
+    both = _with_both(near, rows, {"shingles": ("sa", "sb")}, hubs, p)
+    return both.select("a", "b", "sa", "sb").mapInArrow(_verified(p), "a long, b long")
 
 
 # ---------------------------------------------------------------- the operator
@@ -335,8 +381,8 @@ def jaccard_groups(docs: DataFrame, params: JaccardParams = JaccardParams()) ->
     return _grouped(docs.select("doc_id", "text"), params)[0]
 
 
-def _grouped(docs: DataFrame, p: JaccardParams) -> tuple[DataFrame, DataFrame]:
-    """The groups, and the rows of one document for each distinct text that is not empty, bucketed by id."""
+def _grouped(docs: DataFrame, p: JaccardParams) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """The groups, the rows of one document for each distinct text that is not empty, bucketed by id, and rows with further texts of an id."""
     spark = docs.sparkSession
     # Equal texts first: one row for each, by a 96-bit digest and the length, nothing but digests is shuffled.
     digest = [F.xxhash64("text").alias("h"), F.crc32(F.col("text").cast("binary")).alias("c"), F.octet_length("text").alias("l")]
@@ -349,8 +395,15 @@ def _grouped(docs: DataFrame, p: JaccardParams) -> tuple[DataFrame, DataFrame]:
     ours = (F.xxhash64(text), F.crc32(text.cast("binary")), F.octet_length(text))
     same_text = (ours[0].bitwiseXOR(F.col("y.h")) == 0) & (ours[1] - F.col("y.c") == 0) & (ours[2] - F.col("y.l") == 0)
     rows = docs.alias("x").join(leads.alias("y"), (F.col("x.doc_id") == F.col("y.doc_id")) & same_text, "left_semi")
+    others = None
     if not ids.where("rows > 1").isEmpty():
         rows = rows.dropDuplicates(["doc_id"])
+        # Further texts of an id, if there are any: only ids that repeat move.
+        several = ids.where("rows > 1 and doc_id is not null").select("doc_id", "h", "c", "l")
+        chosen = (ours[0] == F.col("y.h")) & (ours[1] == F.col("y.c")) & (ours[2] == F.col("y.l"))
+        mine = docs.alias("x").join(several.alias("y"), F.col("x.doc_id") == F.col("y.doc_id")).where(~F.coalesce(chosen, F.lit(False)))
+        mine = mine.select(*[F.col(f"x.`{c}`") for c in docs.columns])
+        others = settle(mine.withColumn("_again", F.xxhash64("text")).dropDuplicates(["doc_id", "_again"]).select(docs.columns))
     rows = settle_by(rows, "doc_id")
     texts = rows.select("doc_id", "text")
     found = settle(texts.mapInArrow(_digests(p), "kind int, id long, n long, vector binary"))
@@ -360,13 +413,18 @@ def _grouped(docs: DataFrame, p: JaccardParams) -> tuple[DataFrame, DataFrame]:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sets = settle_by(found.where("kind = 0").select("id", "n", "vector").repartition(parts, "id"), "id")
     keyed = (
-        texts.mapInArrow(_prefix_keys(p, table), "id long, n int, keys array<long>")
-        .select(F.explode("keys").alias("key"), "id", "n")
-        .repartition("key")
-        .sortWithinPartitions("key", "id")
+        texts.mapInArrow(_prefix_keys(p, table), "id long, n int, keys array<struct<key:long,salt:int>>")
+        .select(F.explode("keys").alias("k"), "id", "n").select("k.key", "k.salt", "id", "n")
+        .repartition("key", "salt")
+        .sortWithinPartitions("key", "salt", "id")
     )
     met = settle(keyed.mapInArrow(_meet(p), "kind int, a long, b long, n int"))
-    pairs = met.where("kind = 0").select("a", "b").distinct()
+    pairs = met.where("kind = 0").select("a", "b")
+    ahead = met.where("kind = 2").select(F.col("a").alias("key"), F.lit(0).alias("salt"), F.col("b").alias("id"), "n")
+    if not ahead.isEmpty():
+        ahead = ahead.repartition("key").sortWithinPartitions("key", "id")
+        pairs = pairs.unionByName(ahead.mapInArrow(_meet(p, again=True), "kind int, a long, b long, n int").select("a", "b"))
+    pairs = pairs.distinct()
     links = settle(_links(pairs, sets, texts, p))
     many = met.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("id"), "n")
     links = links.unionByName(_late_links(many, links, sets, texts, p))
@@ -382,7 +440,7 @@ def _grouped(docs: DataFrame, p: JaccardParams) -> tuple[DataFrame, DataFrame]:
     groups = ids.join(per_text, match, "left").select(
         "doc_id", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
-    return groups, rows
+    return groups, rows, others
 
 
 def _late_links(many: DataFrame, links: DataFrame, sets: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame:
@@ -442,12 +500,15 @@ def one_of_each(docs: DataFrame, params: JaccardParams = JaccardParams()) -> Dat
     """The documents that are the smallest id of their group, all columns as they were; rows with a null id stay.
 
     Rows without words belong to no group and stay as they are. All others are taken from the bucketed rows that the
-    groups were found on, so texts are not moved again; of several rows of one id one is kept.
+    groups were found on, so texts are not moved again. Of rows that repeat an id and its text one is kept; where an id
+    has several texts, the groups are those of the one with the lowest digest and the other texts stay, once each.
     """
-    groups, rows = _grouped(docs, params)
+    groups, rows, others = _grouped(docs, params)
     drop = groups.where("doc_id <> component_id").select("doc_id")
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     kept = rows.where(worded).join(drop, "doc_id", "left_anti").select(docs.columns)
+    if others is not None:
+        kept = kept.unionByName(others.where(worded).select(docs.columns))
     return kept.unionByName(docs.where(~worded | F.col("doc_id").isNull()))
 
 

@@ -47,7 +47,7 @@ def features(block: bw.Block, bits: int) -> tuple[np.ndarray, np.ndarray]:
     if not n:
         return np.zeros(0, np.int64), np.zeros(len(block.at), np.int64)
     low = bw.LOWER[block.data]
-    hashes = bw.span_hash(bw.prefix_hash(low), starts, ends)
+    hashes = bw.hash_spans(low, starts, ends)
     capital = np.zeros(len(low) + 1, np.int64)
     np.cumsum(low != block.data, out=capital[1:])
     caps = (capital[ends] - capital[starts] == ends - starts) & (ends - starts > 1)

@@ -28,15 +28,17 @@ FEATURES = {
     "log_words": 0, "mean_word": 0, "symbol_share": -1, "dup_line_share": -1, "repeat_share": -1, "capital_share": -1,
     "digit_share": 0, "punct_share": 0, "bang_share": -1, "pipe_share": -1, "line_words": 0,
 }
-_SYMBOL = np.zeros(256, np.int64)
-_SYMBOL[[ord(c) for c in "#*$%&|<>"]] = 1
-_LEAD = np.ones(256, np.int64)
-_LEAD[128:192] = 0  # continuation bytes of UTF-8
+_SYMBOL = np.zeros(256, bool)
+_SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
+_LEAD = bw.SPACES.astype(bool)  # first bytes of characters that are no space
+_LEAD[128:192] = False  # continuation bytes of UTF-8
 _KINDS = {"capital": range(65, 91), "digit": range(48, 58), "letter": [*range(65, 91), *range(97, 123)], "bang": [33], "pipe": [124], "punct": [33, 34, 39, 40, 41, 44, 46, 58, 59, 63]}
 WINDOW = 8
 
 
 def _sums(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
+    if len(at) == 2:  # one text, maybe a very long one
+        return np.array([np.count_nonzero(flags)])
     total = np.zeros(len(flags) + 1, np.int64)
     np.cumsum(flags, out=total[1:])
     return total[at[1:]] - total[at[:-1]]
@@ -55,13 +57,8 @@ def statistics(block: bw.Block) -> tuple[np.ndarray, np.ndarray]:
     starts, ends, first = bw.words(block, bw.SPACES)
     n_words = np.diff(first)
     data = block.data
-    chars = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(_LEAD[data], out=chars[1:])
-    word_chars = np.zeros(len(starts) + 1, np.int64)
-    np.cumsum(chars[ends] - chars[starts], out=word_chars[1:])
-    word_chars = word_chars[first[1:]] - word_chars[first[:-1]]
-    prefix = bw.prefix_hash(data)
-    hashes = bw.span_hash(prefix, starts, ends) if len(starts) else np.zeros(0, np.uint64)
+    word_chars = _sums(_LEAD[data], block.at)
+    hashes = bw.hash_spans(data, starts, ends)
     owner = np.repeat(np.arange(n), n_words)
     windows = bw.window_hash(hashes, WINDOW)
     at = bw.ranges(first[:-1], first[1:] - WINDOW + 1)
@@ -82,7 +79,7 @@ def statistics(block: bw.Block) -> tuple[np.ndarray, np.ndarray]:
     line_start[1:] = ends_of[:-1] + ~at_end[:-1]
     line_text = np.repeat(np.arange(n), counts)
     worded = np.searchsorted(starts, ends_of, "left") > np.searchsorted(starts, line_start, "left")
-    lines = bw.span_hash(prefix, line_start[worded], ends_of[worded]) if worded.any() else np.zeros(0, np.uint64)
+    lines = bw.hash_spans(data, line_start[worded], ends_of[worded])
     text_of = line_text[worded]
     code = bw.mix(lines + text_of.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
     _, first_seen = np.unique(code, return_index=True)
@@ -93,8 +90,8 @@ def statistics(block: bw.Block) -> tuple[np.ndarray, np.ndarray]:
     base = np.stack([n_words, word_chars, n_symbols, n_dup, n_repeat], 1)
     kinds = {}
     for name, codes in _KINDS.items():
-        flag = np.zeros(256, np.int64)
-        flag[list(codes)] = 1
+        flag = np.zeros(256, bool)
+        flag[list(codes)] = True
         kinds[name] = _sums(flag[data], block.at)
     size, w, lines_n = np.maximum(word_chars, 1), np.maximum(n_words, 1), np.maximum(n_lines, 1)
     features = np.stack([

@@ -65,6 +65,51 @@ def test_jaccard_groups(spark, docs_of, few, block):
     assert len(rows) == len(texts)
 
 
+def test_jaccard_of_salted_keys_and_hubs(spark, docs_of):
+    rng = random.Random(77)
+    words = [f"w{i}" for i in range(400)]
+    texts = family(rng, words, 700, 3) + family(rng, words, 300, 7) + [" ".join(rng.choice(words) for _ in range(50)) for _ in range(40)]
+    docs = docs_of(texts)
+    for params in (jaccard.JaccardParams(piece=16, hub=9), jaccard.JaccardParams(piece=4, few=3, block=50, hub=2)):
+        rows = jaccard.jaccard_groups(docs, params).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == brute(texts)
+
+
+def test_one_of_each_keeps_every_text_of_a_repeated_id(spark, docs_of):
+    docs = docs_of(["one two three four five six", "alone is this text here today", "one two three four five six"])
+    more = docs.where("doc_id = 0").selectExpr("doc_id", "'another text under the same id' AS text", "lang", "source", "n_chars")
+    docs = docs.union(more).union(more).selectExpr("*", "1 AS h", "2 AS id", "3 AS _again")
+    kept = sorted((r["doc_id"], r["text"]) for r in jaccard.one_of_each(docs).collect())
+    every = {"one two three four five six", "alone is this text here today", "another text under the same id"}
+    assert {t for _, t in kept} == every and len([t for _, t in kept if t.startswith("another")]) == 1
+
+
+def test_long_texts_hash_as_short_ones(monkeypatch):
+    import pyarrow as pa
+
+    from kotonoha.llm import bytewords as bw
+    from kotonoha.llm import quality_model, quality_rules, toxicity
+
+    rng = random.Random(6)
+    texts = [" ".join("x" * rng.randint(1, 9) + str(rng.randint(0, 99)) + rng.choice(["", "\n", "!"]) for _ in range(rng.randint(0, 60))) for _ in range(40)] + ["y" * 700, "z" * 300 + " a", "", None]
+    model = toxicity.ToxicityModel(toxicity.ToxicityParams(bits=10), np.random.default_rng(1).normal(size=1 << 10).astype(np.float32))
+
+    def all_of(limit):
+        out = []
+        for block in bw.blocks(pa.array(texts, pa.large_string()), limit):
+            found, at = bw.shingles(block)
+            out += [found[at[i] : at[i + 1]].tolist() for i in range(len(at) - 1)]
+        own = [quality_rules.statistics(b) for b in bw.blocks(pa.array(texts, pa.large_string()), limit)]
+        slots = [quality_model.features(b, 12) for b in bw.blocks(pa.array(texts, pa.large_string()), limit)]
+        bags = [s[at[i] : at[i + 1]].tolist() for s, at in slots for i in range(len(at) - 1)]
+        return out, np.concatenate([x for x, _ in own]).tolist(), np.concatenate([y for _, y in own]).tolist(), bags, model.score(pa.array(texts, pa.large_string()))
+
+    whole = all_of(1 << 20)
+    monkeypatch.setattr(bw, "PIECE", 64)
+    parts = all_of(1)
+    assert whole[:4] == parts[:4] and np.allclose(whole[4], parts[4], atol=1e-6)
+
+
 def test_jaccard_on_documents_repeats_and_nothing(spark, documents):
     texts = {r["doc_id"]: r["text"] for r in documents.collect()}
     want = brute([texts[i] for i in sorted(texts)])
@@ -97,6 +142,23 @@ def test_components_of_chains_and_stars(spark):
     assert got == roots(ids, edges)
 
 
+def test_components_by_star_rounds(spark):
+    rng = random.Random(3)
+    edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 80)] + [(rng.randrange(5000, 5200), rng.randrange(5000, 5200)) for _ in range(150)] + [(7000, 7000)]
+    rng.shuffle(edges)
+    df = spark.createDataFrame(edges, "a long, b long").repartition(9)
+    got = {r["id"]: r["component"] for r in components(df, few=0).collect()}
+    assert got == roots({x for e in edges for x in e}, edges)
+
+
+def test_components_of_more_edges_than_one_task_takes(spark):
+    # Pairs (2i, 2i + 1) and, in other tasks, (2i + 1, 2i + 2) within runs of six nodes: every node has two centres.
+    n = 300_000
+    df = spark.range(n).selectExpr("id AS a", "CASE WHEN id % 6 = 5 THEN id ELSE id + 1 END AS b").repartition(8, "a")
+    out = components(df)
+    assert out.where("component <> id - id % 6").isEmpty() and out.count() == n
+
+
 def test_embedding_groups_against_brute_force(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     rows = [(r["vec_id"], r["embedding"]) for r in table.collect()]
@@ -148,6 +210,28 @@ def test_embedding_groups_of_every_length(spark):
                 links.append((a, b))
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     want = roots(true, links)
-    for params in (embedding_graph.GraphParams(), embedding_graph.GraphParams(part=20)):
+    for params in (embedding_graph.GraphParams(), embedding_graph.GraphParams(part=20), embedding_graph.GraphParams(part=20, tries=0)):
         got = {r["vec_id"]: r for r in embedding_graph.embedding_groups(df, params).collect()}
         assert {i: r["component_id"] for i, r in got.items()} == want and {i: r["n_links"] for i, r in got.items()} == true
+
+
+def test_embedding_cells_levels_parts_and_the_exact_way(spark):
+    rng = np.random.default_rng(12)
+    heads = rng.normal(size=(60, 24))
+    x = np.concatenate([heads[rng.integers(0, 60, 900)] + rng.normal(0, 0.12, (900, 24)), heads[0] + rng.normal(0, 0.03, (300, 24))]).astype(np.float32).astype(np.float64)
+    unit = x / np.sqrt((x * x).sum(1, keepdims=True))
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    ids = list(range(len(x)))
+    component = roots(ids, [(int(a), int(b)) for a, b in zip(*np.nonzero(near), strict=True)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    for params in (
+        embedding_graph.GraphParams(leaf=40, part=60), embedding_graph.GraphParams(leaf=10, fan=4, part=50, levels=3), embedding_graph.GraphParams(leaf=40, part=60, tries=0),
+        embedding_graph.GraphParams(leaf=20, overlap=1, beam=1, starts=1, degree=1, pool=2, slack=0.0, tries=1),
+    ):
+        got = {r["vec_id"]: r for r in embedding_graph.embedding_groups(df, params).collect()}
+        links = np.array([got[i]["n_links"] for i in ids])
+        assert (links <= near.sum(1)).all() and links.sum() >= 0.97 * near.sum()
+        assert np.mean([got[i]["component_id"] == component[i] for i in ids]) >= 0.97
+        if not params.tries:
+            assert (links == near.sum(1)).all() and all(got[i]["component_id"] == component[i] for i in ids)
