@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,10 +12,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which all machines share; a temporary one where none is set (tests)."""
+    """The folder of ``spark.checkpoint.dir``, which all machines share. Only a local master does without: a temporary one."""
     place = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if place is None and context._jsc.sc().getCheckpointDir().isEmpty():
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         place = tempfile.mkdtemp(prefix="kotonoha-")
         context.setCheckpointDir(place)
     elif place is None:
@@ -24,10 +27,22 @@ def shared_dir(spark: SparkSession) -> str:
     return place
 
 
+def job_dir(spark: SparkSession) -> str:
+    """This application's folder in the shared one."""
+    return f"{shared_dir(spark)}/kotonoha-{spark.sparkContext.applicationId}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Deletes all intermediate tables of this application. Results that were not written elsewhere can no longer be read."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(job_dir(spark))
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Writes the rows to the shared folder, compressed, and reads them back: lineage is cut, lost executors cost nothing."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/kotonoha-{uuid.uuid4().hex}"
+    path = f"{job_dir(spark)}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -41,7 +56,7 @@ def settle_by(df: DataFrame, key: str) -> DataFrame:
     name = f"kotonoha_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
-        df.write.option("compression", "zstd").option("path", f"{shared_dir(spark)}/{name}")
+        df.write.option("compression", "zstd").option("path", f"{job_dir(spark)}/{name}")
         .bucketBy(parts, key).format("parquet").saveAsTable(name)
     )
     table = spark.table(name)

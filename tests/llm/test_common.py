@@ -1,5 +1,7 @@
 """Shared helpers: places in a total order, settled tables, byte kernels."""
 
+import pytest
+
 import re
 
 import numpy as np
@@ -51,3 +53,17 @@ def test_shingles_against_sets():
         ws = t.lower().split()
         want = {tuple(ws[k : k + 5]) for k in range(len(ws) - 4)} if len(ws) >= 5 else ({tuple(ws)} if ws else set())
         assert at[i + 1] - at[i] == len(want)
+
+
+def test_a_cluster_needs_a_shared_folder_and_jobs_clean_up(spark):
+    from types import SimpleNamespace
+
+    none = SimpleNamespace(isEmpty=lambda: True)
+    context = SimpleNamespace(master="spark://host:7077", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: none)))
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        common.shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context))
+    table = common.settle(spark.range(5))
+    assert table.count() == 5
+    common.clean_up(spark)
+    with pytest.raises(Exception):
+        table.count()

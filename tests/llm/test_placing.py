@@ -97,6 +97,28 @@ def test_shards(spark, docs_of):
     assert len(few) == 6 and max(Counter(r["shard"] for r in few).values()) == 1
 
 
+def test_shards_of_edges(spark, docs_of):
+    rng = random.Random(5)
+    texts = [f"text {i}" for i in range(600)] + ["same"] * 40 + [None]
+    clusters = [list(range(k, 600, 60)) for k in range(60)]
+    pairs = [(rng.choice(c), rng.choice(c)) for c in clusters for _ in range(25)] + [(rng.randrange(600), rng.randrange(600)) for _ in range(60)] + [(5, 5), (600, 3), (9999, 1), (None, 2)]
+    docs, edges = docs_of(texts), spark.createDataFrame(pairs, "a long, b long")
+    counted = {}
+    for name, some in (("without", None), ("with", edges)):
+        placed = sharding.balanced_shards(docs, 8, edges=some)
+        rows = placed.collect()
+        counts = Counter(r["shard"] for r in rows)
+        assert len(rows) == len(texts) and max(counts.values()) - min(counts.values()) <= 1
+        slots = defaultdict(set)
+        for r in rows:
+            slots[r["shard"]].add(r["slot"])
+        assert all(s == set(range(counts[k])) for k, s in slots.items())
+        counted[name] = sharding.cut_edges(placed, edges).first()
+    assert counted["with"]["n_edges"] == counted["without"]["n_edges"] == len(pairs) - 2
+    assert counted["with"]["n_cut"] < 0.6 * counted["without"]["n_cut"]
+    assert sharding.balanced_shards(docs, 8, edges=edges.limit(0)).count() == len(texts)
+
+
 def pour(budget, nodes):
     """Water-filling by repetition: nodes is {key: (weight, capacity)}."""
     left, out = dict(nodes), {}
