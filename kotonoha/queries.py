@@ -292,7 +292,20 @@ def lexicon_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.readings(lexicon_pages(spark, sf_dir))
 
 
-@query()
+@query(_made_pages() + f"""
+, e AS (
+  SELECT *, trim(regexp_replace(split_part(replace(regexp_extract(
+      replace(replace(replace(replace(replace(replace(cleaned, 'Republic of ', ' '), 'Kingdom of ', ' '), 'State of ', ' '), 'The ', ' '), ' Corporation', ' '), ' Corp', ' '),
+      '^[^、；;,，\\[\\]&(（]*', 0), chr(39), ''), '|', 1), '[^A-Za-z 　\t-]', '', 'g'), ' 　') AS english,
+    CASE left(kata, 1) WHEN 'ア' THEN 'auio' WHEN 'イ' THEN 'iey' WHEN 'ウ' THEN 'uwov' WHEN 'エ' THEN 'amxefshl' WHEN 'オ' THEN 'oa' WHEN 'カ' THEN 'kc' WHEN 'キ' THEN 'kcx' WHEN 'ク' THEN 'kcxq'
+      WHEN 'ケ' THEN 'kcxq' WHEN 'コ' THEN 'kc' WHEN 'サ' THEN 'sct' WHEN 'シ' THEN 'stc' WHEN 'ス' THEN 'st' WHEN 'セ' THEN 'sc' WHEN 'ソ' THEN 's' WHEN 'チ' THEN 'tc' WHEN 'ナ' THEN 'nk'
+      WHEN 'フ' THEN 'fpv' WHEN 'ヤ' THEN 'yj' WHEN '・' THEN '' ELSE CASE WHEN left(kata, 1) IN ('タ', 'ツ', 'テ', 'ト') THEN 't' WHEN left(kata, 1) IN ('ニ', 'ヌ', 'ネ', 'ノ') THEN 'n'
+      WHEN left(kata, 1) IN ('ハ', 'ヒ', 'ヘ', 'ホ') THEN 'h' ELSE 'm' END END AS letters FROM t
+)
+SELECT sound AS reading, CASE WHEN latin THEN title ELSE english END AS english FROM e
+WHERE NOT redirects AND title <> '' AND sound <> '' AND CASE WHEN latin THEN regexp_matches(title, '^[A-Za-z 　\t_.]*$') AND length(title) > 2 AND contains(letters, lower(left(title, 1)))
+  ELSE page_id % 5 IN (0, 2) AND length(english) > 2 AND contains(cleaned, english) AND (letters = '' OR contains(letters, lower(left(english, 1)))) END
+""")
 def lexicon_english(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.english_words(lexicon_pages(spark, sf_dir))
 
