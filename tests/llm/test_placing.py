@@ -53,6 +53,18 @@ def test_packing_round_trip(spark, docs_of, documents):
     assert packing.packed_documents(docs.union(docs), *queries.tokenizer_files()).count() == 2 * len(rows)
 
 
+def test_both_tokenizers_agree_on_plain_texts():
+    slow, fast = packing._encoders(*queries.tokenizer_files())
+    rng = random.Random(1)
+    plain = [c for c in map(chr, [9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x250), *range(0x2010, 0x2028)]) if packing.PLAIN.fullmatch(c)]
+    bits = ["<|endoftext|>", "<", "|", ">", " ", "  ", "\n", "\r\n", "\t", "a", "'s", "'S", "'ll", "1", "12345", "é", "\u00ad", "…", "—", "’s"]
+    made = [lambda: "".join(rng.choices(plain, k=rng.randint(0, 60))), lambda: "".join(rng.choices(bits, k=rng.randint(0, 40))), lambda: rng.choice(plain) * rng.randint(1, 3000)]
+    for _ in range(1500):
+        text = rng.choice(made)()
+        if packing.PLAIN.fullmatch(text):
+            assert fast.encode(text, allowed_special="all") == slow.encode(text, add_special_tokens=False).ids, text[:80]
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plan_places_every_item(seed):
     rng = random.Random(seed)
