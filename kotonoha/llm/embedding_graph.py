@@ -404,12 +404,12 @@ def dealt_to_cells(vectors: DataFrame, p: GraphParams) -> DataFrame:
     dealt = vectors.select("id", "copies", "v").mapInArrow(_nearest(_fit(vectors, n, p), p.overlap), schema)
     if n <= p.fan * p.leaf:
         return dealt
+    dealt = settle(dealt)
     for _ in range(p.levels - 1):
-        dealt = settle(dealt)
         split = _split(dealt, p)
         if split is None:
             break
-        dealt = vectors.join(split, "id")
+        dealt = settle(vectors.join(split, "id"))
     return dealt
 
 
