@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -39,6 +40,12 @@ def clean_up(spark: SparkSession) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Collects garbage on the driver: Spark's cleaner then drops the shuffles and broadcasts of what is settled by now."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Writes the rows to the shared folder, compressed, and reads them back: lineage is cut, lost executors cost nothing."""
     spark = df.sparkSession

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .common import arrays, settle, settle_by
+from .common import arrays, settle, settle_by, tidy
 from .components import components, forest
 
 
@@ -426,8 +426,10 @@ def _grouped(docs: DataFrame, p: JaccardParams) -> tuple[DataFrame, DataFrame, D
         pairs = pairs.unionByName(ahead.mapInArrow(_meet(p, again=True), "kind int, a long, b long, n int").select("a", "b"))
     pairs = pairs.distinct()
     links = settle(_links(pairs, sets, texts, p))
+    tidy(spark)
     many = met.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("id"), "n")
     links = links.unionByName(_late_links(many, links, sets, texts, p))
+    tidy(spark)
     # Back to all documents.
     groups = components(links)
     sizes = sets.select(F.col("id").alias("lead"), F.col("n").alias("n_shingles"))
