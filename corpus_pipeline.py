@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kotonoha.llm import jaccard, mixing, packing, pii, quality_model
-from kotonoha.llm.common import settle, table
+from kotonoha.llm.common import settle, table, tidy
 from kotonoha.llm.queries import tokenizer_files
 
 
@@ -68,4 +68,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
             docs = settle(docs)
+            tidy(spark)
     return docs
