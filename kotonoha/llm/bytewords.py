@@ -28,6 +28,8 @@ LOWER[65:91] += 32
 ALNUM = np.full(256, 2, np.uint8)
 ALNUM[[0x20, *range(0x09, 0x0E)]] = 0
 ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+# Letters, digits and whatever is beyond ASCII.
+TERMS = (ALNUM == 1).astype(np.uint8)
 
 
 @dataclass
