@@ -1,6 +1,7 @@
 """The pipeline's stages, each held against a brute-force version on what it was given."""
 
 import importlib
+import os
 import subprocess
 import sys
 from pathlib import Path
@@ -89,7 +90,7 @@ def test_the_rest_works_without_this_subpackage(tmp_path, with_pipeline):
         subprocess.run(["cp", "-r", str(REPO / name), str(tmp_path / name)], check=True)
     subprocess.run(["rm", "-r", str(tmp_path / "kotonoha" / "llm"), str(tmp_path / "tests" / "llm")], check=True)
     code = "import __spark_entry__ as e; q = e.queries(); assert q and 'pipeline' not in q and not any(n.startswith('op') for n in q); assert set(e.oracle_sql()) <= set(q)"
-    env = {"PYTHONPATH": str(tmp_path), "PATH": "/usr/bin:/bin"}
+    env = os.environ | {"PYTHONPATH": os.pathsep.join([str(tmp_path), *[p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p and Path(p).resolve() != REPO]])}
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=env)
     # All that remains is collected, so nothing there needs the subpackage, and what needs no Spark runs.
     run = subprocess.run([sys.executable, "-m", "pytest", "-q", "--collect-only", "tests"], cwd=tmp_path, env=env, capture_output=True, text=True)
