@@ -1,9 +1,11 @@
 """URL filter: pattern rules found by their rarest token, so that a URL meets only the few expressions that may fit.
 
 Rules are regular expressions. A rule's tokens are derived from the parsed expression: literal runs of letters and digits
-that every match holds, with something else, or an end of the text, on both sides. Each rule is indexed by the one of its tokens that the fewest URLs hold, as counted over all URLs. A URL's distinct tokens
-fetch candidate rules by an equi-join, and only candidates run their expressions. A rule that demands no whole token has
-no place in the index and runs on every URL. Everything is DataFrame functions.
+that every match holds, with something else, or an end of the text, on both sides; where that is certain of one side only,
+the run is the end or the beginning of a token. Each rule is indexed by the one of its tokens that the fewest URLs hold, as
+counted over all URLs. A URL's distinct tokens, and their ends and beginnings in the lengths that rules ask for, fetch
+candidate rules by an equi-join, and only candidates run their expressions. A rule that demands nothing of the kind has no
+place in the index and runs on every URL; of the query's rules none does. Everything is DataFrame functions.
 
 Base rules (host, path) hold on a host and its subdomains for paths that start with theirs; of those that fit the longest
 decides. Without one the pattern rules decide: blocked if any blocking pattern fits, else allowed.
@@ -22,7 +24,7 @@ from dataclasses import dataclass
 from re import _constants as op
 from re import _parser as parser
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_RULES = 50_000
@@ -34,7 +36,7 @@ _PLAIN = frozenset(map(ord, _UPPER + _LOWER + "0123456789"))
 
 @dataclass(frozen=True)
 class Rule:
-    """``regex`` runs on ``host path`` (host lower-cased, a space between)."""
+    """``regex`` runs on ``host#path#`` (host lower-cased); neither part can hold the mark."""
 
     name: str
     regex: str
@@ -43,7 +45,8 @@ class Rule:
 
     @property
     def tokens(self) -> tuple[str, ...]:
-        return whole_tokens(self.regex)
+        """Keys of the index: ``whole`` tokens, ``*ends`` and ``beginnings*`` of tokens."""
+        return keys_of(self.regex)
 
 
 def _in_set(items) -> bool:
@@ -81,23 +84,30 @@ def _spliced(items: list, by: list, last: bool, beyond: bool) -> bool:
     return _edge([*rest, *by] if last else [*by, *rest], last, beyond)
 
 
-def whole_tokens(regex: str) -> tuple[str, ...]:
-    """Tokens that whatever the expression matches holds whole, lower-cased; none if that is not certain."""
+def keys_of(regex: str) -> tuple[str, ...]:
+    """What every match holds, lower-cased: ``token`` as a whole one, ``*token`` as a token's end, ``token*`` as its beginning."""
     items, found, i = list(parser.parse(regex)), [], 0
     while i < len(items):
         j = i
         while j < len(items) and items[j][0] is op.LITERAL and items[j][1] in _PLAIN:
             j += 1
-        if j > i and not _edge(items[:i], True, True) and not _edge(items[j:], False, True):
-            found.append("".join(chr(x) for _, x in items[i:j]).lower())
+        if j > i:
+            before, after = _edge(items[:i], True, True), _edge(items[j:], False, True)
+            if not (before and after):
+                found.append("*" * before + "".join(chr(x) for _, x in items[i:j]).lower() + "*" * after)
         i = max(j, i + 1)
     return tuple(dict.fromkeys(found))
 
 
+def whole_tokens(regex: str) -> tuple[str, ...]:
+    """Tokens that whatever the expression matches holds whole, lower-cased; none if that is not certain."""
+    return tuple(k for k in keys_of(regex) if "*" not in k)
+
+
 def base_rule(verdict: str, text: str) -> Rule:
     """A rule like ``example.org/es/``: host, then path."""
     host, slash, path = text.partition("/")
-    return Rule(text, rf"^(?:[^ ]*\.)?{re.escape(host.translate(str.maketrans(_UPPER, _LOWER)))}\ {re.escape(slash + path)}", verdict, len(text))
+    return Rule(text, rf"^(?:[^#]*\.)?{re.escape(host.translate(str.maketrans(_UPPER, _LOWER)))}#{re.escape(slash + path)}", verdict, len(text))
 
 
 def pattern_rule(name: str, regex: str) -> Rule:
@@ -113,13 +123,17 @@ BASE_RULES = (
     base_rule("block", "com/de/"),
 )
 PATTERN_RULES = (
-    pattern_rule("pills", r"^(?:[^ ]*\.)?cheap-pills\."),
-    pattern_rule("spam-farm", r"^(?:[^ ]*\.)?spam-farm\."),
-    pattern_rule("casino", r"^(?:[^ ]*[.-])?casino[.-]"),
-    # Letters may stand right before "free", and "downloads" may stand for "download": no token is whole.
-    pattern_rule("free-download", r"^[^ ]*free-downloads?[.-]"),
-    pattern_rule("click-tracker", r"^(?:[^ ]*\.)?(?:click|track)\.[^ ]+ /redirect(?:/|$)"),
-    pattern_rule("click-out", r"^(?:[^ ]*\.)?(?:click|track)\.[^ ]+ /out(?:/|$)"),
+    pattern_rule("pills", r"^(?:[^#]*\.)?cheap-pills\."),
+    pattern_rule("spam-farm", r"^(?:[^#]*\.)?spam-farm\."),
+    pattern_rule("casino", r"^(?:[^#]*[.-])?casino[.-]"),
+    # Letters may stand right before "free", and "downloads" may stand for "download": found by the end and the beginning of tokens.
+    pattern_rule("free-download", r"^[^#]*free-downloads?[.-]"),
+    pattern_rule("bets", r"^(?:[^#]*[.-])?bets[.-]"),
+    pattern_rule("betting", r"^(?:[^#]*[.-])?betting[.-]"),
+    pattern_rule("ads", r"^(?:[^#]*[.-])?ads[.-]"),
+    pattern_rule("adult", r"^(?:[^#]*[.-])?adult[.-]"),
+    pattern_rule("click-tracker", r"^(?:[^#]*\.)?(?:click|track)\.[^#]+#/redirect[/#]"),
+    pattern_rule("click-out", r"^(?:[^#]*\.)?(?:click|track)\.[^#]+#/out[/#]"),
 )
 
 
@@ -131,13 +145,24 @@ def host_and_path(url):
     return host, path
 
 
+def _affixes(tokens: Column, n: int, last: bool) -> Column:
+    """Keys of the last or first ``n`` characters of the tokens that have so many."""
+    long_enough = F.filter(tokens, lambda t: F.char_length(t) >= n)
+    return F.transform(long_enough, lambda t: F.concat(F.lit("*"), F.right(t, F.lit(n))) if last else F.concat(F.left(t, F.lit(n)), F.lit("*")))
+
+
 def filtered_urls(pages: DataFrame, base: tuple[Rule, ...] = BASE_RULES, patterns: tuple[Rule, ...] = PATTERN_RULES) -> DataFrame:
     """Rows (page_id, host, path, rule, verdict), one for each row of ``pages``."""
     spark = pages.sparkSession
     host, path = host_and_path(F.col("url"))
     urls = pages.select("page_id", "url").groupBy("page_id", "url").agg(F.count("*").alias("copies")).select("page_id", "url", "copies", host.alias("host"), path.alias("path"))
-    tokens = F.array_distinct(F.regexp_extract_all(F.translate(F.concat_ws(" ", "host", "path"), _UPPER, _LOWER), F.lit(f"({TOKEN})"), F.lit(1)))
     rules = [*base, *patterns]
+    whole = F.regexp_extract_all(F.translate(F.concat("host", F.lit("#"), "path"), _UPPER, _LOWER), F.lit(f"({TOKEN})"), F.lit(1))
+    # Ends and beginnings of tokens in the lengths that some rule demands.
+    ends = sorted({len(t) - 1 for r in rules for t in r.tokens if t[0] == "*"})
+    heads = sorted({len(t) - 1 for r in rules for t in r.tokens if t[-1] == "*"})
+    parts = [_affixes(whole, n, last) for lengths, last in ((ends, True), (heads, False)) for n in lengths]
+    tokens = F.array_distinct(F.concat(whole, *parts))
     wanted = spark.createDataFrame([(i, t) for i, r in enumerate(rules) for t in r.tokens], "rule_id int, token string")
     small = wanted.count() <= BROADCAST_RULES
     hint = F.broadcast if small else (lambda df: df)
@@ -148,14 +173,14 @@ def filtered_urls(pages: DataFrame, base: tuple[Rule, ...] = BASE_RULES, pattern
     index = facts.join(hint(index), "rule_id")
     tried = urls.withColumn("token", F.explode_outer(tokens)).join(hint(index), "token", "left")
     # Base rules before patterns, longest first; among patterns the first by name.
-    place = F.concat_ws(" ", "host", "path")
+    place = F.concat("host", F.lit("#"), "path", F.lit("#"))
     fits = F.rlike(place, F.col("regex"))
     if len(rules) <= INLINE_RULES:
         fits = F.coalesce(*[F.when(F.col("rule_id") == i, place.rlike(r.regex)) for i, r in enumerate(rules)], F.lit(False))
     best = F.max(F.when(fits, F.struct("length", F.col("verdict").alias("v"), F.col("name").alias("r"))))
     judged = tried.groupBy("page_id", "url", "copies", "host", "path").agg(best.alias("best"))
     # Rules without a token are in no index: every URL meets them.
-    loose = [F.when(F.concat_ws(" ", "host", "path").rlike(r.regex), F.struct(F.lit(r.length).alias("length"), F.lit(r.verdict).alias("v"), F.lit(r.name).alias("r"))) for r in rules if not r.tokens]
+    loose = [F.when(place.rlike(r.regex), F.struct(F.lit(r.length).alias("length"), F.lit(r.verdict).alias("v"), F.lit(r.name).alias("r"))) for r in rules if not r.tokens]
     if loose:
         judged = judged.withColumn("best", F.greatest("best", F.array_max(F.array(*loose))))
     return (
@@ -183,9 +208,9 @@ WITH u AS (
 )
 SELECT page_id, host, path, split_part(best, ' ', 1) AS rule,
        CASE WHEN best IS NOT NULL THEN split_part(best, ' ', 2)
-            WHEN regexp_matches(host, '^(.*\.)?cheap-pills\.') OR regexp_matches(host, '^(.*\.)?spam-farm\.')
-              OR regexp_matches(host, '^(.*[.-])?casino[.-]') OR regexp_matches(host, '^.*free-downloads?[.-]')
-              OR (regexp_matches(host, '^(.*\.)?(click|track)\..') AND regexp_matches(path, '^/(redirect|out)(/|$)')) THEN 'block'
+            WHEN regexp_matches(host, '(?s)^(.*\.)?(cheap-pills|spam-farm)\.') OR regexp_matches(host, '(?s)^(.*[.-])?(casino|bets|betting|ads|adult)[.-]')
+              OR regexp_matches(host, 'free-downloads?[.-]')
+              OR (regexp_matches(host, '(?s)^(.*\.)?(click|track)\..') AND regexp_matches(path, '^/(redirect|out)(/|$)')) THEN 'block'
             ELSE 'allow' END AS verdict
 FROM hit
 """
