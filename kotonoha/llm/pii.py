@@ -18,7 +18,8 @@ features with their counts over all documents; features are binned, so the table
 
 Everything over documents is DataFrame functions. A pattern runs once: its matches are put between marks, and running sums
 over the pieces between marks, in blocks, give starts (a text that holds the mark itself is matched and split instead).
-Patterns are written with possessive quantifiers and bounded repeats, so that time stays linear in a text's length. Hiding
+Patterns take whole runs with possessive quantifiers, entered at their beginning only, so that time stays linear in a text's
+length and nothing is hidden in part. Hiding
 spans costs their number times the text's length.
 
 Defined cases: a null text is an empty one and has no spans; repeated rows give repeated results; spans of different
@@ -45,11 +46,11 @@ _CARD = r"[0-9](?:[\x20-]?[0-9])++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _TITLE = r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Mlle|Señora|Señor|Sra|Sr)\.?\x20"
-_CAPITAL = r"[A-ZÀ-Þ][a-zß-ÿ]{1,24}+"
+_CAPITAL = r"[A-ZÀ-Þ][a-zß-ÿ]++"
 _AT = r"(?:\x20?[(\[](?:at|arroba)[)\]]\x20?|\x20(?:at|arroba)\x20)"
 _SPELLED_DOT = r"(?:\x20?[(\[](?:dot|punkt|point|punto)[)\]]\x20?|\x20(?:dot|punkt|point|punto)\x20)"
 _DOT = rf"(?:{_SPELLED_DOT}|\.)"
-_LABEL = r"[A-Za-z0-9_-]{1,40}+"
+_LABEL = r"[A-Za-z0-9_-]++"
 _ASSIGN = r"(?i:password|passwd|passwort|kennwort|contraseña|clave|mot\x20de\x20passe|secret|token|api[_\x20-]?key)[\"']?\x20{0,2}[=:]\x20{0,2}[\"']?"
 _PREFIXED = r"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[opsur]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_.-]{10,}+"
 #: Shapes by the order in which they are tried on a candidate. ``name`` comes from the gazetteer and forms of address.
@@ -80,13 +81,13 @@ def given_names(path: str | None = None) -> tuple[str, ...]:
 def _candidate(names: tuple[str, ...]) -> str:
     """One expression for all candidates; the first alternative that fits at a place counts."""
     iban = r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}+|(?:\x20[A-Z0-9]{4}){3,7}+(?:\x20[A-Z0-9]{1,3}+)?)(?![A-Za-z0-9])"
-    assigned = _ASSIGN + r"[^\s\"'<>,;]{6,128}+"
+    assigned = _ASSIGN + r"[^\s\"'<>,;]{6,}+"
     person = rf"{_TITLE}{_CAPITAL}(?:\x20{_CAPITAL})?" + (rf"|(?:{'|'.join(names)})\x20{_CAPITAL}" if names else "")
-    # Either the at-sign stands in brackets or the dots are words.
-    local = rf"{_LABEL}(?:{_DOT}{_LABEL}){{0,3}}"
+    # Either the at-sign stands in brackets or the dots are words. A label is entered at its beginning only.
+    local = rf"(?<![A-Za-z0-9_-]){_LABEL}(?:{_DOT}{_LABEL}){{0,3}}"
     spelled = rf"{local}\x20?[(\[](?:at|arroba)[)\]]\x20?{_LABEL}(?:{_DOT}{_LABEL}){{1,4}}|{local}\x20(?:at|arroba)\x20{_LABEL}(?:{_SPELLED_DOT}{_LABEL}){{1,4}}"
-    handle = r"(?<![._%+-])@[A-Za-z0-9_]{2,30}+(?![A-Za-z0-9_@.-])"
-    return r"(?<![A-Za-z0-9])(?:" + "|".join([iban, assigned, _PREFIXED, r"[A-Fa-f0-9]{24,}+", *_NUMBERS, r"[A-Za-z0-9_-]{32,}+", spelled, handle, person]) + ")"
+    handle = r"(?<![._%+-])@[A-Za-z0-9_]{2,}+(?![A-Za-z0-9_@.-])"
+    return r"(?<![A-Za-z0-9])(?:" + "|".join([iban, assigned, spelled, _PREFIXED, r"[A-Fa-f0-9]{24,}+", *_NUMBERS, r"[A-Za-z0-9_-]{32,}+", handle, person]) + ")"
 
 
 BEFORE, AFTER = 24, 16  # characters of context
@@ -218,14 +219,16 @@ def _candidates(text: Column, names: tuple[str, ...]) -> Column:
         s, before, shape, n, variety = x["s"], x["before"], x["shape"], x["n"], x["variety"]
         hexadecimal = s.rlike("^[A-Fa-f0-9]{24,}$")
         mixed = s.rlike("[0-9]") & s.rlike("[A-Za-z]")
+        # A digest of published data: hexadecimal after a word like commit.
+        digest = is_(shape, "secret") & hexadecimal & before.rlike(_CONTEXT_AGAINST)
         regex = vote(
-            (is_(shape, "secret") & ((hexadecimal & mixed & n.isin(32, 40, 48, 56, 64, 96, 128)) | s.rlike(f"^(?:{_PREFIXED})$")))
+            (is_(shape, "secret") & ~digest & ((hexadecimal & mixed & n.isin(32, 40, 48, 56, 64, 96, 128)) | s.rlike(f"^(?:{_PREFIXED})$")))
             | is_(shape, "phone10", "iban", "spelled") | (is_(shape, "national") & ~s.rlike("^(?:000|666|9)|^...[^0-9]00")) | (is_(shape, "phone") & s.rlike(r"^0[1-9](?:[\x20.-][0-9]{2}){4}$"))
             | (is_(shape, "name") & s.rlike(f"^{_TITLE}")) | (is_(shape, "password") & mixed),
-            (hexadecimal & ~mixed) | (is_(shape, "password") & ~s.rlike("[0-9]")),
+            digest | (hexadecimal & ~mixed) | (is_(shape, "password") & ~s.rlike("[0-9]")),
         )
         check = vote(
-            (is_(shape, "iban") & (_remainder(s) == 1)) | (is_(shape, "secret", "password") & mixed & (variety >= 7)) | (is_(shape, "national") & ~s.rlike("^(?:000|666|9)|^...[^0-9]00"))
+            (is_(shape, "iban") & (_remainder(s) == 1)) | (is_(shape, "secret", "password") & ~digest & mixed & (variety >= 7)) | (is_(shape, "national") & ~s.rlike("^(?:000|666|9)|^...[^0-9]00"))
             | (is_(shape, "phone", "phone10") & x["digits"].between(9, 12) & (variety >= 4)) | (is_(shape, "spelled") & s.rlike(_TLD)) | (is_(shape, "handle") & s.rlike("[A-Za-z]") & s.rlike("[0-9_]")),
             (is_(shape, "iban") & (_remainder(s) != 1)) | (is_(shape, "secret", "password") & ((variety <= 4) | ~mixed)) | (is_(shape, "national") & s.rlike("^(?:000|666|9)|^...[^0-9]00"))
             | (is_(shape, "phone", "phone10") & (variety <= 3)) | (is_(shape, "spelled") & ~s.rlike(_TLD)) | (is_(shape, "handle") & F.lower(s).isin(*_NO_HANDLES)),

@@ -295,6 +295,16 @@ def test_method_spans_are_found_and_hidden(spark, docs_of):
         assert f"<{kind.upper()}>" in after[i] and texts[i][a:b] not in after[i]
 
 
+def test_whole_runs_are_hidden_and_digests_stay(spark, docs_of, documents):
+    long_one, handle, label = "Zq9!" * 50, "@" + "user_1" * 10, "local9" * 12
+    texts = [f"my password = {long_one} end", f"follow {handle} now", f"contact {label} [at] {label} [dot] com is it", "git commit 3f786850e387550fdab836ed7e6dc881de23001b done", "-a" * 60_000]
+    mine = docs_of(texts).selectExpr("-1 - doc_id AS doc_id", "text", "lang", "source", "n_chars")
+    rows = {r["doc_id"]: r["text"] for r in pii.redacted(documents.select(mine.columns).union(mine)).collect()}
+    got = [rows[-1 - i] for i in range(len(texts))]
+    assert long_one[:9] not in got[0] and got[0].endswith("> end") and got[1] == "follow <HANDLE> now" and got[2] == "contact <SPELLED> is it"
+    assert got[3] == texts[3] and got[4] == texts[4]
+
+
 def test_many_matches_are_placed_in_blocks(spark, docs_of):
     texts = ["a@b.c, 1.2.3.4 " * 1700, "\x01 " + "a@b.c, 1.2.3.4 " * 700, "call 212-555-1234 " * 600]
     for r in pii.personal_data(docs_of(texts)).collect():
@@ -329,14 +339,16 @@ def test_url_index_finds_what_all_rules_find(spark, tmp_path):
     import duckdb
 
     hosts = ["getfree-downloads.com", "get1free-download.example.net", "free-download.net", "x.free-downloads-now.org", "freedownload.com", "free-downloadz.com", "mycasino.net", "my-casino.net", "xcheap-pills.com",
-             "a.cheap-pills.com", "track.a.com", "click.b.org", "xtrack.a.com", "getfree-downloads.example.org"]
-    urls = [f"http://{h}{p}" for h in hosts for p in ("", "/", "/es/1", "/redirect/1", "/out", "/outer", "/free/x")] + [None, "none"]
+             "a.cheap-pills.com", "track.a.com", "click.b.org", "xtrack.a.com", "getfree-downloads.example.org",
+             "a b.org", "x\ty.example.org", "a b.com", " org", "new\nline.com", " casino.net", "free-bets.example.com", "m.ads-track.example.com", "blog.adult-x.example.net", "loads.net", "my-betting.de"]
+    urls = [f"http://{h}{p}" for h in hosts for p in ("", "/", "/es/1", "/de/ x", "/redirect/1", "/out", "/outer", "/free/x")] + [None, "none"]
+    assert all(r.tokens for r in (*url_filter.BASE_RULES, *url_filter.PATTERN_RULES))
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.filtered_urls(pages).collect()}
     for i, url in enumerate(urls):
         rest = url.split("://", 1)[1] if url and "://" in url else ""
         host, path = re.match("([^/?#]*)([^?#]*)", rest).groups()
-        fit = [(r.length, r.verdict, r.name) for r in (*url_filter.BASE_RULES, *url_filter.PATTERN_RULES) if re.search(re.sub(r"\\Q(.*?)\\E", lambda m: re.escape(m[1]), r.regex), f"{host} {path}")]
+        fit = [(r.length, r.verdict, r.name) for r in (*url_filter.BASE_RULES, *url_filter.PATTERN_RULES) if re.search(re.sub(r"\\Q(.*?)\\E", lambda m: re.escape(m[1]), r.regex), f"{host}#{path}#")]
         best = max(fit, default=(-1, "allow", None))
         assert got[i] == (best[2] if best[0] >= 0 else None, best[1]), url
     pages.write.parquet(str(tmp_path / "pages"))
@@ -357,6 +369,11 @@ def test_url_tokens_are_derived():
     assert {regex: url_filter.whole_tokens(regex) for regex in want} == want
 
 
+def test_url_keys_at_one_side_only():
+    want = {"^[^#]*free-downloads?[.-]": ("*free", "download*"), "abc[.]": ("*abc",), "/ab.*-x": ("ab*", "x*"), "x+": (), "-ab-c?": ("ab",)}
+    assert {regex: url_filter.keys_of(regex) for regex in want} == want
+
+
 def test_url_rules_beyond_the_inline_number(spark, monkeypatch):
     pages = spark.createDataFrame([(i, f"http://{h}.com{p}") for i, (h, p) in enumerate([("a", "/x/1"), ("my-casino", ""), ("carefree-downloads", "/x"), ("b", "/y"), ("c\u212aasino-x", "/")])], "page_id long, url string")
     inline = sorted(map(tuple, url_filter.filtered_urls(pages).collect()))
