@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.functions import udtf
 
-from ..functions import kana, keyboard, wikitext
+from ..functions import html, kana, keyboard, wikitext
 from ..operators import characters, english, phonemes, readings, synonyms
 from .modes import text_udf
 
@@ -28,6 +28,9 @@ FUNCTIONS = {
     "redirect_target": (synonyms.redirect_target, "array<string>"),
     "disambiguation_targets": (synonyms.disambiguation_targets, "array<string>"),
     "characters_of": (lambda title, inner: [c.as_row() for c in characters.find_characters(title, inner)], f"array<struct<{_CHARACTER.replace(' string', ':string')}>>"),
+    "inner_html": (html.inner_html, "string"),
+    "inner_text": (html.inner_text, "string"),
+    "html_attribute": (html.attribute, "string"),
     "phonemes_to_kana": (phonemes.to_kana, "string"),
 }
 

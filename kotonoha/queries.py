@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import plans
@@ -16,7 +16,7 @@ from .functions import kana as kana_functions
 from .functions import strings as st
 from .functions import wikitext
 from .functions.charclass import only_column
-from .operators import readings, titles
+from .operators import html_nodes, readings, titles
 from .plans.modes import text_udf
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -227,6 +227,41 @@ def section_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "pages").select("page_id", st.between(html, "<article>", "</article>").alias("section"), st.replace_between(html, "<article>", "</article>", "").alias("without"))
 
 
+@query(r"""
+WITH p AS (SELECT page_id, regexp_replace(html, '(?s)<!--.*?-->|<(script|style)>.*?</(script|style)>', '', 'g') AS html FROM pages),
+l AS (SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<li><a href="[^"]*">[^<]*</a></li>') AS items FROM p),
+i AS (SELECT page_id, unnest(range(1, len(items) + 1)) AS place, unnest(items) AS item FROM l)
+SELECT page_id, place::INTEGER AS place, replace(regexp_extract(item, 'href="([^"]*)"', 1), '&amp;', '&') AS href, replace(regexp_extract(item, '">([^<]*)</a>', 1), '&amp;', '&') AS label FROM i
+""")
+def html_selector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of each page's list of links, by a selector over the node table."""
+    found = html_nodes.select(_table(spark, sf_dir, "pages"), "page_id", "nav > ul > li > a[href], nav:not([id]) > ul > li:nth-child(1) a")
+    place = F.row_number().over(Window.partitionBy("page_id").orderBy("node"))
+    return found.select("page_id", place.alias("place"), F.col("attributes")["href"].alias("href"), F.col("inner_text").alias("label"))
+
+
+@query(r"""
+SELECT page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang, regexp_extract(html, '(?s)<article><h1>(.*?)</h1>', 1) AS heading_html,
+  replace(regexp_extract(html, '(?s)<article><h1>(.*?)</h1>', 1), '&amp;', '&') AS heading_text, regexp_extract(html, '(?s)<h1>.*?</h1>', 0) AS heading_outer
+FROM pages
+""")
+def html_inside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attribute, markup and text of elements, each found by its selector."""
+    pages = _table(spark, sf_dir, "pages")
+    lang = html_nodes.matching(html_nodes.node_table(pages, "page_id"), "page_id", "html").select("page_id", F.col("attributes")["lang"].alias("lang"))
+    heading = html_nodes.select(pages, "page_id", "body article > h1:first-child")
+    return heading.join(lang, "page_id").select("page_id", "lang", F.col("inner_html").alias("heading_html"), F.col("inner_text").alias("heading_text"), F.col("outer_html").alias("heading_outer"))
+
+
+@query(r"""
+WITH t AS (SELECT page_id, unnest(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->|<(script|style)>.*?</(script|style)>', '<\1>', 'g'), '<([a-z][a-z0-9]*)', 1)) AS tag FROM pages)
+SELECT page_id, tag, count(*) AS n FROM t GROUP BY page_id, tag
+""")
+def html_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many elements of each name a page has, from the node table."""
+    return html_nodes.node_table(_table(spark, sf_dir, "pages"), "page_id").groupBy("page_id", "tag").agg(F.count("*").alias("n"))
+
+
 # ---------------------------------------------------------------- whole tables of the lexicon, on pages made of the driver's
 
 
