@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from . import plans
 from .functions import kana as kana_functions
+from .functions import encodings
 from .functions import strings as st
 from .functions import wikitext
 from .functions.charclass import only_column
@@ -294,6 +295,19 @@ def lexicon_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select(page.alias("ordinal"), F.inline(F.array(F.struct(title.alias("title"), inner.alias("inner")))))
 
 
+@query("""
+SELECT page_id, CASE page_id % 8 WHEN 0 THEN 'UTF-8' WHEN 1 THEN 'EUC-JP' WHEN 2 THEN 'SJIS' WHEN 3 THEN 'JIS' WHEN 4 THEN 'UTF-16be' WHEN 5 THEN 'UTF-16le' WHEN 6 THEN 'UTF-32be' ELSE 'ASCII' END AS encoding FROM pages
+""")
+def encoding_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's whole text written in kana, in seven encodings, or left as letters, and detected again."""
+    page = F.col("page_id")
+    letters = F.regexp_replace(F.translate(F.lower("html"), _ACCENTED, _PLAIN), "[^\\x00-\\x7F]", "")
+    kana = F.translate(letters, _LETTERS, "アいウえオかキくケこサしスせソたチつテとナにヌねノは")
+    names = F.array(*[F.lit(n) for n in ("UTF-8", "EUC-JP", "SJIS", "JIS", "UTF-16be", "UTF-16le", "UTF-32be", "ascii")])
+    bytes_ = encodings.encoded(F.when(page % 8 == 7, letters).otherwise(kana), F.element_at(names, (page % 8 + 1).cast("int")))
+    return _table(spark, sf_dir, "pages").select("page_id", encodings.detected(bytes_).alias("encoding"))
+
+
 def _made_pages() -> str:
     """SQL of the made pages: title, what is left of it without parentheses, kana, and whether the page redirects."""
     return f"""
