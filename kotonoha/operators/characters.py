@@ -44,9 +44,10 @@ SECTIONS_LEFT_OUT = (
     "スタッフ", "音楽", "スピンオフ短編", "短編", "スピンオフ", "脚注・出典", "脚注", "出典", "ストーリー", "概要", "主なスタッフ", "開発スタッフ",
 )
 PAGES_LEFT_OUT = ("BB戦士三国伝", "少林サッカー")
-DEFINITION_PAGES = ("風来のシレンのキャラクター一覧",)
-# Tokens that are no names: as a whole, by their beginning, by a part, by their end. Editions (``…版``), restrictions
-# (``…のみ``), times of life (``…時代``) and star signs (``…座``) are known by their end alone.
+#: Pages whose layout is known: a pattern of the title and the layout's name; the first that fits counts.
+KNOWN_LAYOUTS = (("^ギャラクシーエンジェルの登場人物$", "later3"), ("^風来のシレンのキャラクター一覧$", "definition"))
+LATER_ACTORS = ("声]]：", "声：", "声優]]：", "声優：", "演：", "声]]:", "声:", "声優]]:", "声優:", "演:")
+# Tokens that are no names: as a whole, by their beginning, by a part.
 NO_NAMES = frozenset((
     "lang", "en", "本名", "なし", "無し", "夫", "妻", "父", "母", "現", "DS", "PSP", "ー", "歌", "PC", "では", "匠", "新", "反", "奪", "黄", "我", "千", "朝", "汚", "白", "蝶", "女", "男",
     "連続", "単発", "アニメ", "テレビ", "以降不定期", "不明", "概要", "概歴", "劇中", "解決編", "幼少期", "幼年期", "少年期", "少女期", "少年時", "少女時", "青年期", "青年時",
@@ -61,8 +62,11 @@ NO_NAMES = frozenset((
     "アニメ第三作", "アニメ第四作", "ディレクターズカット", "外伝", "全作品", "FC", "SFC", "GB", "GB1", "GB2", "GBA", "N64", "Wii", "妖精", "貴族", "職人", "パチンコ", "先生", "主人公",
     "前作主人公", "王子", "謎の男", "黄色", "イメージカラー", "所属クラス", "Aクラス", "趣味", "正式名", "総督", "調査官", "地方検事", "刑事", "地方検事補", "警部補", "名称不明", "通称",
     "上司", "部下", "元彼女", "blackops", "暴力", "IRQ", "KOR", "AUS", "USA", "GBR", "NGB", "TMS",
+    "パイロット版", "映画版", "赤子時代", "幼少時代", "子供時代", "少年時代", "少女時代", "小学時代", "中校時代", "高校時代", "大学時代", "学生時代", "小学生時代", "中学生時代", "高学生時代",
+    "大学生時代", "幼少期のみ", "登場時のみ", "テレビ版", "アニメ版", "牡羊座", "牡牛座", "双子座", "蟹座", "獅子座", "乙女座", "天秤座", "蠍座", "射手座", "山羊座", "水瓶座", "魚座",
+    "コンシューマ版", "オリジナル版", "TV版", "DVD版", "SS版", "ミュージカル版", "BOX版", "イベント版", "声優版", "リマスター版", "原作のみ", "原作版", "PC版", "OVAのみ", "ラブラブおもちゃ箱のみ",
+    "とらハ2OVAのみ", "ドラマCDのみ", "テレビアニメのみ", "※ドラマCDと2のみ", "ドラマCD版", "PSPゲーム版のみ", "SHINY版のみ", "アニメ版のみ", "エピローグのみ", "実写映画版", "パチンコ版", "BeeTV版",
 ))
-NO_NAME_ENDS = ("版", "のみ", "時代", "座")
 NO_NAME_STARTS = (
     "原作では", "原作と", "現・", "過去の", "Ver.", "と同棲", "大尉の", "が好き", "が怒り", "声優さん", "予見されて", "漫画版のみ", "DVD EDITION", "に置き換えられた", "原作第五期",
     "原作第四期", "原作第三期", "原作第ニ期", "登場するが", "テレビアニメ第", "無印", "一部ルートのみ", "NEW VISIONの", "戦闘中のみ", "外伝以外",
@@ -101,7 +105,6 @@ def no_word(word: str, noise: frozenset[str] = frozenset()) -> bool:
     return bool(word) and (
         "#" in word or stops(word) or (len(word) == 1 and not has(word, "kanji")) or word in NO_NAMES or word in noise
         or word.startswith(NO_NAME_STARTS) or any(p in word for p in NO_NAME_PARTS) or _NUMBERED.match(word) is not None
-        or (word.endswith(NO_NAME_ENDS) and word not in ACTOR_MARKS)
     )
 
 
@@ -249,6 +252,25 @@ def headings(lines: list[str], level: int) -> Iterator[Entry]:
             yield line[level:].strip(" 　\n="), notes
 
 
+def later_actors(lines: list[str], level: int) -> Iterator[Entry]:
+    """Headings of a level with a reading below them, then prose in which some later line names the actor.
+
+    A heading waits for its actor's line; the next heading of any level ends the wait, and the one that waited is dropped.
+    Lines are whole lines, blank ones do not count.
+    """
+    heading = re.compile(f"={{{level}}}(?!=)")
+    waiting: Entry | None = None
+    for at, line in enumerate(lines):
+        if line.startswith("="):
+            below = lines[at + 1] if at + 1 < len(lines) else ""
+            reading = below[1:] if below[:1] and below[0] in SPACE else below
+            fits = heading.match(line) and below and not below.startswith((":", "*", ";", "=")) and reading and not re.fullmatch(f"\\[\\[.*\\]\\][{SPACE}]?", reading)
+            waiting = (line[level:].strip(" 　\n="), (reading,)) if fits else None
+        elif waiting and lines[at - 1][:1] != "=" and any(mark in line for mark in LATER_ACTORS):
+            yield waiting[0], (*waiting[1], line)
+            waiting = None
+
+
 def definitions(lines: list[str]) -> Iterator[Entry]:
     """``;name`` with ``:`` lines or a template below."""
     for at, line in enumerate(lines):
@@ -305,18 +327,23 @@ LAYOUTS: tuple[tuple[str, Callable[[list[str]], Iterator[Entry]], bool], ...] =
     ("definition", definitions, False), ("table", rows, False), ("bullet", bullets, False),
     ("followed", lambda lines: followed(lines, ""), False), ("continued", lambda lines: followed(lines, ";:"), False), ("term", terms, False),
 )
+#: Layouts that only pages known to have them are given; headings that name the cast are no characters there.
+ASKED_FOR = tuple((f"later{n}", lambda lines, n=n: _titled(later_actors(lines, n)), True) for n in (2, 3, 4, 5))
 
 
-def parse_cast(title: str, text: str, *, raw_tags: bool = False) -> list[Character]:
+def parse_cast(title: str, text: str, *, raw_tags: bool = False, known: tuple[tuple[str, str], ...] = KNOWN_LAYOUTS) -> list[Character]:
+    """Characters of a cast section, by the layout that fits most entries, or the one that is known for the title."""
     text = w.clean(text, raw_tags=raw_tags).replace("&lt;", " ").replace("&gt;", " ") + "\n"
     text = reduce(w.cut_section, SECTIONS_LEFT_OUT, text)
     if len(text) <= 20 or title in PAGES_LEFT_OUT:
         return []
     lines = text.split("\n")
-    # A heading that only names the cast counts for nothing.
-    scores = {name: sum(1 for _ in (_titled(layout(lines)) if heading else layout(lines))) for name, layout, heading in LAYOUTS}
-    best = "definition" if title in DEFINITION_PAGES else max(scores, key=lambda n: scores[n])
-    layout, heading = next((f, h) for n, f, h in LAYOUTS if n == best)
+    best = next((name for pattern, name in known if re.search(pattern, title)), None)
+    if best is None:
+        # A heading that only names the cast counts for nothing.
+        scores = {name: sum(1 for _ in (_titled(layout(lines)) if heading else layout(lines))) for name, layout, heading in LAYOUTS}
+        best = max(scores, key=lambda n: scores[n])
+    layout, heading = next((f, h) for n, f, h in (*LAYOUTS, *ASKED_FOR) if n == best)
     found = (record(top, notes, heading) for top, notes in layout(lines))
     return [c for c in found if c]
 
@@ -325,14 +352,14 @@ def is_fictional_person(inner: str) -> bool:
     return all(any(x in inner for x in group) for group in PERSON_NEEDS) and not any(x in inner for x in PERSON_FORBIDS)
 
 
-def find_characters(title: str, inner: str, *, raw_tags: bool = False) -> list[Character]:
+def find_characters(title: str, inner: str, *, raw_tags: bool = False, known: tuple[tuple[str, str], ...] = KNOWN_LAYOUTS) -> list[Character]:
     """Characters by the cast section, else by what title or categories say of the page, else of a page on one person."""
     m = re.search("\n== ?(?:" + "|".join(CAST_HEADINGS) + ") ?==", inner)
     if m:
         end = inner.find("\n== ", m.end())
-        return parse_cast(title, inner[m.start() : end if end >= 0 else None], raw_tags=raw_tags)
+        return parse_cast(title, inner[m.start() : end if end >= 0 else None], raw_tags=raw_tags, known=known)
     if any(x in title for x in CAST_TITLES) or any(f"[[Category:{x}]]" in inner for x in CAST_CATEGORIES):
-        return parse_cast(title, inner, raw_tags=raw_tags)
+        return parse_cast(title, inner, raw_tags=raw_tags, known=known)
     if is_fictional_person(inner):
         return [Character(w.plain_reading(find_reading(title, inner, raw_tags=raw_tags)), title)]
     return []

@@ -27,12 +27,16 @@ from ..operators.categories import categories_of
 
 @dataclass(frozen=True)
 class Options:
-    """``case`` kata, kana or none; ``show`` noempty, all or empty; ``disambiguation`` del or keep; ``raw_tags`` for hand-made pages."""
+    """``case`` kata, kana or none; ``show`` noempty, all or empty; ``disambiguation`` del or keep; ``raw_tags`` for hand-made pages.
+
+    ``layouts`` names the layout of cast lists by patterns of titles, before the ones that are known and the one that fits best.
+    """
 
     case: str = "kata"
     show: str = "noempty"
     disambiguation: str = "del"
     raw_tags: bool = False
+    layouts: tuple[tuple[str, str], ...] = ()
 
     def __post_init__(self):
         for name, allowed in (("case", ("kata", "kana", "none")), ("show", ("noempty", "all", "empty")), ("disambiguation", ("del", "keep"))):
@@ -175,7 +179,7 @@ def characters(pages: DataFrame, options: Options = Options()) -> DataFrame:
     body = pages.where(~t.is_noise(title)).where(~t.is_redirect(inner) & ~t.is_disambiguation(inner) & ~t.is_same_name(inner))
     body = _stripped(body.where(chara.may_list_characters(title, inner))).where("stripped <> ''")
     found = text_udf(
-        lambda a, b, raw=options.raw_tags: [c.as_row() for c in chara.find_characters(a, b, raw_tags=raw)],
+        lambda a, b, raw=options.raw_tags, known=(*options.layouts, *chara.KNOWN_LAYOUTS): [c.as_row() for c in chara.find_characters(a, b, raw_tags=raw, known=known)],
         "array<struct<reading:string,name:string,actor1:string,actor2:string,actor3:string>>",
     )
     rows = body.select(_titles(options).alias("title"), F.explode(found("stripped", "inner")).alias("c"))

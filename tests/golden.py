@@ -1,7 +1,7 @@
-"""Queries on small inputs of our own: each operator with what it must give, as rows of a SQL VALUES list.
+"""Small inputs of our own: each operator by its usual name with what it must give, and a small export through the six tables.
 
-A case is (operator, function, arguments, result). Functions over Python strings run in one Arrow UDF for a group, native
-ones as columns. Results are compared as JSON text. The pages at the end go through the six tables as a whole.
+A case is (operator, function, arguments, result). Functions over Python strings are called as they are, native ones on the
+columns of a row for each case. Results are compared as JSON text.
 """
 
 from __future__ import annotations
@@ -9,15 +9,14 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import plans
-from .functions import charclass, kana, keyboard
-from .functions import strings as st
-from .functions import wikitext as w
-from .operators import categories, characters, english, phonemes, readings, synonyms, titles
+from kotonoha import plans
+from kotonoha.functions import charclass, kana, keyboard
+from kotonoha.functions import strings as st
+from kotonoha.functions import wikitext as w
+from kotonoha.operators import categories, characters, english, phonemes, readings, synonyms, titles
 
 Case = tuple[str, Callable, tuple, object]
 
@@ -357,55 +356,26 @@ PYTHON_GROUPS = {"golden_kernels": KERNELS, "golden_readings": READINGS, "golden
 NATIVE_GROUPS = {"golden_titles": TITLES, "golden_strings": STRINGS, "golden_more_strings": MORE_STRINGS, "golden_times": TIMES}
 
 
-def _json(value) -> str:
+def as_json(value) -> str:
     return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
 
 
-def _given(group: str, number: int) -> str:
-    _, function, arguments, _ = PYTHON_GROUPS[group][number]
-    return _json(function(*arguments))
-
-
-def _python_query(group: str) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        def results(numbers: pd.Series) -> pd.Series:
-            return pd.Series([_given(group, int(n)) for n in numbers], dtype=object)
-
-        rows = [(i, case[0]) for i, case in enumerate(PYTHON_GROUPS[group])]
-        return spark.createDataFrame(rows, "case_no int, operator string").withColumn("result", F.pandas_udf(results, "string")("case_no"))
-
-    return run
-
-
-def _native_query(group: str) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        # Arguments are columns of a row for each case, so the functions run as they do on tables.
-        cases = NATIVE_GROUPS[group]
-        widest = max(len(arguments) for _, _, arguments, _ in cases)
-        rows = [(i, case[0], *case[2], *[None] * (widest - len(case[2]))) for i, case in enumerate(cases)]
-        table = spark.createDataFrame(rows, "case_no int, operator string" + "".join(f", x{k} string" for k in range(widest)))
-
-        def value(case: Case) -> Column:
-            got = case[1](*[F.col(f"x{k}") for k in range(len(case[2]))])
-            return F.coalesce(F.to_json(F.struct(got.alias("v")), {"ignoreNullFields": "false"}), F.lit('{"v":null}'))
-
-        result = None
-        for i, case in enumerate(cases):
-            result = F.when(F.col("case_no") == i, value(case)) if result is None else result.when(F.col("case_no") == i, value(case))
-        return table.select("case_no", "operator", result.alias("result"))
-
-    return run
-
-
-def _values(rows: list[tuple], columns: str) -> str:
-    def literal(x) -> str:
-        if x is None:
-            return "NULL"
-        if isinstance(x, list):
-            return "[" + ", ".join(map(literal, x)) + "]::VARCHAR[]"
-        return str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'"
-
-    return "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(literal, row)) + ")" for row in rows) + f") AS t({columns})"
+def native_results(spark: SparkSession, cases: list[Case]) -> list[str]:
+    """Results of native cases, some at a time so that plans stay small. Arguments are columns, as on tables."""
+    out = []
+    for at in range(0, len(cases), 12):
+        part = cases[at : at + 12]
+        widest = max(len(arguments) for _, _, arguments, _ in part)
+        for number, (_, function, arguments, _) in enumerate(part):
+            part[number] = (function, [*arguments, *[None] * (widest - len(arguments))], len(arguments))
+        row = [x for _, padded, _ in part for x in padded]
+        table = spark.createDataFrame([tuple(row)], ", ".join(f"x{k} string" for k in range(len(row))))
+        values = []
+        for number, (function, padded, used) in enumerate(part):
+            got = function(*[F.col(f"x{number * widest + k}") for k in range(used)])
+            values.append(F.coalesce(F.to_json(F.struct(got.alias("v")), {"ignoreNullFields": "false"}), F.lit('{"v":null}')).alias(f"r{number}"))
+        out += list(table.select(*values).first())
+    return out
 
 
 # ---------------------------------------------------------------- pages through the six tables
@@ -455,13 +425,3 @@ TABLES: dict[str, tuple[Callable[[SparkSession], DataFrame], str, list[tuple]]]
     ),
 }
 
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    **{g: _python_query(g) for g in PYTHON_GROUPS}, **{g: _native_query(g) for g in NATIVE_GROUPS},
-    **{name: (lambda spark, sf_dir, make=make: make(spark)) for name, (make, _, _) in TABLES.items()},
-}
-ORACLE_SQL: dict[str, str] = {
-    **{g: _values([(i, c[0], _json(c[3])) for i, c in enumerate(cases)], "case_no, operator, result") for g, cases in PYTHON_GROUPS.items()},
-    **{g: _values([(i, c[0], _json({"v": c[3]})) for i, c in enumerate(cases)], "case_no, operator, result") for g, cases in NATIVE_GROUPS.items()},
-    **{name: _values(rows, columns) for name, (_, columns, rows) in TABLES.items()},
-}

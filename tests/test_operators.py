@@ -196,3 +196,18 @@ def test_keyboard():
     assert keyboard.convert("nihongo", "r") == "にほんご" and keyboard.convert("gakkou", "r") == "がっこう" and keyboard.convert("kyouto", "r") == "きょうと" and keyboard.convert("nyaa", "r") == "にゃあ"
     assert keyboard.convert("にほんご", "R") == "nihongo" and keyboard.convert("がっこう", "R") == "gakkou" and keyboard.convert("かー", "R") == "kaa"
     assert keyboard.convert("t@", "K") == "が" and keyboard.convert("がぱ", "k") == "t@f["
+
+
+def test_later_actor_lines():
+    text = ("文\n== 登場人物 ==\n=== 海野・桜 ===\n（うみの・さくら）\n\n「海野」は海の名より。\n\n[[声優|声]]：[[新田 良]]\n\n=== 山川 葉 ===\n（やまかわ よう）\n説明。\n声：[[林 二]]\n声：[[森 三]]\n"
+            "=== 無役 ===\n（むやく）\n説明だけ。\n=== 列 ===\n* 声：[[川 四]]\n==== 深い ====\n（ふかい）\n\n声：[[川 四]]\n=== [[鎖]] ===\n[[鎖]]\n\n声：[[川 四]]\n=== 主な人物 ===\n（おもな）\n\n声：[[川 四]]\n== 外 ==\n")
+    known = (("^劇$", "later3"),)
+    got = [tuple(c.as_row().values())[:3] for c in characters.find_characters("劇", text, known=known)]
+    assert got == [("うみのさくら", "海野・桜", "新田 良"), ("やまかわよう", "山川葉", "林 二")]
+    assert [c.name for c in characters.find_characters("劇", text, known=(("劇", "later4"),))] == ["深い"]
+    assert characters.find_characters("ギャラクシーエンジェルの登場人物", text)[0].actors == ("新田 良",)
+
+
+@pytest.mark.parametrize("word, noise", [("銀座", False), ("歌舞伎座", False), ("宝座", False), ("魚座", True), ("昭和時代", False), ("少年時代", True), ("限定版", False), ("TV版", True), ("予告のみ", False), ("OVAのみ", True), ("3丁目の夕日", True), ("第2話", True), ("TVSP1", True)])
+def test_noise_words_are_exact(word, noise):
+    assert characters.no_word(word) == noise

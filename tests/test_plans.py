@@ -8,11 +8,12 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from kotonoha import golden, plans, queries
+from kotonoha import page_queries, plans, queries
 from kotonoha.functions import charclass, kana, strings as st
 from kotonoha.operators import synonyms, titles
 from kotonoha.sources import pages as source
 from kotonoha.sources import sinks
+from tests import golden
 
 PAGES = [
     ("ねこ", "'''ねこ'''は動物。\n[[Category:動物]]\n[[Category:ねこ|*]]"),
@@ -168,14 +169,17 @@ def test_string_functions(spark):
     assert [f"{r['d']:%m%d}" for r in days] == "0101 0108 0211 0212 0223 0320 0429 0503 0504 0505 0506 0715 0811 0812 0916 0922 0923 1014 1103 1104 1123".split()
 
 
-@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+QUERIES, ORACLE_SQL = queries.QUERIES | page_queries.QUERIES, queries.ORACLE_SQL | page_queries.ORACLE_SQL
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
     for table in ("part", "documents", "pages", "events", "orders"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
-    want = con.sql(queries.ORACLE_SQL[name]).df()
-    got = queries.QUERIES[name](spark, folder).toPandas()
+    want = con.sql(ORACLE_SQL[name]).df()
+    got = QUERIES[name](spark, folder).toPandas()
     assert sorted(got.columns) == sorted(want.columns) and len(got) == len(want)
 
     def rows(df: pd.DataFrame):
@@ -184,15 +188,24 @@ def test_query_equals_sql(spark, name):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("name", sorted(golden.QUERIES))
-def test_golden_rows(spark, name):
-    got, want = golden.QUERIES[name](spark, "").toPandas(), duckdb.sql(golden.ORACLE_SQL[name]).df()
-    assert sorted(got.columns) == sorted(want.columns)
+@pytest.mark.parametrize("group", sorted(golden.PYTHON_GROUPS))
+def test_golden_functions(group):
+    for operator, function, arguments, want in golden.PYTHON_GROUPS[group]:
+        assert golden.as_json(function(*arguments)) == golden.as_json(want), (operator, arguments)
 
-    def rows(df: pd.DataFrame):
-        return sorted(repr([list(x) if hasattr(x, "__len__") and not isinstance(x, str) else x for x in r]) for r in df[list(want.columns)].itertuples(index=False))
 
-    assert rows(got) == rows(want)
+@pytest.mark.parametrize("group", sorted(golden.NATIVE_GROUPS))
+def test_golden_columns(spark, group):
+    cases = golden.NATIVE_GROUPS[group]
+    got = golden.native_results(spark, cases)
+    assert [(c[0], c[2], r) for c, r in zip(cases, got, strict=True)] == [(c[0], c[2], golden.as_json({"v": c[3]})) for c in cases]
+
+
+@pytest.mark.parametrize("name", sorted(golden.TABLES))
+def test_golden_tables(spark, name):
+    make, columns, want = golden.TABLES[name]
+    got = make(spark).select(*columns.split(", ")).collect()
+    assert sorted(repr([list(x) if isinstance(x, list) else x for x in r]) for r in got) == sorted(repr(list(r)) for r in want)
 
 
 def test_a_parsed_title_is_extracted_once(spark, export):
@@ -201,9 +214,9 @@ def test_a_parsed_title_is_extracted_once(spark, export):
         assert plan.count("regexp_extract(value") == 2, plan
 
 
-@pytest.mark.parametrize("name", sorted(n for n in queries.QUERIES if n not in queries.ORACLE_SQL))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in ORACLE_SQL))
 def test_other_queries_give_rows(spark, name):
-    assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
 
 
 def test_more_string_functions(spark):
