@@ -56,8 +56,39 @@ def syllables() -> list[tuple[str, str]]:
     return [(f"{c} {v}", row.split()[col] + tail) for c, row in GRID.items() for v, (col, tail) in VOWELS.items()]
 
 
+class RuleTrie:
+    """Rules as a trie of characters. At a place the first listed of the rules that fit wins, however long it is.
+
+    A place is walked once down the trie, so its cost is the longest rule's length and not the number of rules.
+    """
+
+    def __init__(self, rules: dict[str, str]):
+        self.root: dict = {}
+        for rank, (pattern, kana) in enumerate(rules.items()):
+            node = self.root
+            for letter in pattern:
+                node = node.setdefault(letter, {})
+            node.setdefault("", (rank, len(pattern), kana))
+
+    def rewrite(self, text: str) -> str:
+        """The text with all fitting places replaced, from left to right."""
+        out, done, at = [], 0, 0
+        while at < len(text):
+            node, best, i = self.root.get(text[at]), None, at + 1
+            while node is not None:
+                if "" in node and (best is None or node[""] < best):
+                    best = node[""]
+                node, i = node.get(text[i]) if i < len(text) else None, i + 1
+            if best is None:
+                at += 1
+                continue
+            out += [text[done:at], best[2]]
+            done = at = at + best[1]
+        return "".join(out) + text[done:]
+
+
 @lru_cache(maxsize=16)
-def _stages(extra: tuple[tuple[int, str, str], ...]) -> list[tuple[re.Pattern, dict[str, str]]]:
+def _stages(extra: tuple[tuple[int, str, str], ...]) -> list[RuleTrie]:
     built = {0: [("  " + p, k) for p, k in INITIAL], 1: [], 2: [*IRREGULAR, *syllables()], 3: list(SINGLE)}
     out = []
     for stage in sorted(set(built) | {s for s, *_ in extra}):
@@ -66,13 +97,13 @@ def _stages(extra: tuple[tuple[int, str, str], ...]) -> list[tuple[re.Pattern, d
         for pattern, kana in [(p, k) for s, p, k in extra if s == stage] + built.get(stage, []):
             rows.setdefault(" " + pattern, " " + kana)
         if rows:
-            out.append((re.compile("|".join(map(re.escape, rows))), rows))
+            out.append(RuleTrie(rows))
     return out
 
 
 def to_kana(phonemes: str, extra: tuple[tuple[int, str, str], ...] = ()) -> str:
     """Hiragana of a phoneme string such as ``HH AH0 L OW1``."""
     text = "   " + re.sub("[012]", "", phonemes) + " "
-    for pattern, rows in _stages(extra):
-        text = pattern.sub(lambda m, rows=rows: rows[m[0]], text)
+    for stage in _stages(extra):
+        text = stage.rewrite(text)
     return text.replace(" ", "")

@@ -110,3 +110,30 @@ SELECT kata AS title, ['ワ' || hira, 'ヲ' || hira, hira] || CASE WHEN page_id
 def disambiguation_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Synonyms from infobox and lead, then from the lists whose bullets lead to the article."""
     return plans.synonyms(linked_pages(spark, sf_dir))
+
+
+#: Letters as phonemes and what these must sound like: vowels of all columns of the kana grid, irregular pairs, longer rules.
+_SPELLED = {
+    "a": ("S T AA1", "スタ"), "b": ("B EY1", "ベー"), "c": ("CH AY1", "チャイ"), "d": ("D EH1", "デ"), "e": ("L EH0 T ER1", "レタ"), "f": ("F OW1", "フォー"), "g": ("G OW1", "ゴー"), "h": ("HH AY1", "ハイ"),
+    "i": ("K R IY1", "クリー"), "j": ("JH AY1", "ジャイ"), "k": ("K OW1", "コー"), "l": ("L OW1", "ロー"), "m": ("M EY1", "メー"), "n": ("N OW1", "ノー"), "o": ("G R OW1", "グロー"), "p": ("P EY1", "ペー"),
+    "q": ("K Y UW1", "クユー"), "r": ("R AY1", "ライ"), "s": ("S OW1", "ソー"), "t": ("T EY1", "テー"), "u": ("B UH1", "ブッ"), "v": ("V OY1", "ボイ"), "w": ("W AY1", "ワイ"), "x": ("EH1 K S", "エクス"),
+    "y": ("Y UW1", "ユー"), "z": ("Z OW1", "ゾー"),
+}
+_RULES = ((1, "S T AA", "すた"), (1, "L EH T ER", "れた"), (1, "K R IY", "くりー"), (1, "K R", "くろ"))
+
+
+def _cases(place: int) -> str:
+    return "CASE c " + " ".join(f"WHEN '{letter}' THEN '{way[place]}'" for letter, way in _SPELLED.items()) + " END"
+
+
+@query(f"""
+SELECT replace(p_name, ' ', '') AS word, list_aggregate(list_transform(regexp_extract_all(lower(p_name), '[a-z]'), lambda c: {_cases(0)}), 'string_agg', ' ') AS phonemes,
+  list_aggregate(list_transform(regexp_extract_all(lower(p_name), '[a-z]'), lambda c: {_cases(1)}), 'string_agg', '') AS kana
+FROM part WHERE regexp_matches(lower(p_name), '[a-z]')
+""")
+def phoneme_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names spelled letter by letter as phonemes of many vowels, with longer rules given as a parameter."""
+    letters = F.regexp_extract_all(F.lower("p_name"), F.lit("([a-z])"), F.lit(1))
+    sounds = F.create_map(*[F.lit(x) for letter, (way, _) in _SPELLED.items() for x in (letter, way)])
+    entries = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.translate("p_name", " ", "").alias("word"), F.array_join(F.transform(letters, lambda c: sounds[c]), " ").alias("phonemes"))
+    return plans.phonetic_dictionary(entries.where("phonemes <> ''"), rules=_RULES)

@@ -211,3 +211,16 @@ def test_later_actor_lines():
 @pytest.mark.parametrize("word, noise", [("銀座", False), ("歌舞伎座", False), ("宝座", False), ("魚座", True), ("昭和時代", False), ("少年時代", True), ("限定版", False), ("TV版", True), ("予告のみ", False), ("OVAのみ", True), ("3丁目の夕日", True), ("第2話", True), ("TVSP1", True)])
 def test_noise_words_are_exact(word, noise):
     assert characters.no_word(word) == noise
+
+
+def test_rule_trie_is_an_alternation_in_order():
+    import random
+
+    rng = random.Random(8)
+    for _ in range(300):
+        rules = {"".join(rng.choices("ab ", k=rng.randint(1, 4))): f"<{i}>" for i in range(rng.randint(1, 12))}
+        text = "".join(rng.choices("abc ", k=rng.randint(0, 40)))
+        pattern = re.compile("|".join(map(re.escape, rules)))
+        assert phonemes.RuleTrie(rules).rewrite(text) == pattern.sub(lambda m: rules[m[0]], text)
+    assert phonemes.to_kana("S T ER0", ((1, "S T ER", "すたー"), (1, "S T", "すと"))) == "すたー"
+    assert phonemes.to_kana("S T ER0", ((1, "S T", "すと"), (1, "S T ER", "すたー"))) == "すと" + phonemes.to_kana("ER0")
