@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import plans
+from .sources import pages as page_source
+from .sources.folders import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -137,3 +139,16 @@ def phoneme_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     sounds = F.create_map(*[F.lit(x) for letter, (way, _) in _SPELLED.items() for x in (letter, way)])
     entries = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.translate("p_name", " ", "").alias("word"), F.array_join(F.transform(letters, lambda c: sounds[c]), " ").alias("phonemes"))
     return plans.phonetic_dictionary(entries.where("phonemes <> ''"), rules=_RULES)
+
+
+@query(r"""
+SELECT regexp_extract(html, '<title[^>]*>([^<]*)', 1) AS title, length(t) AS n_chars, md5(t) AS digest
+FROM (SELECT html, '<text xml:space="preserve">' || replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS t FROM pages)
+""")
+def export_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written out as an export, and scanned again: files split at the ends of pages."""
+    folder = work_folder(spark)
+    made = spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.regexp_extract("html", "<title[^>]*>([^<]*)", 1).alias("title"), "html")
+    text = F.replace(F.replace(F.replace("html", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    page_source.write_pages(made.select("title", text.alias("inner")), folder)
+    return page_source.read_pages(spark, folder).select("title", F.char_length("inner").cast("long").alias("n_chars"), F.md5(F.encode("inner", "UTF-8")).alias("digest"))

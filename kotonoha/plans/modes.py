@@ -156,20 +156,32 @@ def synonyms(pages: DataFrame, options: Options = Options(), *, whole_rest: bool
     ``pages`` needs ``ordinal``. Sources are grouped by target and joined to articles by title; the plan broadcasts the
     grouped side only when its size is known to be small, and merges sorted sides otherwise.
     """
+    own = stated_synonyms(pages, options)
+    sources = redirect_sources(pages, options, whole_rest=whole_rest, full_targets=full_targets).groupBy(F.col("target").alias("title")).agg(F.sort_array(F.collect_list(F.struct("ordinal", "source"))).alias("led"))
+    joined = own.join(sources, "title", "left")
+    led = F.coalesce(F.transform("led", lambda x: x["source"]), F.array().cast("array<string>"))
+    return united_synonyms(joined.withColumn("led", led), options)
+
+
+def stated_synonyms(pages: DataFrame, options: Options = Options()) -> DataFrame:
+    """(title, own, stripped) of articles: the names that an article states itself."""
     title, inner = F.col("title"), F.col("inner")
     body = pages.where(~t.is_noise(title) & ~t.is_list_page(title))
     body = body.where(~t.is_redirect(inner) & ~t.is_disambiguation(inner) & ~t.is_same_name(inner))
     found = text_udf(lambda a, b, raw=options.raw_tags: syn.synonyms(a, b, raw_tags=raw), "array<string>")
-    own = _stripped(body.select("title", found("title", "inner").alias("own")))
-    sources = redirect_sources(pages, options, whole_rest=whole_rest, full_targets=full_targets).groupBy(F.col("target").alias("title")).agg(F.sort_array(F.collect_list(F.struct("ordinal", "source"))).alias("led"))
-    joined = own.join(sources, "title", "left")
-    led = F.coalesce(F.transform("led", lambda x: x["source"]), F.array().cast("array<string>"))
-    names = F.array_distinct(F.concat("own", led))
+    return _stripped(body.select("title", found("title", "inner").alias("own")))
+
+
+def united_synonyms(joined: DataFrame, options: Options = Options()) -> DataFrame:
+    """From (title, own, stripped, led and others): the title as it is printed, ``synonyms``, and the others."""
+    others = [c for c in joined.columns if c not in ("title", "own", "stripped", "led")]
+    names = F.filter(F.array_distinct(F.concat("own", "led")), lambda x: (x != F.col("title")) & (x != F.col("stripped")))
     if options.disambiguation == "del":
-        names = one_column_udf(lambda xs: [wikitext.strip_disambiguation(x) for x in xs], "array<string>")(F.filter(names, lambda x: (x != F.col("title")) & (x != F.col("stripped"))))
-    else:
-        names = F.filter(names, lambda x: (x != F.col("title")) & (x != F.col("stripped")))
-    table = joined.select(_titles(options).alias("title"), names.alias("synonyms"))
+        # Names without a bracket, a quote or a blank are as they are; only lists that hold another go to Python.
+        plain = ~F.exists(names, lambda x: x.rlike("[(（&'\\s　{\\[]"))
+        strip = one_column_udf(lambda xs: [wikitext.strip_disambiguation(x) for x in xs] if xs is not None else None, "array<string>")
+        names = F.when(plain, names).otherwise(strip(F.when(plain, None).otherwise(names)))
+    table = joined.select(_titles(options).alias("title"), names.alias("synonyms"), *others)
     return _shown(table, options, F.size("synonyms") > 0)
 
 

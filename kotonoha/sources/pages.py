@@ -26,12 +26,23 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Rows (ordinal, title, inner) of an export, split at the ends of pages; ``ordinal`` follows the order in the file.
 
     A page without text has an empty body and is kept; nothing carries over from one page to the next. Text files split
-    for parallel reads at the same mark, so a large uncompressed export is read by many tasks.
+    for parallel reads at the same mark, so a large export, plain or in bzip2 blocks, is read by many tasks.
     """
     lines = spark.read.option("lineSep", PAGE_END).text(path)
     return _pages(lines.withColumn("ordinal", F.monotonically_increasing_id()), "ordinal")
 
 
+def page_elements(pages: DataFrame) -> DataFrame:
+    """One column ``value``: each page of (title, inner) as the lines of its export; ``inner`` with or without its text tag."""
+    opened = F.when(F.startswith("inner", F.lit("<text")), F.col("inner")).otherwise(F.concat(F.lit('<text xml:space="preserve">'), F.coalesce("inner", F.lit(""))))
+    return pages.select(F.concat(F.lit("  <page>\n    <title>"), F.coalesce("title", F.lit("")), F.lit("</title>\n    <ns>0</ns>\n    <revision>\n      "), opened, F.lit("</text>\n    </revision>\n  </page>")).alias("value"))
+
+
+def write_pages(pages: DataFrame, path: str, mode: str = "errorifexists", compression: str = "none") -> None:
+    """Writes pages as an export that ``read_pages`` reads back: files of page elements, entities as they are."""
+    page_elements(pages).write.mode(mode).option("compression", compression).text(path)
+
+
 def stream_pages(spark: SparkSession, path: str, files_per_trigger: int = 8) -> DataFrame:
     """Streaming rows (title, inner) of exports that arrive in a folder."""
     lines = spark.readStream.option("lineSep", PAGE_END).option("maxFilesPerTrigger", files_per_trigger).text(path)

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import plans
 from ..sources.pages import stream_pages, stream_phonemes
 
-#: Synonyms need all redirects before the first article and stay batch; ``against_batch`` joins them to a stream.
+#: Synonyms keep state and have a module of their own; ``against_batch`` joins sources that a batch run found instead.
 TABLES = {"readings": plans.readings, "english": plans.english_words, "categories": plans.categories, "characters": plans.characters}
 
 

@@ -51,6 +51,30 @@ def test_source(pages):
     assert rows[0]["inner"].startswith('<text xml:space="preserve">\'\'\'ねこ') and rows[-1]["inner"] == "" and "</text>" not in rows[0]["inner"]
 
 
+@pytest.mark.parametrize("compression", ["none", "bzip2"])
+def test_large_exports_are_split_at_pages(spark, tmp_path, compression):
+    from pyspark.sql import functions as F
+
+    letters = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(400)), lambda i: F.sha2(F.concat_ws("-", F.col("id").cast("string"), i.cast("string")), 256)), " ")
+    made = spark.range(0, 400, 1, 1).select(F.concat(F.lit("頁"), F.col("id").cast("string")).alias("title"), F.concat(F.lit("<text>"), letters).alias("inner")).union(
+        spark.createDataFrame([("空", ""), ("無", None)], "title string, inner string")).coalesce(1)
+    source.write_pages(made, str(tmp_path / "export"), compression=compression)
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+        got = source.read_pages(spark, str(tmp_path / "export"))
+        tasks = got.select(F.spark_partition_id()).distinct().count()
+        rows = got.orderBy("ordinal").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = [(r["title"], r["inner"] if (r["inner"] or "").startswith("<text") else '<text xml:space="preserve">' + (r["inner"] or "")) for r in made.collect()]
+    assert [(r["title"], r["inner"]) for r in rows] == want and tasks > 3
+
+
+def test_no_export_no_rows(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        source.read_pages(spark, str(tmp_path / "none")).count()
+
+
 def test_categories(pages):
     got = {r["title"]: list(r["categories"]) for r in plans.categories(pages).collect()}
     assert got == {"ねこ": ["動物", "ねこ"], "山川町": ["町"], "長い頁": ["長"]}
