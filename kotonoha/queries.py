@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from . import plans
 from .functions import kana as kana_functions
-from .functions import encodings
+from .functions import encodings, holidays
 from .functions import strings as st
 from .functions import wikitext
 from .functions.charclass import only_column
@@ -186,6 +186,29 @@ def time_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "orders").select("o_orderkey", st.http_date(t).alias("http"), st.weekday_japanese(t).alias("weekday"), st.month_japanese(t).alias("month_name"), st.is_after(t, 12, 0).alias("after_noon"))
 
 
+@query("""
+WITH days AS (SELECT unnest(generate_series(min(o_orderdate)::DATE - 2, max(o_orderdate)::DATE + 2, INTERVAL 1 DAY))::DATE AS d FROM orders
+), e AS (
+  SELECT d, year(d) AS y, month(d) AS m, day(d) AS n, dayofweek(d) AS w, (day(d) - 1) // 7 + 1 AS week, floor(20.8431 + 0.242194 * (year(d) - 1980) - (year(d) - 1980) // 4) AS spring,
+    floor(23.2488 + 0.242194 * (year(d) - 1980) - (year(d) - 1980) // 4) AS autumn FROM days
+), named AS (
+  SELECT d, w, CASE WHEN m = 1 AND n = 1 THEN '元旦' WHEN m = 1 AND CASE WHEN y >= 2000 THEN w = 1 AND week = 2 ELSE n = 15 END THEN '成人の日' WHEN m = 2 AND n = 11 THEN '建国記念の日' WHEN m = 3 AND n = spring THEN '春分の日'
+    WHEN m = 4 AND n = 29 THEN 'みどりの日' WHEN m = 5 AND n = 3 THEN '憲法記念日' WHEN m = 5 AND n = 5 THEN 'こどもの日' WHEN y = 1993 AND m = 6 AND n = 9 THEN '皇太子徳仁親王の結婚の儀'
+    WHEN m = 7 AND CASE WHEN y >= 2003 THEN w = 1 AND week = 3 ELSE y >= 1996 AND n = 20 END THEN '海の日' WHEN m = 9 AND CASE WHEN y >= 2003 THEN w = 1 AND week = 3 ELSE n = 15 END THEN '敬老の日'
+    WHEN m = 9 AND n = autumn THEN '秋分の日' WHEN m = 10 AND CASE WHEN y >= 2000 THEN w = 1 AND week = 2 ELSE n = 10 END THEN '体育の日' WHEN m = 11 AND n = 3 THEN '文化の日' WHEN m = 11 AND n = 23 THEN '勤労感謝の日'
+    WHEN m = 12 AND n = 23 THEN '天皇誕生日' END AS name FROM e
+), near AS (
+  SELECT d, w, name, lag(name) OVER (ORDER BY d) AS before, lead(name) OVER (ORDER BY d) AS behind FROM named
+)
+SELECT o_orderkey, CASE WHEN name IS NOT NULL THEN name WHEN w = 1 AND before IS NOT NULL THEN '振替休日' WHEN w <> 0 AND before IS NOT NULL AND behind IS NOT NULL THEN '国民の休日' END AS holiday,
+  CASE WHEN name IS NOT NULL THEN 'named' WHEN w = 1 AND before IS NOT NULL THEN 'lieu' WHEN w <> 0 AND before IS NOT NULL AND behind IS NOT NULL THEN 'between' END AS holiday_kind
+FROM orders JOIN near ON o_orderdate::DATE = d
+""")
+def holiday_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The holiday on which each order falls, from the calendar joined by date (the SQL has the law of 1989 to 2006)."""
+    return holidays.with_holidays(_table(spark, sf_dir, "orders"), "o_orderdate").select("o_orderkey", "holiday", "holiday_kind")
+
+
 @query("""
 SELECT o_orderkey, (CASE WHEN n >= 1073741824 THEN (n // 1073741824) || 'GB' WHEN n >= 1048576 THEN (n // 1048576) || 'MB' WHEN n >= 1024 THEN (n // 1024) || 'KB' ELSE n || 'B' END) AS size,
        least(greatest(n, 1000), 100000) AS clamped, least(length(n::VARCHAR), 10) AS n_digits
