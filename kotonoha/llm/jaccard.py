@@ -21,8 +21,9 @@ separate tasks. Links are complete between groups: every pair of linked texts en
 Words and shingles are compared as 64-bit hashes (polynomials modulo 2**64, scrambled), not as strings.
 
 Defined cases: null text, empty text and text without words: an empty set, linked with nothing; fewer words than the
-shingle: the whole sequence is the one shingle; repeated rows of one id are one document; ids must not be null (such rows
-keep a null component); an empty table gives no rows; other columns are ignored.
+shingle: the whole sequence is the one shingle; repeated rows of one id and text are one document, and an id with several
+texts has the links of all of them; ids must not be null (such rows keep a null component); an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .common import arrays, settle, settle_by, tidy
+from .common import arrays, ranked, settle, settle_by, tidy
 from .components import components, forest
 
 
@@ -101,12 +102,26 @@ def _digests(p: JaccardParams):
                     pa.array(_count_vectors(found, at, p), pa.binary()),
                 ], ["kind", "id", "n", "vector"])
         if seen:
-            table = np.minimum(slots, 255).astype(np.uint8).reshape(p.blocks, -1)
-            yield pa.record_batch([pa.array(np.ones(p.blocks, np.int32)), pa.array(np.arange(p.blocks)), pa.array(np.zeros(p.blocks, np.int64)), pa.array([zlib.compress(x.tobytes(), 1) for x in table], pa.binary())], ["kind", "id", "n", "vector"])
+            yield pa.record_batch([pa.array(np.ones(p.blocks, np.int32)), pa.array(np.arange(p.blocks)), pa.array(np.zeros(p.blocks, np.int64)), pa.array([_packed_counts(x) for x in slots.reshape(p.blocks, -1)], pa.binary())], ["kind", "id", "n", "vector"])
 
     return run
 
 
+def _packed_counts(counts: np.ndarray) -> bytes:
+    """Counts of a block's slots, compressed: a byte for each, and beside it the few that are beyond a byte, in full."""
+    heavy = np.flatnonzero(counts > 255)
+    small = zlib.compress(np.minimum(counts, 255).astype(np.uint8).tobytes(), 1)
+    return np.array([len(heavy)], "<i8").tobytes() + heavy.astype("<i8").tobytes() + counts[heavy].astype("<i8").tobytes() + small
+
+
+def _unpacked_counts(packed: bytes) -> np.ndarray:
+    n = int(np.frombuffer(packed, "<i8", 1)[0])
+    heavy, full = np.frombuffer(packed, "<i8", n, 8), np.frombuffer(packed, "<i8", n, 8 + 8 * n)
+    counts = np.frombuffer(zlib.decompress(packed[8 + 16 * n :]), np.uint8).astype(np.int64)
+    counts[heavy] = full
+    return counts
+
+
 def _order_table(rows: DataFrame, total: int, p: JaccardParams) -> np.ndarray:
     """Class of each slot: the power of two of its count over all texts, 0 unless it stands out; 2**slot_bits bytes.
 
@@ -117,12 +132,13 @@ def _order_table(rows: DataFrame, total: int, p: JaccardParams) -> np.ndarray:
 
     def added(last: bool):
         def run(frame: pd.DataFrame) -> pd.DataFrame:
-            counts = np.zeros(size, np.uint32)
+            counts = np.zeros(size, np.int64)
             for x in frame["vector"]:
-                counts += np.frombuffer(x, np.uint32) if len(x) == 4 * size else np.frombuffer(zlib.decompress(x), np.uint8)
-            if last:
-                counts = np.where(counts >= 12 + mean + 6 * mean**0.5, np.log2(np.maximum(counts, 1)), 0).astype(np.uint8)
-            return pd.DataFrame({"id": frame["id"].iloc[:1], "vector": [counts.tobytes()]})
+                counts += _unpacked_counts(x)
+            if not last:
+                return pd.DataFrame({"id": frame["id"].iloc[:1], "vector": [_packed_counts(counts)]})
+            classes = np.where(counts >= 12 + mean + 6 * mean**0.5, np.log2(np.maximum(counts, 1)), 0).astype(np.uint8)
+            return pd.DataFrame({"id": frame["id"].iloc[:1], "vector": [classes.tobytes()]})
 
         return run
 
@@ -377,35 +393,87 @@ def _links(pairs: DataFrame, sets: DataFrame, texts: DataFrame, p: JaccardParams
 
 
 def jaccard_groups(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id), one for each distinct id of ``docs``."""
-    return _grouped(docs.select("doc_id", "text"), params)[0]
+    """Rows (doc_id, n_shingles, component_id), one for each distinct id of ``docs``.
+
+    An id that stands with several texts has the links of all of them, and the size of the text with the lowest digest.
+    """
+    found = _grouped(docs.select("doc_id", "text"), params)
+    match = [found.ids[k].eqNullSafe(found.texts[k]) for k in _DIGEST]
+    per_row = found.ids.join(found.texts, match, "left").select(
+        "doc_id", *[found.ids[k] for k in _DIGEST], "node", F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component"), F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles")
+    )
+    if not found.several:
+        return per_row.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    # The texts of an id are one node more: a star on the smallest of them.
+    per_row = settle(per_row)
+    worded = per_row.where("doc_id is not null and n_shingles > 0")
+    least = worded.groupBy("doc_id").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
+    edges = worded.join(least, "doc_id").select("a", F.col("node").alias("b"))
+    both = components(found.links.unionByName(edges)).select(F.col("id").alias("node"), F.col("component").alias("_c"))
+    wider = per_row.join(both, "node", "left").withColumn("component", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("_c", "node")))
+    first = F.min(F.struct(*_DIGEST, "n_shingles"))["n_shingles"]
+    return wider.groupBy("doc_id").agg(first.alias("n_shingles"), F.coalesce(F.min("component"), F.col("doc_id")).alias("component_id"))
+
 
+_DIGEST = ("h", "c", "l")
+_NODE = "_jaccard_node"
 
-def _grouped(docs: DataFrame, p: JaccardParams) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """The groups, the rows of one document for each distinct text that is not empty, bucketed by id, and rows with further texts of an id."""
+
+@dataclass
+class _Groups:
+    """``ids``: (doc_id, digest), one row for each text of an id. ``texts``: (digest, node, n_shingles, component), one for each
+    distinct text. ``links`` between nodes. ``rows``: one document for each text that is not empty, bucketed by its node.
+    ``several``: whether some id stands with more than one text."""
+
+    ids: DataFrame
+    texts: DataFrame
+    links: DataFrame
+    rows: DataFrame
+    several: bool
+
+
+def _numbered_texts(docs: DataFrame, digest: list) -> tuple[DataFrame, DataFrame, bool, bool]:
+    """Rows (doc_id, digest) of every id and text; rows (digest, lead, node) of every text; whether ids, and whether rows, repeat.
+
+    A text's node is the smallest id that has it. Where an id is that of several texts, the one with the lowest digest has
+    it, and the others get numbers beyond all ids, so a group's smallest node is an id.
+    """
+    firsts = settle(docs.select("doc_id", *digest).groupBy("doc_id").agg(F.min(F.struct(*_DIGEST)).alias("d"), F.max(F.struct(*_DIGEST)).alias("e"), F.count("*").alias("rows")))
+    repeated = not firsts.where("rows > 1").isEmpty()
+    crowded = firsts.where("doc_id is not null and not d <=> e")
+    several = repeated and not crowded.isEmpty()
+    ids = firsts.select("doc_id", "d.*")
+    if several:
+        more = docs.select("doc_id", *digest).join(crowded.select("doc_id"), "doc_id", "left_semi").distinct()
+        ids = settle(firsts.where("doc_id is null or d <=> e").select("doc_id", "d.*").unionByName(more))
+    same = settle(ids.where("doc_id is not null").groupBy(*_DIGEST).agg(F.min("doc_id").alias("lead")))
+    if not several:
+        return ids, same.withColumn("node", F.col("lead")), False, repeated
+    shared = same.groupBy("lead").agg(F.min(F.struct(*_DIGEST)).alias("own"), F.count("*").alias("n")).where("n > 1")
+    others = same.join(shared, "lead").where(~F.struct(*_DIGEST).eqNullSafe(F.col("own"))).select(*_DIGEST)
+    beyond = ids.agg(F.max("doc_id")).first()[0] + 1
+    others = ranked(others, *_DIGEST).select(*[F.col(k).alias(f"_{k}") for k in _DIGEST], (F.col("pos") + F.lit(beyond)).alias("_number"))
+    match = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in _DIGEST]
+    return ids, settle(same.join(others, match, "left").select(*_DIGEST, "lead", F.coalesce("_number", "lead").alias("node"))), True, repeated
+
+
+def _grouped(docs: DataFrame, p: JaccardParams) -> _Groups:
     spark = docs.sparkSession
     # Equal texts first: one row for each, by a 96-bit digest and the length, nothing but digests is shuffled.
     digest = [F.xxhash64("text").alias("h"), F.crc32(F.col("text").cast("binary")).alias("c"), F.octet_length("text").alias("l")]
-    ids = settle(docs.select("doc_id", *digest).groupBy("doc_id").agg(F.min(F.struct("h", "c", "l")).alias("d"), F.count("*").alias("rows")).select("doc_id", "d.*", "rows"))
-    same = settle(ids.where("doc_id is not null").groupBy("h", "c", "l").agg(F.min("doc_id").alias("lead"), F.count("*").alias("copies")))
-    leads = same.where("l > 0").select(F.col("lead").alias("doc_id"), "h", "c", "l")
+    ids, same, several, repeated = _numbered_texts(docs, digest)
+    leads = same.where("l > 0").select(F.col("lead").alias("doc_id"), *_DIGEST, "node")
     # The lead's row again, by id; the digest is compared in a form that keeps the id the only key of the join, so that
-    # texts move once, to the buckets that later joins use. Rows that repeat an id with another text are not taken.
+    # texts move once, to the buckets that later joins use.
     text = F.col("x.text")
     ours = (F.xxhash64(text), F.crc32(text.cast("binary")), F.octet_length(text))
     same_text = (ours[0].bitwiseXOR(F.col("y.h")) == 0) & (ours[1] - F.col("y.c") == 0) & (ours[2] - F.col("y.l") == 0)
-    rows = docs.alias("x").join(leads.alias("y"), (F.col("x.doc_id") == F.col("y.doc_id")) & same_text, "left_semi")
-    others = None
-    if not ids.where("rows > 1").isEmpty():
-        rows = rows.dropDuplicates(["doc_id"])
-        # Further texts of an id, if there are any: only ids that repeat move.
-        several = ids.where("rows > 1 and doc_id is not null").select("doc_id", "h", "c", "l")
-        chosen = (ours[0] == F.col("y.h")) & (ours[1] == F.col("y.c")) & (ours[2] == F.col("y.l"))
-        mine = docs.alias("x").join(several.alias("y"), F.col("x.doc_id") == F.col("y.doc_id")).where(~F.coalesce(chosen, F.lit(False)))
-        mine = mine.select(*[F.col(f"x.`{c}`") for c in docs.columns])
-        others = settle(mine.withColumn("_again", F.xxhash64("text")).dropDuplicates(["doc_id", "_again"]).select(docs.columns))
-    rows = settle_by(rows, "doc_id")
-    texts = rows.select("doc_id", "text")
+    rows = docs.alias("x").join(leads.alias("y"), (F.col("x.doc_id") == F.col("y.doc_id")) & same_text)
+    rows = rows.select(*[F.col(f"x.`{c}`") for c in docs.columns], F.col("y.node").alias(_NODE))
+    if repeated:
+        rows = rows.dropDuplicates([_NODE])
+    rows = settle_by(rows, _NODE)
+    texts = rows.select(F.col(_NODE).alias("doc_id"), "text")
     found = settle(texts.mapInArrow(_digests(p), "kind int, id long, n long, vector binary"))
     total = found.agg(F.sum("n")).first()[0] or 0
     table = spark.sparkContext.broadcast(_order_table(found.where("kind = 1"), total, p))
@@ -430,19 +498,14 @@ def _grouped(docs: DataFrame, p: JaccardParams) -> tuple[DataFrame, DataFrame, D
     many = met.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("id"), "n")
     links = links.unionByName(_late_links(many, links, sets, texts, p))
     tidy(spark)
-    # Back to all documents.
+    # Back to all texts.
     groups = components(links)
-    sizes = sets.select(F.col("id").alias("lead"), F.col("n").alias("n_shingles"))
+    sizes = sets.select(F.col("id").alias("node"), F.col("n").alias("n_shingles"))
     per_text = (
-        same.join(sizes, "lead", "left").join(groups.withColumnRenamed("id", "lead"), "lead", "left")
-        .select("h", "c", "l", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"),
-                F.when(F.col("n_shingles") > 0, F.coalesce("component", "lead")).alias("component_id"))
+        same.join(sizes, "node", "left").join(groups.withColumnRenamed("id", "node"), "node", "left")
+        .select(*_DIGEST, "node", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"), F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")).alias("component"))
     )
-    match = [ids[k].eqNullSafe(per_text[k]) for k in ("h", "c", "l")]
-    groups = ids.join(per_text, match, "left").select(
-        "doc_id", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
-    )
-    return groups, rows, others
+    return _Groups(ids, per_text, links, rows, several)
 
 
 def _late_links(many: DataFrame, links: DataFrame, sets: DataFrame, texts: DataFrame, p: JaccardParams) -> DataFrame:
@@ -503,14 +566,12 @@ def one_of_each(docs: DataFrame, params: JaccardParams = JaccardParams()) -> Dat
 
     Rows without words belong to no group and stay as they are. All others are taken from the bucketed rows that the
     groups were found on, so texts are not moved again. Of rows that repeat an id and its text one is kept; where an id
-    has several texts, the groups are those of the one with the lowest digest and the other texts stay, once each.
+    has several texts, each is in the group of its own links.
     """
-    groups, rows, others = _grouped(docs, params)
-    drop = groups.where("doc_id <> component_id").select("doc_id")
+    found = _grouped(docs, params)
+    drop = found.texts.where("component <> node").select(F.col("node").alias(_NODE))
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    kept = rows.where(worded).join(drop, "doc_id", "left_anti").select(docs.columns)
-    if others is not None:
-        kept = kept.unionByName(others.where(worded).select(docs.columns))
+    kept = found.rows.where(worded).join(drop, _NODE, "left_anti").select(docs.columns)
     return kept.unionByName(docs.where(~worded | F.col("doc_id").isNull()))
 
 

@@ -84,6 +84,52 @@ def test_one_of_each_keeps_every_text_of_a_repeated_id(spark, docs_of):
     assert {t for _, t in kept} == every and len([t for _, t in kept if t.startswith("another")]) == 1
 
 
+def test_texts_of_a_repeated_id_all_link(spark, docs_of):
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(300)]
+    families = [family(rng, words, 4, 3) for _ in range(6)]
+    # (id, text): ids 1, 2 and 50 stand with texts of several families, one of them empty, one twice.
+    rows = [(10 * f + k, t) for f, texts in enumerate(families) for k, t in enumerate(texts)]
+    rows += [(1, families[3][0]), (1, families[3][0]), (2, families[4][1] + " more words"), (2, ""), (2, None), (50, "a lonely text of an id that is there twice"), (50, "another lonely text of it"), (None, families[2][0]), (None, "x")]
+    rows += [(99, "one"), (99, "two words"), (99, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = sorted({(i, t) for i, t in rows if i is not None}, key=repr)
+    groups = brute([t for _, t in texts])
+    links = [(number, group) for number, (_, group) in groups.items()]
+    number = {i: len(texts) + k for k, i in enumerate(sorted({i for i, _ in texts}))}
+    links += [(k, number[i]) for k, (i, t) in enumerate(texts) if (t or "").split()]
+    reached = roots(range(len(texts) + len(number)), links)
+    least = {}
+    for i, node in number.items():
+        least[reached[node]] = min(i, least.get(reached[node], i))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_groups(docs).collect()}
+    assert {i: c for i, c in got.items() if i is not None} == {i: least[reached[node]] for i, node in number.items()} and got[None] is None
+    # One text of each group stays, and every text that is near no other.
+    kept = [(r["doc_id"], r["text"]) for r in jaccard.one_of_each(docs).collect()]
+    worded = [k for k, (_, t) in enumerate(texts) if (t or "").split()]
+    assert len([t for i, t in kept if i is not None and (t or "").split()]) == len({groups[k][1] for k in worded})
+    assert (2, "") in kept and (2, None) in kept and (99, "") in kept and (None, "x") in kept
+
+
+def test_a_key_that_one_task_meets_50000_times_is_split(spark):
+    from pyspark.sql import functions as F
+
+    p = jaccard.JaccardParams()
+    words = " ".join(f"word{i}" for i in range(28))
+    texts = spark.range(0, 50_000, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit(words + " x"), F.col("id").cast("string"), F.lit(" end")).alias("text"))
+    found = texts.mapInArrow(jaccard._digests(p), "kind int, id long, n long, vector binary").cache()
+    table = jaccard._order_table(found.where("kind = 1"), found.agg(F.sum("n")).first()[0], p)
+    keyed = texts.mapInArrow(jaccard._prefix_keys(p, spark.sparkContext.broadcast(table)), "id long, n int, keys array<struct<key:long,salt:int>>")
+    pieces = keyed.select(F.explode("keys").alias("k")).groupBy("k.key", "k.salt").count().orderBy(F.desc("count")).collect()
+    hot = [r for r in pieces if r["salt"]]
+    assert sum(r["count"] for r in hot if r["key"] == hot[0]["key"]) == 50_000 and pieces[0]["count"] <= 2 * p.piece
+
+
+def test_counts_beyond_a_byte_are_exact():
+    counts = np.array([0, 1, 255, 256, 70_000, 5_000_000_000, 3], np.int64)
+    assert jaccard._unpacked_counts(jaccard._packed_counts(counts)).tolist() == counts.tolist()
+
+
 def test_long_texts_hash_as_short_ones(monkeypatch):
     import pyarrow as pa
 
