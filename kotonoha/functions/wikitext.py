@@ -9,6 +9,10 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 from .charclass import SPACE, TRIM
 
 # Brackets that reverse and forward scans look for, in order of preference at equal places. Fixed values.
@@ -279,3 +283,25 @@ def cut_section(inner: str, name: str) -> str:
 
 def plain_reading(text: str) -> str:
     return text.translate(dict.fromkeys(map(ord, " -_・=＝")))
+
+
+# ---------------------------------------------------------------- native forms
+
+
+def first_of_column(text: Column, *marks: str) -> Column:
+    """The place, from 1, of the mark that comes first; null where there is none."""
+    return F.least(*[F.nullif(F.instr(text, mark), F.lit(0)) for mark in marks]) if len(marks) > 1 else F.nullif(F.instr(text, marks[0]), F.lit(0))
+
+
+def snip_column(text: Column, opening: str, closing: str) -> Column:
+    """``snip`` as a column. Only texts in which a span holds another, or does not close, go to Python."""
+    pieces = F.split(text, re.escape(opening), -1)
+    rest = F.slice(pieces, F.lit(2), F.size(pieces))
+    plain = F.forall(rest, lambda p: F.contains(p, F.lit(closing)))
+    cut = F.transform(rest, lambda p: F.substr(p, F.instr(p, closing) + len(closing)))
+
+    def nested(texts: pd.Series) -> pd.Series:
+        return pd.Series([snip(x, opening, closing) if x is not None else None for x in texts], dtype=object)
+
+    scanned = F.pandas_udf(nested, "string")(F.when(plain, None).otherwise(text))
+    return F.when(plain, F.concat(F.element_at(pieces, 1), F.array_join(cut, ""))).otherwise(scanned)

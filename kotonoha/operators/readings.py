@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 from ..functions import wikitext as w
 from ..functions.charclass import ALNUM, ELISION, HIRAGANA, KANJI, KATAKANA, SPACE, TRIM, has, only
 from ..functions.kana import convert
@@ -44,6 +47,10 @@ def longest_piece(text: str, mark: str) -> str:
     return max(text.split(mark), key=len)
 
 
+def longest_piece_column(text: Column, mark: str) -> Column:
+    return F.aggregate(F.split(text, re.escape(mark), -1), F.lit(""), lambda best, piece: F.when(F.char_length(piece) > F.char_length(best), piece).otherwise(best))
+
+
 def spoken_part(text: str) -> str:
     """Up to the first space, and on if kana or elision marks follow it."""
     return _SPOKEN.match(text)[1].strip(TRIM)

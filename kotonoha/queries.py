@@ -18,7 +18,6 @@ from .functions import strings as st
 from .functions import wikitext
 from .functions.charclass import only_column
 from .operators import html_nodes, readings, titles
-from .plans.modes import text_udf
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,8 +83,8 @@ def noise_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT page_id, length(regexp_replace(html, '<!--.*?-->', '', 'gs')) AS n_chars, md5(regexp_replace(html, '<!--.*?-->', '', 'gs')) AS digest FROM pages")
 def snip_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spans between marks removed, by the cleaner's own scan."""
-    out = text_udf(lambda x: wikitext.snip(x, "<!--", "-->"), "string")("html")
+    """Spans between marks removed."""
+    out = wikitext.snip_column(F.col("html"), "<!--", "-->")
     return _table(spark, sf_dir, "pages").select("page_id", F.char_length(out).cast("long").alias("n_chars"), F.md5(F.encode(out, "UTF-8")).alias("digest"))
 
 
@@ -225,8 +224,7 @@ SELECT doc_id, list_reduce(string_split(text, ' '), lambda a, b: CASE WHEN lengt
 """)
 def longest_piece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first of the longest pieces between spaces, over the whole text."""
-    best = text_udf(lambda x: readings.longest_piece(x, " ") if x is not None else None, "string")("text")
-    return _table(spark, sf_dir, "documents").select("doc_id", best.alias("longest"))
+    return _table(spark, sf_dir, "documents").select("doc_id", readings.longest_piece_column(F.col("text"), " ").alias("longest"))
 
 
 @query("""
@@ -235,12 +233,8 @@ FROM documents
 """)
 def first_of_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of whichever mark comes first."""
-
-    def first(text: str | None) -> int:
-        hit = wikitext.first_of(text, (" the ", " der ", " le ")) if text is not None else None
-        return hit[0] + 1 if hit else 1_000_000_000
-
-    return _table(spark, sf_dir, "documents").select("doc_id", text_udf(first, "long")("text").alias("first_hit"))
+    first = F.coalesce(wikitext.first_of_column(F.col("text"), " the ", " der ", " le "), F.lit(1_000_000_000))
+    return _table(spark, sf_dir, "documents").select("doc_id", first.cast("long").alias("first_hit"))
 
 
 @query("""

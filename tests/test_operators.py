@@ -224,3 +224,21 @@ def test_rule_trie_is_an_alternation_in_order():
         assert phonemes.RuleTrie(rules).rewrite(text) == pattern.sub(lambda m: rules[m[0]], text)
     assert phonemes.to_kana("S T ER0", ((1, "S T ER", "すたー"), (1, "S T", "すと"))) == "すたー"
     assert phonemes.to_kana("S T ER0", ((1, "S T", "すと"), (1, "S T ER", "すたー"))) == "すと" + phonemes.to_kana("ER0")
+
+
+def test_native_forms_of_scans(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(12)
+    texts = ["".join(rng.choices(["[[", "]]", "a", "b ", "漢", "."], weights=[1, 1, 3, 3, 1, 1], k=rng.randint(0, 25))) for _ in range(300)] + ["", None, "[[", "]]", "[[a]]" * 3000, "x" * 50_000 + "[[y]]z"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    t = F.col("t")
+    rows = df.select("t", w.snip_column(t, "[[", "]]").alias("snip"), w.first_of_column(t, "漢", "]]", "b").alias("first"), readings.longest_piece_column(t, ".").alias("piece")).collect()
+    for r in rows:
+        if r["t"] is None:
+            assert (r["snip"], r["first"], r["piece"]) == (None, None, None)
+            continue
+        hit = w.first_of(r["t"], ("漢", "]]", "b"))
+        assert (r["snip"], r["first"], r["piece"]) == (w.snip(r["t"], "[[", "]]"), hit and hit[0] + 1, readings.longest_piece(r["t"], ".")), r["t"][:80]
