@@ -235,7 +235,7 @@ def url_decode(s: Column) -> Column:
 
 
 def mime_header(s: Column) -> Column:
-    return F.concat(F.lit("=?utf-8?B?"), F.base64(F.encode(s, "UTF-8")), F.lit("?="))
+    return F.concat(F.lit("=?utf-8?B?"), base64_encode(s), F.lit("?="))
 
 
 # ---- paths and URLs

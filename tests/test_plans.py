@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from kotonoha import page_queries, plans, queries
+from kotonoha import page_queries, plans, queries, text_queries
 from kotonoha.functions import charclass, kana, strings as st
 from kotonoha.operators import synonyms, titles
 from kotonoha.sources import pages as source
@@ -193,7 +193,8 @@ def test_string_functions(spark):
     assert [f"{r['d']:%m%d}" for r in days] == "0101 0108 0211 0212 0223 0320 0429 0503 0504 0505 0506 0715 0811 0812 0916 0922 0923 1014 1103 1104 1123".split()
 
 
-QUERIES, ORACLE_SQL = queries.QUERIES | page_queries.QUERIES, queries.ORACLE_SQL | page_queries.ORACLE_SQL
+QUERIES = queries.QUERIES | page_queries.QUERIES | text_queries.QUERIES
+ORACLE_SQL = queries.ORACLE_SQL | page_queries.ORACLE_SQL | text_queries.ORACLE_SQL
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
