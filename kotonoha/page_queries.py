@@ -6,12 +6,14 @@ number of the page in kana digits, so that they are unique and no name is the be
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import plans
+from .functions import wikitext as w
 from .sources import pages as page_source
 from .sources.folders import work_folder
 
@@ -152,3 +154,44 @@ def export_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.replace(F.replace(F.replace("html", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     page_source.write_pages(made.select("title", text.alias("inner")), folder)
     return page_source.read_pages(spark, folder).select("title", F.char_length("inner").cast("long").alias("n_chars"), F.md5(F.encode("inner", "UTF-8")).alias("digest"))
+
+
+@query(_NAMED + r"""
+, t AS (
+  SELECT k.*, '{{会社' || chr(10) || '|略称 = ワ' || hira || ' ' || chr(10) || '|代表 = [[' || kata || '|x]]' || chr(10) || '}}' AS box, '''''''' || kata || '''''''（' || hira || '）は&lt;ref name=a&gt;注' || digits || '&lt;/ref&gt;会社。' AS said,
+    replace(replace(replace(p.html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS text FROM k JOIN pages p USING (page_id)
+)
+SELECT page_id, 'ワ' || hira AS boxed, md5('<text>' || box || chr(10) || '''''''' || kata || '''''''（' || hira || '）は会社。') AS head, md5('<text>' || box || chr(10) || '''''''' || kata || '''''''（' || hira || '）は会社。') AS without_notes,
+  md5(chr(10) || '== 丙 ==' || chr(10) || text) AS section, md5('<text>' || box || chr(10) || said || chr(10) || '== 乙 ==' || chr(10) || 'い' || digits || chr(10) || '== 丙 ==' || chr(10) || text || chr(10) || '== 丁 ==' || chr(10)) AS cut,
+  'あ' || digits AS first_section, length(box) - 2 AS box_end, length('<text>' || box || chr(10)) + 3 AS bold_start, length('<text>' || box || chr(10)) + 3 + length(kata) AS bold_end, kata AS stripped, kata || 'と' || hira || '|' || digits AS unlinked,
+  kata || '、' || hira AS listed, replace(hira, 'ー', '') AS plain, '一' || digits || '三' AS tagless, '前' || hira || '後[[' || kata || ']]' AS snipped_once, length(kata) + 1 AS last_mark, kata || ' & ' || hira AS cleaned
+FROM t
+""")
+def wikitext_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Infobox, head, notes, sections, brackets, names and tags of a page made of each row, its whole HTML in one section."""
+    kata, hira, digits = F.col("kata"), F.col("hira"), F.col("digits")
+    box = F.concat(F.lit("{{会社\n|略称 = ワ"), hira, F.lit(" \n|代表 = [["), kata, F.lit("|x]]\n}}"))
+    inner = F.concat(
+        F.lit("<text>"), box, F.lit("\n'''"), kata, F.lit("'''（"), hira, F.lit("）は&lt;ref name=a&gt;注"), digits, F.lit("&lt;/ref&gt;会社。\n== 甲 ==\nあ"), digits, F.lit("\n== 乙 ==\nい"), digits, F.lit("\n== 丙 ==\n"), F.col("text"), F.lit("\n== 丁 ==\n")
+    )
+    made = _named(spark, sf_dir).select("page_id", "kata", "hira", "digits", F.inline(F.array(F.struct(inner.alias("inner"), box.alias("box")))))
+
+    def kernels(name: str, sound: str, number: str, body: str, boxed: str) -> tuple:
+        head = w.head_of(body)
+        bold = w.any_bracket(body, len("<text>") + len(boxed))
+        return (
+            w.infobox(head, "略称"), head, w.drop_elements(body.partition("\n==")[0], "ref"), w.section(body, "丙"), w.cut_section(body, "甲"), w.section(body, "甲").split("\n")[-1], w.bracket(boxed, "{{", "}}")[2], bold[1], bold[2],
+            w.strip_disambiguation(f"{name} ({number})"), w.without_links(f"{name}と[[{sound}|{number}]]"), w.without_et_cetera(f"{name}、{sound}など"), w.plain_reading(f"{sound} ・"), w.drop_tag_marks(f"一&lt;br /&gt;{number}&lt;br&gt;三", "br"),
+            w.snip(f"前{{{{x}}}}{sound}後[[{name}]]", "{{", "}}", once=True), w.last_of(f"「{name}」{sound}", ("」", "「"), len(name) + 1, 0)[0], w.clean(f" {name} &amp; &lt;b&gt;{sound}&lt;/b&gt;&lt;!-- x --&gt; "),
+        )
+
+    kind = "boxed string, head string, without_notes string, section string, cut string, first_section string, box_end long, bold_start long, bold_end long, stripped string, unlinked string, listed string, plain string, tagless string, snipped_once string, last_mark long, cleaned string"
+
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        names = [part.split()[0] for part in kind.split(", ")]
+        for columns in batches:
+            yield pd.DataFrame([kernels(*row) for row in zip(*columns, strict=True)], columns=names)
+
+    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.DataFrame]}
+    rows = made.select("page_id", F.pandas_udf(run, kind)("kata", "hira", "digits", "inner", "box").alias("k")).select("page_id", "k.*")
+    return rows.withColumns({c: F.md5(F.encode(c, "UTF-8")) for c in ("head", "without_notes", "section", "cut")})
