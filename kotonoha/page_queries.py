@@ -195,3 +195,66 @@ def wikitext_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
     run.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.DataFrame]}
     rows = made.select("page_id", F.pandas_udf(run, kind)("kata", "hira", "digits", "inner", "box").alias("k")).select("page_id", "k.*")
     return rows.withColumns({c: F.md5(F.encode(c, "UTF-8")) for c in ("head", "without_notes", "section", "cut")})
+
+
+_KANJI_DIGITS = "零一二三四五六七八九"
+
+
+def _formed(spark: SparkSession, sf_dir: str, title: Column, forms: list[Column]) -> DataFrame:
+    """(ordinal, title, inner) of pages whose lead has one of the forms, with the page's whole HTML behind it."""
+    lead = F.concat(F.lit("<text>"), _chosen(F.col("page_id"), forms), F.lit("\n"), F.col("text"), F.lit("\n== 外部 ==\n"))
+    return _named(spark, sf_dir).select(F.col("page_id").alias("ordinal"), F.inline(F.array(F.struct(title.alias("title"), lead.alias("inner")))))
+
+
+def _around(*parts: str, **columns: Column) -> Column:
+    """Texts and, by their names, columns, one after the other."""
+    return F.concat(*[columns[p] if p in columns else F.lit(p) for p in parts])
+
+
+@query(_NAMED + f"""
+SELECT '山' || translate(page_id::VARCHAR, '{_DIGITS}', '{_KANJI_DIGITS}') || '川' AS title, 'ヤマ' || digits || 'カワ' || CASE WHEN page_id % 10 = 8 THEN 'イ' ELSE '' END AS reading FROM k
+""")
+def reading_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of titles in kanji, stated in ten ways: brackets, infobox, ruby, another bold name, dates, italics, links, two readings."""
+    title = F.concat(F.lit("山"), F.translate(F.col("page_id").cast("string"), _DIGITS, _KANJI_DIGITS), F.lit("川"))
+    c = {"T": title, "R": F.concat(F.lit("やま"), F.translate("digits", _KATA_DIGITS, _HIRA_DIGITS), F.lit("かわ"))}
+    forms = [
+        _around("'''", "T", "'''（", "R", "）は地名。", **c), _around("'''", "T", "'''（", "R", " {{lang|en|x}}、別）は地名。", **c), _around("{{大学\n|ふりがな = ", "R", "、別\n}}\n'''", "T", "'''は地名。", **c),
+        _around("'''", "T", "'''（{{音声ルビ|", "R", "}}、x）は地名。", **c), _around("'''別線'''（", "R", "）は地名。", **c), _around("'''", "T", "'''（", "R", "、1990年 - ）は人名。", **c),
+        _around("'''", "T", "''' （''", "R", "'', '''K''') は", **c), _around("'''[[", "T", "]]'''（", "R", "）は", **c), _around("'''", "T", "'''（", "R", "／", "R", "い）は", **c), _around("『'''", "T", "'''』（", "R", "）は", **c),
+    ]
+    return plans.readings(_formed(spark, sf_dir, title, forms))
+
+
+@query(_NAMED + """
+SELECT 'バス' || kata AS reading, 'bus ' || regexp_replace(name, '[0-9]', '', 'g') AS english FROM k JOIN n USING (page_id) WHERE page_id % 10 < 9 AND regexp_matches(name, '[a-z]')
+""")
+def english_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English words of titles in katakana, stated in nine ways; a tenth states none."""
+    word = F.concat(F.lit("bus "), F.translate(F.regexp_replace("kata", f"[{_KATA_DIGITS}]", ""), _KATA, _LETTERS))
+    title = F.concat(F.lit("バス"), F.col("kata"))
+    c = {"T": title, "W": word}
+    forms = [
+        _around("'''", "T", "'''（", "W", "）は", **c), _around("'''", "T", "'''（{{lang-en-short|", "W", "}}）は", **c), _around("'''", "T", "'''（英: ", "W", "）は", **c), _around("'''", "T", "'''('''", "W", "''')は", **c),
+        _around("'''", "T", "'''（{{Lang-en-short|[[w:", "W", "|", "W", "]]}}）とは", **c), _around("'''", "T", "'''（", "W", "、'''別'''）", **c), _around("'''", "T", "'''（英語: ", "W", "）は", **c),
+        _around("'''", "T", "'''（{{en|", "W", "}}）は", **c), _around("'''", "T", "'''（{{lang|en|", "W", "}}）は", **c), _around("'''", "T", "'''は乗り物。", **c),
+    ]
+    return plans.english_words(_formed(spark, sf_dir, title, forms))
+
+
+@query(_NAMED + f"""
+SELECT kata || '社' AS title, [CASE page_id % 5 WHEN 0 THEN hira WHEN 1 THEN hira WHEN 2 THEN '甲乙' || translate(page_id::VARCHAR, '{_DIGITS}', '{_KANJI_DIGITS}') WHEN 3 THEN 'ワ' || kata ELSE 'ヲ' || hira END] AS synonyms FROM k
+""")
+def synonym_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that a lead states before or behind a mark, after a colon, in a bracket, or a redirect brings."""
+    title = F.concat(F.col("kata"), F.lit("社"))
+    c = {"T": title, "H": F.col("hira"), "K": F.concat(F.lit("甲乙"), F.translate(F.col("page_id").cast("string"), _DIGITS, _KANJI_DIGITS)), "W": F.concat(F.lit("ワ"), F.col("kata"))}
+    forms = [
+        _around("'''", "T", "'''は、略称は「", "H", "」。", **c), _around("'''", "T", "'''は会社。「", "H", "」とも呼ばれる。", **c), _around("'''", "T", "'''は会社。通称：", "K", "。", **c),
+        _around("'''", "T", "'''（", "W", "）は会社。", **c), _around("'''", "T", "'''は会社。", **c),
+    ]
+    pages = _formed(spark, sf_dir, title, forms)
+    redirects = _named(spark, sf_dir).where("page_id % 5 = 4").select(
+        (F.col("page_id") + 10_000_000_000).alias("ordinal"), F.concat(F.lit("ヲ"), F.col("hira")).alias("title"), F.concat(F.lit("<text>#REDIRECT [["), title, F.lit("]]")).alias("inner")
+    )
+    return plans.synonyms(pages.unionByName(redirects))
