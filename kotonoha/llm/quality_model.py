@@ -1,7 +1,7 @@
 """Quality classifier: hashed word n-grams, logistic regression with follow-the-regularised-leader updates.
 
 A text's features are its single words, pairs of neighbouring words, runs of symbols, a marker for a word wholly in capitals
-and one for a word said twice in a row, all hashed into ``2**bits`` weights; each counts by its share of the text. Training (driver, numpy) walks over
+and one for a word said twice in a row, all hashed into ``2**bits`` weights; each counts by its share of the text. Training (one task, numpy) walks over
 a bounded sample of labelled texts with per-coordinate FTRL-Proximal steps. Scoring is one sparse dot product per text.
 
 Defined cases: a null text is an empty one; an empty text has only the bias; labels other than 0 and 1 and texts over
@@ -116,24 +116,37 @@ def fit(texts: list[str], labels: np.ndarray, params: FtrlParams = FtrlParams())
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str, held_out, params: FtrlParams = FtrlParams(), fitter=fit):
-    """Fits on the bounded sample of labelled rows for which ``held_out`` (a Column over doc_id) is false."""
-    texts, y = labelled(docs, labels, label, held_out, params.sample, params.longest)
-    return fitter(texts, y, params)
+def train(docs: DataFrame, labels: DataFrame, label: str, held_out, params: FtrlParams = FtrlParams()) -> FtrlModel:
+    """Fits on the bounded sample of labelled rows for which ``held_out`` (a Column over doc_id) is false.
 
+    One task fits; the driver gets the weights alone, never the texts.
+    """
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, held_out, sample: int, longest: int):
-    """Texts and labels of at most ``sample`` labelled documents of at most ``longest`` bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, y = [], []
+        for batch in batches:
+            texts += arrays(batch, "text").to_pylist()
+            y += arrays(batch, "_label").to_pylist()
+        model = fit(texts, np.array(y, float), params)
+        yield pa.record_batch([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias])], ["weights", "bias"])
+
+    got = labelled(docs, labels, label, held_out, params.sample, params.longest).mapInArrow(run, "weights binary, bias double").toArrow()
+    if not got.num_rows:
+        return fit([], np.zeros(0), params)
+    return FtrlModel(params, np.frombuffer(got.column("weights")[0].as_py()), got.column("bias")[0].as_py())
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, held_out, sample: int, longest: int) -> DataFrame:
+    """Rows (doc_id, text, _label), in order, of at most ``sample`` labelled documents of at most ``longest`` bytes."""
     chosen = sample_of(
         labels.select("doc_id", F.col(label).alias("_label")).where(F.col("_label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out),
         "doc_id", sample,
     )
-    found = (
+    return (
         docs.select("doc_id", "text").where(F.octet_length("text") <= longest)
         .join(F.broadcast(chosen), "doc_id")
         .select("doc_id", "text", "_label").orderBy("doc_id", "text", "_label").limit(sample)
-    ).toArrow()
-    return found.column("text").to_pylist(), found.column("_label").to_numpy().astype(float)
+    )
 
 
 def scored(docs: DataFrame, model, *, id_column: str = "doc_id", text: str = "text") -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import bytewords as bw
-from .quality_model import held_out, scored, train, verdicts
+from .quality_model import held_out, scored, labelled, verdicts
 
 
 @dataclass(frozen=True)
@@ -244,5 +244,6 @@ def fit(texts: list[str], labels: np.ndarray, p: ToxicityParams = ToxicityParams
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams()) -> DataFrame:
     """Columns doc_id, held_out, score (1 is toxic), predicted, for every document."""
-    model = train(docs, labels, "toxic", held_out(2, 4), params, fit)
+    found = labelled(docs, labels, "toxic", held_out(2, 4), params.sample, params.longest).toArrow()
+    model = fit(found.column("text").to_pylist(), found.column("_label").to_numpy().astype(float), params)
     return verdicts(scored(docs, model), held_out(2, 4), params.threshold)
