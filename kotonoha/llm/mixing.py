@@ -73,15 +73,15 @@ def _share(nodes: DataFrame, parent: list[str], key: str) -> DataFrame:
 
 
 def leaf_budgets(leaves: DataFrame, p: MixParams) -> DataFrame:
-    """From (domain, lang, source, tokens): adds the leaf's budget in tokens."""
+    """From (domain, lang, source, tokens): adds the leaf's budget in tokens. Each level is written, so that plans stay small."""
     leaves = leaves.withColumn("capacity", F.col("tokens") * p.max_epochs)
     # One row for each domain: the root's budget is a sum over them.
     domains = leaves.groupBy("domain").agg(F.sum("capacity").alias("capacity"), F.sum("tokens").alias("held")).withColumn("_root", F.lit(0))
     given = F.floor(F.sum("held").over(Window.partitionBy("_root")) * p.budget).cast("long")
     domains = domains.withColumn("weight", _weight(p.weights, F.col("domain"))).withColumn("given", given)
-    domains = _share(domains, ["_root"], "domain").select("domain", F.col("budget").alias("given"))
+    domains = settle(_share(domains, ["_root"], "domain").select("domain", F.col("budget").alias("given")))
     langs = leaves.groupBy("domain", "lang").agg(F.sum("capacity").alias("capacity")).withColumn("weight", _weight(p.weights, F.concat_ws("/", "domain", "lang")))
-    langs = _share(langs.join(domains, "domain"), ["domain"], "lang").select("domain", "lang", F.col("budget").alias("given"))
+    langs = settle(_share(langs.join(domains, "domain"), ["domain"], "lang").select("domain", "lang", F.col("budget").alias("given")))
     leaves = leaves.withColumn("weight", _weight(p.weights, F.concat_ws("/", *LEAF)))
     return _share(leaves.join(langs, ["domain", "lang"]), ["domain", "lang"], "source").select(*LEAF, "tokens", "budget")
 
@@ -110,19 +110,22 @@ def mixed(docs: DataFrame, params: MixParams = MixParams(), domain: Column | Non
         .withColumn("left", F.when(F.col("tokens") > 0, F.col("budget") % F.col("tokens")).otherwise(F.lit(0)))
         .select(*LEAF, "passes", "left")
     )
-    units = units.join(budgets, LEAF).withColumn("hash", F.xxhash64(F.lit(p.seed), F.col("passes"), F.col("doc_id")))
+    placed = units.join(budgets, LEAF).withColumn("hash", F.xxhash64(F.lit(p.seed), F.col("passes"), F.col("doc_id")))
     first, second = F.shiftrightunsigned("hash", 52), F.shiftrightunsigned("hash", 40).bitwiseAND(4095)
     # Quota ends: slice, slice of the slice, then the documents there in order.
-    cut = settle(_cut(units.where("left > 0"), first, LEAF, "left").select(*LEAF, F.col("cut.slice").alias("s1"), F.col("cut.rest").alias("r1")))
-    at = units.join(cut, LEAF).where(first == F.col("s1"))
-    cut2 = settle(_cut(at, second, LEAF, "r1").select(*LEAF, F.col("cut.slice").alias("s2"), F.col("cut.rest").alias("r2")))
+    cut = settle(_cut(placed.where("left > 0"), first, LEAF, "left").select(*LEAF, F.col("cut.slice").alias("s1"), F.col("cut.rest").alias("r1")))
+    at = placed.join(cut, LEAF).where(first == F.col("s1"))
+    cut2 = _cut(at, second, LEAF, "r1").select(*LEAF, F.col("cut.slice").alias("s2"), F.col("cut.rest").alias("r2"))
+    # One row for each source holds all that its documents ask for.
+    plan = settle(budgets.join(cut, LEAF, "left").join(cut2, LEAF, "left").select(*LEAF, "passes", "left", "s1", "s2", "r2"))
+    placed = units.join(plan, LEAF).withColumn("hash", F.xxhash64(F.lit(p.seed), F.col("passes"), F.col("doc_id")))
     in_order = Window.partitionBy(*LEAF).orderBy(F.shiftrightunsigned("hash", 1), "hash", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    edge = at.join(cut2, LEAF).where(second == F.col("s2")).withColumn("_upto", F.sum("tokens").over(in_order))
+    edge = placed.where((F.col("left") > 0) & (first == F.col("s1")) & (second == F.col("s2"))).withColumn("_upto", F.sum("tokens").over(in_order))
     edge = edge.where("_upto <= r2").select("doc_id", *LEAF, "tokens", F.col("passes").alias("epoch"))
-    marks = units.where("left > 0").join(cut, LEAF, "left").join(cut2, LEAF, "left")
-    before = marks.where((first < F.col("s1")) | ((first == F.col("s1")) & (second < F.col("s2")))).select("doc_id", *LEAF, "tokens", F.col("passes").alias("epoch"))
-    whole = units.where("passes > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("passes") - 1))).select("doc_id", *LEAF, "tokens", "epoch")
-    return whole.unionByName(before).unionByName(edge)
+    before = F.coalesce((F.col("left") > 0) & ((first < F.col("s1")) | ((first == F.col("s1")) & (second < F.col("s2")))), F.lit(False))
+    passes = F.when(F.col("passes") > 0, F.sequence(F.lit(0), F.col("passes") - 1)).otherwise(F.array().cast("array<int>"))
+    epochs = F.concat(passes, F.when(before, F.array("passes")).otherwise(F.array().cast("array<int>")))
+    return placed.select("doc_id", *LEAF, "tokens", F.explode(epochs).alias("epoch")).unionByName(edge)
 
 
 def mixed_documents(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
