@@ -46,6 +46,11 @@ def domain_of(source: Column) -> Column:
     return F.when(number % 4 == 3, "library").when(number % 7 == 5, "forum").otherwise("web")
 
 
+def _other() -> Column:
+    """Hash of the text of a row without an id; a null adds nothing to a hash, so rows with an id are ordered by it alone."""
+    return F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("other")
+
+
 def tokens_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
@@ -96,12 +101,16 @@ def _cut(units: DataFrame, bits: Column, over: list[str], left: str) -> DataFram
 
 def mixed(docs: DataFrame, params: MixParams = MixParams(), domain: Column | None = None) -> DataFrame:
     """Rows (doc_id, domain, lang, source, tokens, epoch) of the selected documents, one for each pass that takes one."""
-    p = params
+    return _selected(docs, params, domain).drop("other")
+
+
+def _selected(docs: DataFrame, p: MixParams, domain: Column | None = None) -> DataFrame:
+    """``mixed`` with ``other``: what tells rows without an id apart, their text's hash; null for rows that have one."""
     source, lang = F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none"))
     units = settle(
-        docs.select("doc_id", lang.alias("lang"), source.alias("source"), tokens_of(F.col("text")).alias("tokens"))
+        docs.select("doc_id", lang.alias("lang"), source.alias("source"), tokens_of(F.col("text")).alias("tokens"), _other())
         .withColumn("domain", domain if domain is not None else domain_of(F.col("source")))
-        .select("doc_id", *LEAF, "tokens")
+        .select("doc_id", "other", *LEAF, "tokens")
     )
     leaves = settle(units.groupBy(*LEAF).agg(F.sum("tokens").alias("tokens")))
     budgets = settle(
@@ -110,7 +119,7 @@ def mixed(docs: DataFrame, params: MixParams = MixParams(), domain: Column | Non
         .withColumn("left", F.when(F.col("tokens") > 0, F.col("budget") % F.col("tokens")).otherwise(F.lit(0)))
         .select(*LEAF, "passes", "left")
     )
-    placed = units.join(budgets, LEAF).withColumn("hash", F.xxhash64(F.lit(p.seed), F.col("passes"), F.col("doc_id")))
+    placed = units.join(budgets, LEAF).withColumn("hash", F.xxhash64(F.lit(p.seed), F.col("passes"), F.col("doc_id"), F.col("other")))
     first, second = F.shiftrightunsigned("hash", 52), F.shiftrightunsigned("hash", 40).bitwiseAND(4095)
     # Quota ends: slice, slice of the slice, then the documents there in order.
     cut = settle(_cut(placed.where("left > 0"), first, LEAF, "left").select(*LEAF, F.col("cut.slice").alias("s1"), F.col("cut.rest").alias("r1")))
@@ -118,29 +127,29 @@ def mixed(docs: DataFrame, params: MixParams = MixParams(), domain: Column | Non
     cut2 = _cut(at, second, LEAF, "r1").select(*LEAF, F.col("cut.slice").alias("s2"), F.col("cut.rest").alias("r2"))
     # One row for each source holds all that its documents ask for.
     plan = settle(budgets.join(cut, LEAF, "left").join(cut2, LEAF, "left").select(*LEAF, "passes", "left", "s1", "s2", "r2"))
-    placed = units.join(plan, LEAF).withColumn("hash", F.xxhash64(F.lit(p.seed), F.col("passes"), F.col("doc_id")))
+    placed = units.join(plan, LEAF).withColumn("hash", F.xxhash64(F.lit(p.seed), F.col("passes"), F.col("doc_id"), F.col("other")))
     in_order = Window.partitionBy(*LEAF).orderBy(F.shiftrightunsigned("hash", 1), "hash", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     edge = placed.where((F.col("left") > 0) & (first == F.col("s1")) & (second == F.col("s2"))).withColumn("_upto", F.sum("tokens").over(in_order))
-    edge = edge.where("_upto <= r2").select("doc_id", *LEAF, "tokens", F.col("passes").alias("epoch"))
+    edge = edge.where("_upto <= r2").select("doc_id", "other", *LEAF, "tokens", F.col("passes").alias("epoch"))
     before = F.coalesce((F.col("left") > 0) & ((first < F.col("s1")) | ((first == F.col("s1")) & (second < F.col("s2")))), F.lit(False))
     passes = F.when(F.col("passes") > 0, F.sequence(F.lit(0), F.col("passes") - 1)).otherwise(F.array().cast("array<int>"))
     epochs = F.concat(passes, F.when(before, F.array("passes")).otherwise(F.array().cast("array<int>")))
-    return placed.select("doc_id", *LEAF, "tokens", F.explode(epochs).alias("epoch")).unionByName(edge)
+    return placed.select("doc_id", "other", *LEAF, "tokens", F.explode(epochs).alias("epoch")).unionByName(edge)
 
 
 def mixed_documents(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     """The selected documents with all their columns, repeated for each pass that takes them."""
-    key = ["_id", "_none", "_l", "_s", "_t"]
+    key = ["_id", "_other", "_l", "_s", "_t"]
     filler = F.lit(0).cast(docs.schema["doc_id"].dataType)
 
-    def keys(tokens: Column) -> dict[str, Column]:
-        # Plain keys, null ids marked: numbering and join then share one shuffle.
-        return {"_id": F.coalesce("doc_id", filler), "_none": F.col("doc_id").isNull(), "_l": F.coalesce("lang", F.lit("none")), "_s": F.coalesce("source", F.lit("none")), "_t": tokens}
+    def keys(tokens: Column, other: Column) -> dict[str, Column]:
+        # Plain keys, those of null ids told apart by their texts: numbering and join then share one shuffle.
+        return {"_id": F.coalesce("doc_id", filler), "_other": F.when(F.col("doc_id").isNull(), F.concat(F.lit("t"), F.coalesce(other.cast("string"), F.lit("")))).otherwise(""), "_l": F.coalesce("lang", F.lit("none")), "_s": F.coalesce("source", F.lit("none")), "_t": tokens}
 
-    taken = mixed(docs.select("doc_id", "text", "lang", "source"), params).withColumns(keys(F.col("tokens")))
+    taken = _selected(docs.select("doc_id", "text", "lang", "source"), params).withColumns(keys(F.col("tokens"), F.col("other")))
     taken = taken.groupBy(*key, "epoch").agg(F.count("*").alias("n")).groupBy(*key).agg(F.collect_list("n").alias("_taken"))
     # Rows that share a key are numbered, and a pass that takes m of them takes the first m.
-    keyed = docs.withColumns(keys(tokens_of(F.col("text"))))
+    keyed = docs.withColumns(keys(tokens_of(F.col("text")), _other()))
     keyed = keyed.withColumn("_row", F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("text"))))
     times = F.size(F.filter("_taken", lambda n: n >= F.col("_row")))
     joined = keyed.join(taken, key).select(*docs.columns, times.alias("_times"))
