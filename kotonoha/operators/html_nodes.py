@@ -2,8 +2,8 @@
 
 ``node_table`` parses every page once into rows of numbers, tags and attributes, without the page itself. A selector is then
 worked on step by step, all pages at once: an element lies inside an earlier match when the matches before it reach as far as
-its own number (a running maximum over the page), children meet their matched parents by an equi-join, and siblings look
-along their parent's children. So no pairs of ancestors and descendants are made, and a page of many nodes costs a sort.
+its own number (a running maximum over the page), children are grouped with their parent, and siblings look along their
+parent's children. So no pairs of ancestors and descendants are made, and a page of many nodes costs a sort for each step.
 ``select`` cuts markup and text of what matched out of the pages.
 
 Selectors: ``tag``, ``*``, ``#id``, ``.class``, ``[name]``, ``[name=value]`` with ``= ~= ^= $= *=``, ``:first-child``,
@@ -137,37 +137,34 @@ def node_table(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
 
 
 def matching(nodes: DataFrame, key: str, selector: str) -> DataFrame:
-    """The nodes that the selector matches."""
+    """The nodes that the selector matches. Every step is a window over the table, so pages are parsed once, however long it is."""
     page = [key, "digest"]
     before = Window.partitionBy(*page).orderBy("node").rangeBetween(Window.unboundedPreceding, -1)
     siblings = Window.partitionBy(*page, "parent").orderBy("place")
-
-    def wanted(tests: list[Test]) -> Column:
-        return reduce(lambda a, b: a & b, [t.column() for t in tests])
-
-    found = []
-    for steps in parse_selector(selector):
-        rows = nodes.withColumn("_hit", wanted(steps[0][1]))
-        for relation, tests in steps[1:]:
+    family = Window.partitionBy(*page, "_group")
+    alternatives = parse_selector(selector)
+    # What each step asks of an element itself is decided first; from then on only numbers are needed.
+    asked = {f"_t{i}_{j}": reduce(lambda a, b: a & b, [t.column() for t in tests]) for i, steps in enumerate(alternatives) for j, (_, tests) in enumerate(steps)}
+    # Dealt by page once: every window below is within a page, so nothing moves again.
+    rows = nodes.withColumns(asked | {"_any": F.lit(False)}).repartition(*page)
+    for i, steps in enumerate(alternatives):
+        rows = rows.withColumn("_hit", F.col(f"_t{i}_0"))
+        for j, (relation, _) in enumerate(steps[1:], 1):
             if relation == ">":
-                parents = rows.where("_hit").select(*[F.col(c).alias(f"_{c}") for c in page], F.col("node").alias("_node")).distinct()
-                meets = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in page]) & (F.col("parent") == F.col("_node"))
-                # What children follow is all that the next step asks of other rows, so the table stays whole.
-                rows = rows.join(parents, meets, "left").withColumn("_hit", F.col("_node").isNotNull() & wanted(tests)).drop("_node", *[f"_{c}" for c in page])
-                continue
-            met = {
-                " ": F.max(F.when(F.col("_hit"), F.col("last"))).over(before) >= F.col("node"),
-                "+": F.max(F.col("_hit")).over(siblings.rangeBetween(-1, -1)),
-                "~": F.max(F.col("_hit")).over(siblings.rangeBetween(Window.unboundedPreceding, -1)),
-            }[relation]
-            rows = rows.withColumn("_hit", F.coalesce(met, F.lit(False)) & wanted(tests))
-        found.append(rows.where("_hit").drop("_hit"))
-    if len(found) == 1:
-        return found[0]
-    # Of several alternatives an element counts once; equal pages come as often as each alternative has them.
-    both = reduce(DataFrame.unionByName, [f.withColumn("_way", F.lit(i)) for i, f in enumerate(found)])
-    first = Window.partitionBy(*page, "node").orderBy("_way")
-    return both.withColumn("_first", F.min("_way").over(first)).where("_way = _first").drop("_way", "_first")
+                # Each node stands once among its parent's children and once as the parent of its own.
+                roles = F.array(F.struct(F.lit(False).alias("above"), F.col("parent").alias("group")), F.struct(F.lit(True).alias("above"), F.col("node").alias("group")))
+                rows = rows.withColumn("_role", F.explode(roles)).withColumns({"_above": F.col("_role.above"), "_group": F.col("_role.group")}).drop("_role")
+                rows = rows.withColumn("_met", F.max(F.when(F.col("_above"), F.col("_hit"))).over(family)).where(~F.col("_above")).drop("_above", "_group")
+            else:
+                met = {
+                    " ": F.max(F.when(F.col("_hit"), F.col("last"))).over(before) >= F.col("node"),
+                    "+": F.max(F.col("_hit")).over(siblings.rangeBetween(-1, -1)),
+                    "~": F.max(F.col("_hit")).over(siblings.rangeBetween(Window.unboundedPreceding, -1)),
+                }[relation]
+                rows = rows.withColumn("_met", met)
+            rows = rows.withColumn("_hit", F.coalesce("_met", F.lit(False)) & F.col(f"_t{i}_{j}")).drop("_met")
+        rows = rows.withColumn("_any", F.col("_any") | F.col("_hit"))
+    return rows.where("_any").select(nodes.columns)
 
 
 def select(pages: DataFrame, key: str, selector: str, html: str = "html") -> DataFrame:
