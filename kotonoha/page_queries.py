@@ -231,7 +231,9 @@ SELECT 'バス' || kata AS reading, 'bus ' || regexp_replace(name, '[0-9]', '',
 """)
 def english_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """English words of titles in katakana, stated in nine ways; a tenth states none."""
-    word = F.concat(F.lit("bus "), F.translate(F.regexp_replace("kata", f"[{_KATA_DIGITS}]", ""), _KATA, _LETTERS))
+    letters = F.translate(F.regexp_replace("kata", f"[{_KATA_DIGITS}]", ""), _KATA, _LETTERS)
+    # A name without letters has no word that could be stated.
+    word = F.when(letters != "", F.concat(F.lit("bus "), letters)).otherwise("")
     title = F.concat(F.lit("バス"), F.col("kata"))
     c = {"T": title, "W": word}
     forms = [

@@ -103,7 +103,7 @@ def test_reading_parts():
     ("ゲーム", "'''ゲーム'''（{{Lang-en-short|[[w:Game|Game]]}}）とは", "Game"),
     ("レッド", "'''レッド'''('''Red Hat''')は、会社", "Red Hat"),
     ("ソース", "'''ソース'''（Source code、'''別''')", "Source code"),
-    ("ビール", "『'''ビール'''』（会社）", ""),
+    ("ビール", "『'''ビール'''』（会社）", ""), ("バー", "'''バー'''は乗り物。\nBleed, one", ""), ("バー", "'''バー''' '''Bar'''", "Bar"),
     ("トマト", "'''トマト'''は植物。\n== 分類 ==\nカナカナカナカナカナ（英語：tomato）", "tomato"),
 ])
 def test_english(title, inner, out):
