@@ -116,6 +116,11 @@ def test_english_parts():
     assert english.english_pair("バス", "'''バス'''（bus）") == ("バス", "bus") and english.english_pair("漢字", "x") is None
 
 
+def test_names_that_begin_with_a_dot_keep_their_reading():
+    assert characters.agrees("・フタ", "フタ") and not characters.agrees("・フタ", "タフ")
+    assert [c.as_row()["reading"] for c in characters.find_characters("x", "\n== 登場人物 ==\n; ・フ・タ\n: 声 - [[ある声優の名]]\n== 外部 ==\n")] == ["フタ"]
+
+
 # ---- synonyms
 @pytest.mark.parametrize("title, inner, out", [
     ("山鉄道", ">{{鉄道\n|略称 = 山鉄、ヤマテツ\n}}\n", ["山鉄", "ヤマテツ"]),
