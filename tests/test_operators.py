@@ -121,6 +121,10 @@ def test_names_that_begin_with_a_dot_keep_their_reading():
     assert [c.as_row()["reading"] for c in characters.find_characters("x", "\n== 登場人物 ==\n; ・フ・タ\n: 声 - [[ある声優の名]]\n== 外部 ==\n")] == ["フタ"]
 
 
+def test_titles_cut_within_a_parenthesis_keep_it():
+    assert [w.strip_disambiguation(x) for x in ("ten on +1 (62", "a (b) c (", "a (b (c)) d", "（あ） い（う")] == ["ten on +1 (62", "a c (", "a d", "い（う"]
+
+
 # ---- synonyms
 @pytest.mark.parametrize("title, inner, out", [
     ("山鉄道", ">{{鉄道\n|略称 = 山鉄、ヤマテツ\n}}\n", ["山鉄", "ヤマテツ"]),
