@@ -102,10 +102,10 @@ def readings(pages: DataFrame, options: Options = Options()) -> DataFrame:
     title, inner = F.col("title"), F.col("inner")
     body = pages.where(~t.is_noise(title) & ~t.is_list_page(title) & ~t.is_ascii(title)).where(~t.is_redirect(inner))
     body = _stripped(body).where("stripped <> ''")
-    found = text_udf(lambda a, b, raw=options.raw_tags: yomi.reading(a, b, raw_tags=raw), "string")
+    found = text_udf(lambda a, b, whole, raw=options.raw_tags: yomi.reading(a, b, whole, raw_tags=raw), "string")
     kana = t.only_column(F.col("stripped"), "kana")
     own = F.translate("stripped", " -_・=＝", "")
-    table = body.select(F.when(kana, own).otherwise(found("stripped", F.when(kana, "").otherwise(inner))).alias("reading"), _titles(options).alias("title"))
+    table = body.select(F.when(kana, own).otherwise(found("stripped", F.when(kana, "").otherwise(inner), title)).alias("reading"), _titles(options).alias("title"))
     table = _shown(table, options, F.col("reading") != "")
     return table.select(reading_case(F.col("reading"), options.case).alias("reading"), "title")
 

@@ -116,6 +116,11 @@ def test_english_parts():
     assert english.english_pair("バス", "'''バス'''（bus）") == ("バス", "bus") and english.english_pair("漢字", "x") is None
 
 
+def test_readings_of_bold_titles_with_parentheses():
+    lead = "<text>'''Été +1 (403) e'''（えて、{{lang-en-short|x}}）は地名。"
+    assert readings.reading("Été +1 e", lead, "Été +1 (403) e") == "えて" and readings.reading("Été +1 e", lead) == ""
+
+
 def test_names_that_begin_with_a_dot_keep_their_reading():
     assert characters.agrees("・フタ", "フタ") and not characters.agrees("・フタ", "タフ")
     assert [c.as_row()["reading"] for c in characters.find_characters("x", "\n== 登場人物 ==\n; ・フ・タ\n: 声 - [[ある声優の名]]\n== 外部 ==\n")] == ["フタ"]
