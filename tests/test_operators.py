@@ -104,6 +104,7 @@ def test_reading_parts():
     ("レッド", "'''レッド'''('''Red Hat''')は、会社", "Red Hat"),
     ("ソース", "'''ソース'''（Source code、'''別''')", "Source code"),
     ("ビール", "『'''ビール'''』（会社）", ""), ("バー", "'''バー'''は乗り物。\nBleed, one", ""), ("バー", "'''バー''' '''Bar'''", "Bar"),
+    ("トア", "'''トア'''（{{lang-en-short|To### the, x}}）は\nTo the end", ""), ("トア", "'''トア'''（To$$$ the）は\nTo the end", ""),
     ("トマト", "'''トマト'''は植物。\n== 分類 ==\nカナカナカナカナカナ（英語：tomato）", "tomato"),
 ])
 def test_english(title, inner, out):
