@@ -16,8 +16,9 @@ share a key are told apart by their content; other columns of the pages are igno
 
 from __future__ import annotations
 
+import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -167,8 +168,8 @@ def matching(nodes: DataFrame, key: str, selector: str) -> DataFrame:
     return rows.where("_any").select(nodes.columns)
 
 
-def select(pages: DataFrame, key: str, selector: str, html: str = "html") -> DataFrame:
-    """Rows (key, node, tag, attributes, outer_html, inner_html, inner_text) of the elements that match."""
+def select(pages: DataFrame, key: str, selector: str, html: str = "html", decode: Callable[[str], str] = entities.unescape) -> DataFrame:
+    """Rows (key, node, tag, attributes, outer_html, inner_html, inner_text) of the elements that match; ``decode`` decodes the text's entities."""
     found = matching(node_table(pages, key, html), key, selector).select(F.col(key).alias("_key"), F.col("digest").alias("_digest"), "node")
     held = found.groupBy("_key", "_digest").agg(F.sort_array(F.collect_set("node")).alias("_nodes"))
 
@@ -176,7 +177,7 @@ def select(pages: DataFrame, key: str, selector: str, html: str = "html") -> Dat
         for texts, lists in batches:
             out = []
             for page, wanted in zip(texts, lists, strict=True):
-                nodes, text = h.parse(page)
+                nodes, text = h.parse(page, decode)
                 mine = [nodes[n] for n in wanted]
                 out.append([(n.node, n.tag, n.attributes, page[n.open : n.close], page[n.start : n.stop], text[n.text_from : n.text_to]) for n in mine])
             yield pd.Series(out, dtype=object)

@@ -126,3 +126,13 @@ def test_cut_markup_and_text(random_pages):
 def test_selectors_that_are_none(selector):
     with pytest.raises(ValueError):
         hn.parse_selector(selector)
+
+
+def test_inside_decodes_what_its_sql_decodes(spark, tmp_path):
+    from kotonoha import queries
+
+    page = '<!DOCTYPE html><html lang="en"><body><article><h1>a&amp;b &quot;c&quot; d&amp</h1></article></body></html>'
+    spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    row = queries.QUERIES["html_inside"](spark, str(tmp_path)).first()
+    assert (row["heading_text"], row["heading_html"]) == ("a&b &quot;c&quot; d&amp", "a&amp;b &quot;c&quot; d&amp")
+    assert h.parse(page)[1] == 'a&b "c" d&'
