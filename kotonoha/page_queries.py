@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -187,13 +187,15 @@ def wikitext_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     kind = "boxed string, head string, without_notes string, section string, cut string, first_section string, box_end long, bold_start long, bold_end long, stripped string, unlinked string, listed string, plain string, tagless string, snipped_once string, last_mark long, cleaned string"
 
-    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        names = [part.split()[0] for part in kind.split(", ")]
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        fields = [part.split() for part in kind.split(", ")]
+        arrow = pa.struct([(name, pa.int64() if of == "long" else pa.string()) for name, of in fields])
         for columns in batches:
-            yield pd.DataFrame([kernels(*row) for row in zip(*columns, strict=True)], columns=names)
+            for rows in w.slices(columns):
+                yield pa.array([dict(zip(arrow.names, kernels(*row), strict=True)) for row in rows], arrow)
 
-    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.DataFrame]}
-    rows = made.select("page_id", F.pandas_udf(run, kind)("kata", "hira", "digits", "inner", "box").alias("k")).select("page_id", "k.*")
+    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, ...]], "return": Iterator[pa.Array]}
+    rows = made.select("page_id", F.arrow_udf(run, kind)("kata", "hira", "digits", "inner", "box").alias("k")).select("page_id", "k.*")
     return rows.withColumns({c: F.md5(F.encode(c, "UTF-8")) for c in ("head", "without_notes", "section", "cut")})
 
 
