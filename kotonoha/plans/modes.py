@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,15 @@ from ..operators import titles as t
 from ..operators.categories import categories_of
 
 
+_CHARACTERS = "array<struct<reading:string,name:string,actor1:string,actor2:string,actor3:string>>"
+#: Results of the text functions as Arrow has them.
+_ARROW = {
+    "string": pa.string(), "array<string>": pa.list_(pa.string()),
+    _CHARACTERS: pa.list_(pa.struct([(name, pa.string()) for name in ("reading", "name", "actor1", "actor2", "actor3")])),
+    "struct<reading:string,english:string>": pa.struct([("reading", pa.string()), ("english", pa.string())]),
+}
+
+
 @dataclass(frozen=True)
 class Options:
     """``case`` kata, kana or none; ``show`` noempty, all or empty; ``disambiguation`` del or keep; ``raw_tags`` for hand-made pages.
@@ -45,15 +55,16 @@ class Options:
 
 
 def text_udf(function: Callable, kind: str) -> Callable:
-    """A function of strings as an Arrow UDF over columns."""
+    """A function of strings as an Arrow UDF over columns. Of a batch only a slice is held as Python strings at a time."""
+    arrow = _ARROW[kind.replace(" ", "")]
 
-    def run(batches: Iterator) -> Iterator[pd.Series]:
+    def run(batches: Iterator) -> Iterator[pa.Array]:
         for columns in batches:
-            columns = columns if isinstance(columns, tuple) else (columns,)
-            yield pd.Series([function(*row) for row in zip(*columns, strict=True)], dtype=object)
+            for rows in wikitext.slices(columns if isinstance(columns, tuple) else (columns,)):
+                yield pa.array([function(*row) for row in rows], arrow)
 
-    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, kind)
+    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, ...]], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, kind)
 
 
 def one_column_udf(function: Callable, kind: str) -> Callable:
@@ -115,12 +126,7 @@ def english_words(pages: DataFrame, options: Options = Options()) -> DataFrame:
     title, inner = F.col("title"), F.col("inner")
     body = _stripped(pages.where(~t.is_noise(title) & ~t.is_list_page(title)).where(~t.is_redirect(inner))).where("stripped <> ''")
     body = body.where(t.only_column(F.col("stripped"), "katakana") | t.only_column(F.col("stripped"), "alpha"))
-    def run(batches):
-        for a, b in batches:
-            yield pd.DataFrame([eng.english_pair(x, y, raw_tags=options.raw_tags) for x, y in zip(a, b, strict=True)], columns=["reading", "english"])
-
-    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.DataFrame]}
-    found = F.pandas_udf(run, "reading string, english string")
+    found = text_udf(lambda a, b, raw=options.raw_tags: dict(zip(("reading", "english"), eng.english_pair(a, b, raw_tags=raw) or (None, None), strict=True)), "struct<reading:string,english:string>")
     table = body.select(found("stripped", "inner").alias("p")).select("p.reading", "p.english")
     table = _shown(table, options, (F.col("reading") != "") & (F.col("english") != ""), (F.col("reading") == "") & (F.col("english") == ""))
     return table.select(reading_case(F.col("reading"), options.case).alias("reading"), "english")
@@ -192,7 +198,7 @@ def characters(pages: DataFrame, options: Options = Options()) -> DataFrame:
     body = _stripped(body.where(chara.may_list_characters(title, inner))).where("stripped <> ''")
     found = text_udf(
         lambda a, b, raw=options.raw_tags, known=(*options.layouts, *chara.KNOWN_LAYOUTS): [c.as_row() for c in chara.find_characters(a, b, raw_tags=raw, known=known)],
-        "array<struct<reading:string,name:string,actor1:string,actor2:string,actor3:string>>",
+        _CHARACTERS,
     )
     rows = body.select(_titles(options).alias("title"), F.explode(found("stripped", "inner")).alias("c"))
     table = _shown(rows.select("c.reading", "c.name", "title", "c.actor1", "c.actor2", "c.actor3"), options, F.col("reading") != "")

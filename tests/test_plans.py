@@ -5,6 +5,7 @@ import random
 
 import duckdb
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -297,3 +298,16 @@ def test_made_readings_are_no_katakana_synonyms(spark, tmp_path):
     spark.createDataFrame([(8, "u", html), (10, "u", html)], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
     got = {r["title"]: r["synonyms"] for r in queries.QUERIES["lexicon_synonyms"](spark, str(tmp_path)).collect()}
     assert got == {"No No": ["せそ・せそ"], "セソ・セソ": ["せそ・せそ"]}
+
+
+def test_text_functions_hold_slices_of_a_batch(spark):
+    """However many rows a batch has, a function's results leave it slice by slice; rows and nulls stay in their places."""
+    from kotonoha.functions import wikitext
+    from kotonoha.plans.modes import text_udf
+
+    batch = pa.array([str(i) if i % 3 else None for i in range(1000)])
+    pieces = list(wikitext.slices((batch, batch)))
+    assert max(map(len, pieces)) <= 128 and [a for piece in pieces for a, _ in piece] == batch.to_pylist()
+    twice = text_udf(lambda a, b: None if a is None else [a, b], "array<string>")
+    rows = spark.range(1000).coalesce(1).withColumn("s", F.when(F.col("id") % 3 > 0, F.col("id").cast("string"))).select("id", twice("s", "s").alias("v")).collect()
+    assert [r["v"] for r in rows] == [[str(i)] * 2 if i % 3 else None for i in range(1000)]
